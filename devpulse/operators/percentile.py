@@ -93,3 +93,21 @@ def order_report(report: DataFrame) -> DataFrame:
 def top_rows(report: DataFrame, n: int = 10) -> DataFrame:
     """LIM1: the first ``n`` rows of the ordered report (top-k, not a sample)."""
     return order_report(report).limit(n)
+
+
+def daily_percentile_exact(df: DataFrame, p: float = C.PERCENTILE, method: str = "disc") -> DataFrame:
+    """AGG5: AGG4's measures with an exact percentile (``disc`` or ``cont``).
+
+    The percentile comes from the range-partitioned exact operator; the other
+    measures from one partial aggregate; the two small results are joined on
+    the group keys.
+    """
+    from devpulse.operators.exact_quantile import exact_percentile
+    exact = exact_percentile(df, GROUP_KEYS, "event_duration", p, method, "percentile_95")
+    rest = df.groupBy(*GROUP_KEYS).agg(
+        F.avg("event_duration").alias("mean_duration"),
+        F.stddev_samp("event_duration").alias("stddev_duration"),
+        F.count(F.lit(1)).alias("total_events"),
+        F.countDistinct("device_id").alias("distinct_devices"),
+    )
+    return exact.join(rest, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)

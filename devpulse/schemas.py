@@ -95,3 +95,13 @@ REPORT = T.StructType([
 # A report read back from CSV: every column as text, typed by try_cast so
 # that bad cells become NULL instead of failing the job.
 REPORT_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in REPORT.fields])
+
+# Raw device events as mapped from the supplied ``events`` table.
+RAW_EVENT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("device_id", T.StringType()),
+    T.StructField("device_type", T.StringType()),
+    T.StructField("event_duration", T.DoubleType()),
+    T.StructField("event_timestamp", T.TimestampType()),
+    T.StructField("battery_level", T.IntegerType()),
+])

@@ -28,9 +28,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_json_events(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_json_events(spark: SparkSession, path: str, schema: StructType | None = None,
+                     options: dict | None = None) -> DataFrame:
     """SRC4: JSON lines; give a schema to skip the inference pass."""
-    reader = spark.read
+    reader = spark.read.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -42,7 +43,8 @@ _NOT_PARQUET = ("Unable to infer schema", "is not a Parquet file", "magic number
                 "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "PATH_NOT_FOUND")
 
 
-def read_any(spark: SparkSession, path: str, json_schema: StructType | None = None) -> DataFrame:
+def read_any(spark: SparkSession, path: str, json_schema: StructType | None = None,
+             json_options: dict | None = None) -> DataFrame:
     """SRC5: Parquet first; JSON only when the files are not Parquet.
 
     Only the "not Parquet" family of errors triggers the JSON retry; a missing
@@ -56,7 +58,7 @@ def read_any(spark: SparkSession, path: str, json_schema: StructType | None = No
             raise
         if "PATH_NOT_FOUND" in text:
             raise
-    return read_json_events(spark, path, json_schema)
+    return read_json_events(spark, path, json_schema, json_options)
 
 
 def read_report_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
