@@ -65,29 +65,35 @@ def positive_event() -> Column:
     )
 
 
-# Reason labels, in the order they are reported.
-REASONS = [
-    ("malformed_json", None),
-    ("missing_event_id", lambda: F.col("event_id").isNull()),
-    ("missing_device_id", lambda: F.col("device_id").isNull()),
-    ("missing_device_type", lambda: F.col("device_type").isNull()),
-    ("bad_event_time", lambda: F.col("event_timestamp").isNull()),
-    ("bad_duration", lambda: ~valid_duration()),
-    ("bad_battery_level", lambda: ~valid_battery()),
-    ("bad_signal_strength", lambda: ~valid_signal()),
-    ("bad_coordinates", lambda: ~valid_coordinates()),
-]
+def reasons_array(rules: list[tuple[str, Column]]) -> Column:
+    """array<string> of the labels whose condition holds, in rule order.
+
+    Built as a ``concat`` of one- or zero-element arrays: plain expressions
+    that stay in whole-stage codegen (with common-subexpression elimination),
+    unlike a lambda ``filter`` over an array of NULLs.
+    """
+    empty = F.array().cast("array<string>")
+    return F.concat(*[F.when(cond, F.array(F.lit(label))).otherwise(empty) for label, cond in rules])
+
+
+def reject_rules(has_corrupt_column: bool = False) -> list[tuple[str, Column]]:
+    """(label, condition) for every way a flat event fails FLT7, in report order."""
+    rules = []
+    if has_corrupt_column:
+        rules.append(("malformed_json", F.col("_corrupt_record").isNotNull()))
+    rules += [
+        ("missing_event_id", F.col("event_id").isNull()),
+        ("missing_device_id", F.col("device_id").isNull()),
+        ("missing_device_type", F.col("device_type").isNull()),
+        ("bad_event_time", F.col("event_timestamp").isNull()),
+        ("bad_duration", ~valid_duration()),
+        ("bad_battery_level", ~valid_battery()),
+        ("bad_signal_strength", ~valid_signal()),
+        ("bad_coordinates", ~valid_coordinates()),
+    ]
+    return rules
 
 
 def reject_reasons_expr(has_corrupt_column: bool = False) -> Column:
     """array<string> of every rule a flat event breaks (empty when valid)."""
-    parts = []
-    for label, rule in REASONS:
-        if rule is None:
-            if not has_corrupt_column:
-                continue
-            cond = F.col("_corrupt_record").isNotNull()
-        else:
-            cond = rule()
-        parts.append(F.when(cond, F.lit(label)))
-    return F.array_compact(F.array(*parts))
+    return reasons_array(reject_rules(has_corrupt_column))

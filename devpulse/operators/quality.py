@@ -198,39 +198,62 @@ def validate_report(df: DataFrame, min_total_events: int = C.REPORT_MIN_TOTAL_EV
 
 # --- DQ7: JSON contract -----------------------------------------------------
 
-def contract_violations_expr() -> F.Column:
-    """array<string> of contract rules broken by a parsed payload ``parsed_data``."""
+def contract_rules() -> list[tuple[str, F.Column]]:
+    """(label, condition) for each JSON-contract rule, on a parsed payload ``parsed_data``."""
+    from devpulse.functions.time import parse_event_time_expr
     p = "parsed_data"
-    rules = [(F.col(f"{p}._corrupt_record").isNotNull(), "malformed_json")]
+    rules = [("malformed_json", F.col(f"{p}._corrupt_record").isNotNull())]
     for name in C.REQUIRED_TOP_LEVEL:
-        rules.append((F.col(f"{p}.{name}").isNull(), f"required:{name}"))
-    for name in C.REQUIRED_LOCATION:
-        rules.append((F.col(f"{p}.location").isNotNull() & F.col(f"{p}.location.{name}").isNull(),
-                      f"required:location.{name}"))
-    for name in C.REQUIRED_METADATA:
-        rules.append((F.col(f"{p}.metadata").isNotNull() & F.col(f"{p}.metadata.{name}").isNull(),
-                      f"required:metadata.{name}"))
+        rules.append((f"required:{name}", F.col(f"{p}.{name}").isNull()))
+    for parent, names in (("location", C.REQUIRED_LOCATION), ("metadata", C.REQUIRED_METADATA)):
+        for name in names:
+            rules.append((f"required:{parent}.{name}",
+                          F.col(f"{p}.{parent}").isNotNull() & F.col(f"{p}.{parent}.{name}").isNull()))
     dt = F.col(f"{p}.device_type")
-    rules.append((dt.isNotNull() & ~dt.isin(*C.DEVICE_TYPES), "enum:device_type"))
+    rules.append(("enum:device_type", dt.isNotNull() & ~dt.isin(*C.DEVICE_TYPES)))
     et = F.col(f"{p}.event_time")
-    from devpulse.functions.time import parse_event_time_expr
-    rules.append((et.isNotNull() & parse_event_time_expr(et).isNull(), "format:event_time"))
+    rules.append(("format:event_time", et.isNotNull() & parse_event_time_expr(et).isNull()))
     bl = F.col(f"{p}.metadata.battery_level")
-    rules.append((bl.isNotNull() & ((bl < C.BATTERY_MIN) | (bl > C.BATTERY_MAX)), "range:battery_level"))
+    rules.append(("range:battery_level", bl.isNotNull() & ((bl < C.BATTERY_MIN) | (bl > C.BATTERY_MAX))))
     ss = F.col(f"{p}.metadata.signal_strength")
-    rules.append((ss.isNotNull() & ((ss < C.SIGNAL_MIN) | (ss > C.SIGNAL_MAX)), "range:signal_strength"))
-    return F.array_compact(F.array(*[F.when(cond, F.lit(label)) for cond, label in rules]))
+    rules.append(("range:signal_strength", ss.isNotNull() & ((ss < C.SIGNAL_MIN) | (ss > C.SIGNAL_MAX))))
+    return rules
 
 
 def validate_contract(parsed: DataFrame) -> DataFrame:
     """DQ7: parsed payloads (PRJ2 output) tagged with ``contract_violations``."""
-    return parsed.withColumn("contract_violations", contract_violations_expr())
+    from devpulse.functions.predicates import reasons_array
+    return parsed.withColumn("contract_violations", reasons_array(contract_rules()))
+
+
+def split_contract(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """DQ7: (accepted payloads, rejected payloads with their violations)."""
+    tagged = validate_contract(parsed)
+    return (tagged.filter(F.size("contract_violations") == 0).drop("contract_violations"),
+            tagged.filter(F.size("contract_violations") > 0))
+
+
+def rule_counts(df: DataFrame, rules: list[tuple[str, F.Column]], label: str = "rule") -> DataFrame:
+    """Rows breaking each rule (a row breaking two rules counts in both).
+
+    One partial aggregate of ``count_if`` per rule, unpivoted with ``stack``;
+    rules nobody breaks are left out.
+    """
+    wide = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(rules)])
+    pairs = ", ".join(f"'{name}', r{i}" for i, (name, _) in enumerate(rules))
+    long = wide.selectExpr(f"stack({len(rules)}, {pairs}) as ({label}, row_count)")
+    return long.filter(F.col("row_count") > 0)
+
+
+def contract_violation_counts(parsed: DataFrame) -> DataFrame:
+    """DQ7 summary: rows per broken contract rule."""
+    return rule_counts(parsed, contract_rules(), "rule")
 
 
-def violation_counts(tagged: DataFrame, column: str = "contract_violations") -> DataFrame:
-    """Rows per broken rule (a row breaking two rules counts in both)."""
-    return (tagged.select(F.explode(F.col(column)).alias("rule"))
-            .groupBy("rule").agg(F.count(F.lit(1)).alias("row_count")))
+def reject_reason_counts(flat: DataFrame) -> DataFrame:
+    """DQ10 summary: rows per reason FLT7 would drop them."""
+    from devpulse.functions.predicates import reject_rules
+    return rule_counts(flat, reject_rules("_corrupt_record" in flat.columns), "reason")
 
 
 # --- DQ8 / DQ11: storage inventory ------------------------------------------

@@ -408,7 +408,7 @@ def q_dq6(spark, sf_dir):
 
 def q_dq7(spark, sf_dir):
     parsed = TR.parse_payload(TR.project_envelope(envelope(spark, sf_dir)))
-    return Q.violation_counts(Q.validate_contract(parsed))
+    return Q.contract_violation_counts(parsed)
 
 
 def q_dq8(spark, sf_dir):
@@ -417,8 +417,7 @@ def q_dq8(spark, sf_dir):
 
 
 def q_dq10(spark, sf_dir):
-    tagged = etl.reject_reasons(flat(spark, sf_dir, keep_corrupt=True))
-    return Q.violation_counts(tagged, "reject_reasons").withColumnRenamed("rule", "reason")
+    return Q.reject_reason_counts(flat(spark, sf_dir, keep_corrupt=True))
 
 
 def q_dq11(spark, sf_dir):
