@@ -15,10 +15,16 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     return total
 
 
-def rows_in_state(query: StreamingQuery) -> list[int]:
-    """Rows held by each stateful operator after the last batch."""
+def rows_in_state(query: StreamingQuery) -> dict[str, int]:
+    """Rows held by each stateful operator after the last batch, by operator name
+    (e.g. ``stateStoreSave`` for the window aggregate, ``dedupeWithinWatermark``)."""
     last = query.lastProgress
     if not last:
-        return []
+        return {}
     ops = last.get("stateOperators", []) if isinstance(last, dict) else last.stateOperators
-    return [int((op.get("numRowsTotal") if isinstance(op, dict) else op.numRowsTotal) or 0) for op in ops]
+    out = {}
+    for op in ops:
+        name = op.get("operatorName") if isinstance(op, dict) else op.operatorName
+        total = op.get("numRowsTotal") if isinstance(op, dict) else op.numRowsTotal
+        out[name] = out.get(name, 0) + int(total or 0)
+    return out
