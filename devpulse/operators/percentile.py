@@ -63,16 +63,23 @@ def within_sigma(df: DataFrame, k: float = C.OUTLIER_STD_DEVIATIONS) -> DataFram
 def daily_percentile(df: DataFrame, p: float = C.PERCENTILE, accuracy: int = C.PERCENTILE_ACCURACY) -> DataFrame:
     """AGG4: report measures per (type, day) over the kept rows.
 
-    ``percentile_approx`` is a mergeable sketch whose size is set by
-    ``accuracy``, not by the group's row count.
+    Two aggregates joined on the (small) group keys:
+    * sketch, mean, stddev and count per (type, day): each map task ships one
+      partial row per group; ``percentile_approx`` is a mergeable sketch whose
+      size is set by ``accuracy``, not by the group's row count;
+    * exact distinct devices: a keys-only two-level aggregate.
+    In one aggregate Spark would key the partial state by (type, day, device)
+    because of the distinct count, shipping a sketch (i.e. the raw values) per
+    device and task.
     """
-    return df.groupBy(*GROUP_KEYS).agg(
+    measures = df.groupBy(*GROUP_KEYS).agg(
         F.percentile_approx("event_duration", p, accuracy).alias("percentile_95"),
         F.avg("event_duration").alias("mean_duration"),
         F.stddev_samp("event_duration").alias("stddev_duration"),
         F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct("device_id").alias("distinct_devices"),
     )
+    devices = df.groupBy(*GROUP_KEYS).agg(F.countDistinct("device_id").alias("distinct_devices"))
+    return measures.join(devices, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)
 
 
 def report_summary(report: DataFrame) -> DataFrame:
