@@ -432,6 +432,11 @@ def q_dq11(spark, sf_dir):
     return Q.inventory_summary(new).select("device_type", F.col("partitions").alias("new_partitions"))
 
 
+def q_store_validation(spark, sf_dir):
+    from devpulse.plans.validation import validate_window_store
+    return validate_window_store(spark, _written_windows(spark, sf_dir))
+
+
 def _snapshot(inventory: DataFrame) -> str:
     """Persist a listing so later writes do not change it."""
     path = scratch_path(inventory.sparkSession, "inventory")
@@ -499,4 +504,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "DQ8_storage_inventory": q_dq8,
         "DQ10_reject_reasons": q_dq10,
         "DQ11_inventory_delta": q_dq11,
+        "DQ1_DQ4_DQ5_window_store_validation": q_store_validation,
     }

@@ -331,4 +331,10 @@ def _oracle_sql() -> dict[str, str]:
     q["DQ11_inventory_delta"] = ("WITH " + WINDOWS + "\nSELECT device_type, "
                                  "count(DISTINCT CAST(window_start AS DATE)) AS new_partitions FROM win "
                                  f"WHERE CAST(window_start AS DATE) > DATE '{SPLIT_DAY}' GROUP BY 1")
+    q["DQ1_DQ4_DQ5_window_store_validation"] = (
+        "WITH " + WINDOWS + "\nSELECT 'read_successful' AS step, true AS passed, '' AS detail\n"
+        "UNION ALL SELECT 'schema_valid', true, ''\n"
+        "UNION ALL SELECT 'data_quality_valid', count(*) > 0, "
+        "CASE WHEN count(*) > 0 THEN '' ELSE 'row_count=fail' END FROM win\n"
+        "UNION ALL SELECT 'partitions_valid', count(*) >= 0, '' FROM win")
     return q

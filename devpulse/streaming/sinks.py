@@ -43,13 +43,14 @@ def write_windows_stream(df: DataFrame, path: str, checkpoint: str, trigger: str
 
 
 def write_console_stream(df: DataFrame, trigger: str | None = C.TRIGGER_INTERVAL, rows: int = 100,
-                         checkpoint: str | None = None) -> StreamingQuery:
-    """SNK2: update-mode console output, no truncation."""
+                         checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """SNK2: update-mode console output, no truncation (a debugging sink: each
+    batch is printed by the driver)."""
     writer = (df.writeStream.outputMode("update").format("console")
               .option("truncate", "false").option("numRows", rows))
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, trigger, False).start()
+    return _trigger(writer, trigger, available_now).start()
 
 
 def write_memory_stream(df: DataFrame, name: str, checkpoint: str, mode: str = "update",

@@ -122,3 +122,19 @@ def test_stream_dedup_alone(spark):
     q = write_memory_stream(unique, "devpulse_dd", scratch_path(spark, "t-dd-ck"), mode="append")
     q.awaitTermination()
     assert spark.table("devpulse_dd").count() == etl.unique_events(env).count()
+
+
+def test_console_sink_and_processing_time_trigger(spark, capsys):
+    from devpulse.streaming.sinks import write_console_stream
+    env = build_envelope(load_table(spark, SF001, "events")).limit(50)
+    src = scratch_path(spark, "t-console")
+    env.write.parquet(src)
+    stream = stream_windows(read_event_files_stream(spark, src))
+    q = write_console_stream(stream, checkpoint=scratch_path(spark, "t-console-ck"), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    # processing-time trigger: runs until stopped
+    q2 = write_memory_stream(stream, "devpulse_pt", scratch_path(spark, "t-pt-ck"), available_now=False)
+    q2.processAllAvailable()
+    q2.stop()
+    assert spark.table("devpulse_pt").count() > 0
