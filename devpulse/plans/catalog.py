@@ -342,10 +342,11 @@ def q_str3_30s(spark, sf_dir):
     return comparable(window_aggregate(etl.unique_events(envelope(spark, sf_dir)), "30 seconds"))
 
 
-def _stream_windows(spark, sources: list[str], within_watermark=True) -> DataFrame:
+def _stream_windows(spark, sources: list[str], within_watermark=True, pre_dedup=False) -> DataFrame:
     out, ck = scratch_path(spark, "windows-out"), scratch_path(spark, "windows-ck")
     for src in sources:   # each run resumes from the same checkpoint
-        stream = stream_windows(SRC.read_event_files_stream(spark, src), within_watermark=within_watermark)
+        stream = stream_windows(SRC.read_event_files_stream(spark, src), within_watermark=within_watermark,
+                                pre_dedup=pre_dedup)
         _run_available_now(write_windows_stream(stream, out, ck, available_now=True))
     return comparable(SRC.read_parquet(spark, out).select(*C.WINDOW_COLUMNS))
 
@@ -358,6 +359,10 @@ def q_str4_unbounded_dedup(spark, sf_dir):
     return _stream_windows(spark, [_write_envelope(spark, sf_dir)], within_watermark=False)
 
 
+def q_str2_pre_dedup(spark, sf_dir):
+    return _stream_windows(spark, [_write_envelope(spark, sf_dir)], pre_dedup=True)
+
+
 def q_str8_resume(spark, sf_dir):
     """Two runs over one checkpoint: days 1-15 arrive, the query stops, the
     rest arrives in the same folder, the query restarts and resumes."""
@@ -493,6 +498,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "STR3_tumbling_window_30s": q_str3_30s,
         "STR4_SNK1_stream_windows": q_str4_snk1,
         "STR4_stream_windows_unbounded_dedup": q_str4_unbounded_dedup,
+        "STR2_STR4_stream_windows_pre_dedup": q_str2_pre_dedup,
         "STR8_resume_from_checkpoint": q_str8_resume,
         "DQ1_check_columns": q_dq1,
         "DQ2_null_counts": q_dq2,

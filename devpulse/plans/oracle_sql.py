@@ -281,6 +281,7 @@ def _oracle_sql() -> dict[str, str]:
     q["STR4_SNK1_stream_windows"] = "WITH " + WINDOWS_STREAM + f"\nSELECT {WIN_COLS} FROM win_emitted"
     q["STR4_stream_windows_unbounded_dedup"] = q["STR4_SNK1_stream_windows"]
     q["STR8_resume_from_checkpoint"] = q["STR4_SNK1_stream_windows"]
+    q["STR2_STR4_stream_windows_pre_dedup"] = q["STR4_SNK1_stream_windows"]
     q["DQ1_check_columns"] = _dq1()
     crit = C.CRITICAL_WINDOW_COLUMNS
     q["DQ2_null_counts"] = ("WITH " + WINDOWS + "\n" + "\nUNION ALL ".join(

@@ -21,7 +21,40 @@ def with_event_watermark(df: DataFrame, delay: str = C.WATERMARK_DELAY,
     return df.withWatermark(time_col, delay)
 
 
-def deduplicate_stream(df: DataFrame, keys: list[str] | None = None, within_watermark: bool = True) -> DataFrame:
+def _first_per_key(keys: list[str]):
+    """Arrow batch -> the first row of each key in that batch, in arrival order."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows < 2:
+                yield batch
+                continue
+            table = pa.Table.from_batches([batch])
+            numbered = table.append_column("__row", pa.array(np.arange(table.num_rows, dtype=np.int64)))
+            first = numbered.group_by(keys, use_threads=False).aggregate([("__row", "min")])
+            rows = pc.sort_indices(first.column("__row_min"))
+            yield from table.take(pc.take(first.column("__row_min"), rows)).to_batches()
+    return run
+
+
+def pre_deduplicate(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Drop repeats of a key inside each Arrow batch before the shuffle.
+
+    Streaming de-duplication shuffles every row by key with no map-side
+    combine, so one key repeated millions of times in a micro-batch would
+    land in one task. This stateless, exact step keeps the first arrival per
+    key per batch (each batch shrinks to its distinct keys); the stateful
+    operator after it still removes repeats across batches and tasks.
+    """
+    keys = keys or list(C.DEDUP_KEYS)
+    return df.mapInArrow(_first_per_key(keys), df.schema)
+
+
+def deduplicate_stream(df: DataFrame, keys: list[str] | None = None, within_watermark: bool = True,
+                       pre_dedup: bool = False) -> DataFrame:
     """STR2: one row per key.
 
     ``within_watermark`` (default) keeps state only for the watermark delay,
@@ -31,15 +64,17 @@ def deduplicate_stream(df: DataFrame, keys: list[str] | None = None, within_wate
     Needs a watermark on the frame.
     """
     keys = keys or list(C.DEDUP_KEYS)
+    if pre_dedup:
+        df = pre_deduplicate(df, keys)
     if within_watermark:
         return df.dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)
 
 
 def stream_windows(envelope: DataFrame, duration: str = C.WINDOW_DURATION, delay: str = C.WATERMARK_DELAY,
-                   within_watermark: bool = True) -> DataFrame:
+                   within_watermark: bool = True, pre_dedup: bool = False) -> DataFrame:
     """STR4: parse -> filter -> watermark -> de-dup -> tumbling window aggregate."""
     valid = filter_valid_records(parse_events(envelope))
     marked = with_event_watermark(valid, delay)
-    unique = deduplicate_stream(marked, within_watermark=within_watermark)
+    unique = deduplicate_stream(marked, within_watermark=within_watermark, pre_dedup=pre_dedup)
     return window_aggregate(unique, duration)

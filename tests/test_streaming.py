@@ -138,3 +138,26 @@ def test_console_sink_and_processing_time_trigger(spark, capsys):
     q2.processAllAvailable()
     q2.stop()
     assert spark.table("devpulse_pt").count() > 0
+
+
+def test_pre_dedup_collapses_hot_copies(spark):
+    from devpulse.streaming.etl import pre_deduplicate
+    events = load_table(spark, SF001, "events")
+    hot = events.filter("event_id = 7").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")
+    env = build_envelope(events.unionByName(hot), with_duplicates=True)
+    src = scratch_path(spark, "t-hot")
+    env.write.parquet(src)
+    flat = etl.clean_events(read_event_files_stream(spark, src))
+    plan = deduplicate_stream(with_event_watermark(flat), pre_dedup=True)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and plan.index("Deduplicate") < plan.index("MapInArrow")   # pre-step below it
+    # batch view of the same step: exact, keeps one row per key per batch
+    batch_flat = etl.clean_events(env)
+    assert pre_deduplicate(batch_flat).filter("event_id = 7").count() <= batch_flat.rdd.getNumPartitions() * 2
+    out = {}
+    for pre in (False, True):
+        path, ck = scratch_path(spark, "t-hot-out"), scratch_path(spark, "t-hot-ck")
+        q = write_windows_stream(stream_windows(read_event_files_stream(spark, src), pre_dedup=pre), path, ck,
+                                 available_now=True)
+        q.awaitTermination()
+        out[pre] = sorted_rows(read_parquet(spark, path))
+    assert out[True] == out[False]
