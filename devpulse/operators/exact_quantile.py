@@ -51,11 +51,11 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
     totals = staged.groupBy("_bucket", *g).agg(F.sum("_c").alias("_tot"))
     before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
-    offsets = totals.select(
+    offsets = stage_table(totals.select(
         "_bucket", *g,
         F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
         F.sum("_tot").over(whole).alias("_n"),
-    )
+    ), "quantile-offsets")
     located = join_small(ranked, offsets, ["_bucket", *g])
     first_rank = F.col("_off") + F.col("_run") - F.col("_c") + 1   # 1-based rank of first copy
     last_rank = F.col("_off") + F.col("_run")

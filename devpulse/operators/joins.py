@@ -49,7 +49,12 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
                max_broadcast_rows: int = MAX_BROADCAST_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Broadcast ``small`` when its measured size is bounded, else salted shuffle join."""
+    """Broadcast ``small`` when its measured size is bounded, else salted shuffle join.
+
+    ``small`` should be materialized (a staged table or a file scan): it is
+    counted first and joined after, and an unmaterialized aggregate would be
+    computed twice.
+    """
     if bounded_row_count(small, max_broadcast_rows) is not None:
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, how, salts)

@@ -23,6 +23,7 @@ from devpulse.operators.joins import salted_join
 from devpulse.operators.windows import deduplicate, window_aggregate
 from devpulse.plans import etl
 from devpulse.plans.report import percentile_report, percentile_report_two_joins, report_input
+from devpulse.plans.staging import stage_table
 from devpulse.session import ensure_defaults, scratch_path
 from devpulse.sinks import write_report, write_windows
 from devpulse.sources import files as SRC
@@ -211,7 +212,7 @@ def q_flt8(spark, sf_dir):
 
 def _events_with_stats(spark, sf_dir, gated=False):
     ev = report_input(raw(spark, sf_dir))
-    st = PCT.daily_stats(ev)
+    st = stage_table(PCT.daily_stats(ev), "daily-stats")
     if gated:
         st = PCT.min_population(st, gate_for(sf_dir))
     return ev, st
