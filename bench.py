@@ -20,6 +20,7 @@ from devpulse.operators import quality as Q  # noqa: E402
 from devpulse.operators.transform import parse_events, parse_payload, project_envelope  # noqa: E402
 from devpulse.plans import catalog, etl  # noqa: E402
 from devpulse.plans.report import percentile_report, report_input  # noqa: E402
+from devpulse.plans.staging import stage_table  # noqa: E402
 from devpulse.session import local_session, scratch_path  # noqa: E402
 from devpulse.sources.files import read_event_files_stream, read_parquet  # noqa: E402
 from devpulse.sources.fixtures import build_envelope  # noqa: E402
@@ -56,7 +57,7 @@ def main() -> None:
 
     def exact():
         ev = report_input(raw)
-        st = PCT.min_population(PCT.daily_stats(ev), gate)
+        st = PCT.min_population(stage_table(PCT.daily_stats(ev), "bench-stats"), gate)
         kept = PCT.within_sigma(PCT.attach_group_stats(ev, st))
         PCT.daily_percentile_exact(kept).collect()
 
