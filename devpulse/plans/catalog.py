@@ -35,6 +35,8 @@ from devpulse.streaming.sinks import write_windows_stream
 # Population gate per supplied scale (distinct devices per type and day are
 # 1-10 / 42-67 / 473-587 at sf0.001 / sf0.01 / sf0.1).
 GATES = {"0.001": 5, "0.01": 50, "0.1": 500}
+# Rows of days up to this one are held back and delivered late (STR5).
+LATE_SPLIT_DAY = "2024-01-02"
 
 
 def gate_for(sf_dir: str) -> int:
@@ -378,6 +380,21 @@ def q_str8_resume(spark, sf_dir):
     return comparable(SRC.read_parquet(spark, out).select(*C.WINDOW_COLUMNS))
 
 
+def q_str5_late_arrivals(spark, sf_dir):
+    """Days 3-30 arrive, then days 1-2 arrive in a later run over the same
+    checkpoint. By then the watermark is at the end of day 30, so every held
+    back row is late and dropped: the output holds only days 3-30."""
+    env = envelope(spark, sf_dir)
+    src = scratch_path(spark, "envelope-late")
+    out, ck = scratch_path(spark, "late-out"), scratch_path(spark, "late-ck")
+    day = F.to_date("timestamp")
+    for part in (day > F.lit(LATE_SPLIT_DAY), day <= F.lit(LATE_SPLIT_DAY)):
+        env.filter(part).write.mode("append").parquet(src)
+        stream = stream_windows(SRC.read_event_files_stream(spark, src))
+        _run_available_now(write_windows_stream(stream, out, ck, available_now=True))
+    return comparable(SRC.read_parquet(spark, out).select(*C.WINDOW_COLUMNS))
+
+
 # --- quality -------------------------------------------------------------------------
 
 def q_dq1(spark, sf_dir):
@@ -501,6 +518,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "STR4_stream_windows_unbounded_dedup": q_str4_unbounded_dedup,
         "STR2_STR4_stream_windows_pre_dedup": q_str2_pre_dedup,
         "STR8_resume_from_checkpoint": q_str8_resume,
+        "STR5_late_arrivals_dropped": q_str5_late_arrivals,
         "DQ1_check_columns": q_dq1,
         "DQ2_null_counts": q_dq2,
         "DQ3_check_non_empty": q_dq3,

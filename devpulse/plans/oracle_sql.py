@@ -11,6 +11,7 @@ from devpulse import constants as C
 
 GATE = 50          # population gate at sf0.01
 SPLIT_DAY = "2024-01-15"
+LATE_SPLIT_DAY = "2024-01-02"
 
 RAW = """raw AS (
   SELECT event_id, 'dev_' || CAST(user_id AS VARCHAR) AS device_id, event_type AS device_type,
@@ -282,6 +283,9 @@ def _oracle_sql() -> dict[str, str]:
     q["STR4_stream_windows_unbounded_dedup"] = q["STR4_SNK1_stream_windows"]
     q["STR8_resume_from_checkpoint"] = q["STR4_SNK1_stream_windows"]
     q["STR2_STR4_stream_windows_pre_dedup"] = q["STR4_SNK1_stream_windows"]
+    # late run: windows of the held-back days never appear
+    q["STR5_late_arrivals_dropped"] = ("WITH " + WINDOWS_STREAM + f"\nSELECT {WIN_COLS} FROM win_emitted "
+                                       f"WHERE CAST(window_start AS DATE) > DATE '{LATE_SPLIT_DAY}'")
     q["DQ1_check_columns"] = _dq1()
     crit = C.CRITICAL_WINDOW_COLUMNS
     q["DQ2_null_counts"] = ("WITH " + WINDOWS + "\n" + "\nUNION ALL ".join(
