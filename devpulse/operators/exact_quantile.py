@@ -7,8 +7,10 @@ a group carrying a large share of all rows. Here instead:
 1. count rows per (group, value)             - map-side combined
 2. range-partition those pairs by (group, value); each partition is a
    contiguous value range, so a hot group is spread over many partitions
-   (``_bucket``); the result is staged, fixing the bucket assignment
-3. running count inside (bucket, group), ordered by value
+   (``_bucket``)
+3. sort inside each partition and take the running count per group there
+   (vectorized over Arrow batches; no second shuffle); the result is
+   staged, fixing the bucket assignment
 4. per (bucket, group) totals -> per-group offsets and sizes; this table has
    at most (buckets + groups) rows
 5. join it back (size-checked broadcast) and keep the pairs that hold the
@@ -22,7 +24,7 @@ Rows with a NULL value or NULL group key are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from devpulse.operators.joins import join_small
 from devpulse.plans.staging import stage_table
@@ -42,13 +44,13 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
     for c in g:
         present = present & F.col(c).isNotNull()
     pairs = df.filter(present).groupBy(*g, v).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = pairs.repartitionByRange(buckets, *[F.col(c) for c in g], F.col(v))
-    staged = stage_table(ranged.withColumn("_bucket", F.spark_partition_id()), "exact-quantile")
+    ranged = (pairs.repartitionByRange(buckets, *[F.col(c) for c in g], F.col(v))
+              .sortWithinPartitions(*g, v))
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_bucket", T.IntegerType(), False),
+                                                  T.StructField("_run", T.LongType(), False)])
+    ranked = stage_table(ranged.mapInArrow(_running_counts(g), schema), "exact-quantile")
 
-    in_bucket = Window.partitionBy("_bucket", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = staged.withColumn("_run", F.sum("_c").over(in_bucket))
-
-    totals = staged.groupBy("_bucket", *g).agg(F.sum("_c").alias("_tot"))
+    totals = ranked.groupBy("_bucket", *g).agg(F.sum("_c").alias("_tot"))
     before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
     offsets = stage_table(totals.select(
@@ -79,3 +81,40 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
         F.max("_frac").alias("_frac"),
     )
     return agg.select(*g, (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias(out_col))
+
+
+def _running_counts(group_cols: list[str]):
+    """Arrow batches of one range partition, sorted by (group, value) ->
+    the same rows plus ``_bucket`` (the partition) and ``_run`` (running sum
+    of ``_c`` inside the group, carried across batches)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark import TaskContext
+
+    def run(batches):
+        bucket = TaskContext.get().partitionId()
+        last_key, carry = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            counts = batch.column("_c").to_numpy(zero_copy_only=False).astype(np.int64)
+            starts = np.zeros(n, dtype=bool)
+            starts[0] = True
+            for c in group_cols:
+                col = batch.column(c)
+                if n > 1:
+                    changed = pc.not_equal(col.slice(1), col.slice(0, n - 1))
+                    starts[1:] |= changed.to_numpy(zero_copy_only=False)
+            total = np.cumsum(counts)
+            seg = np.maximum.accumulate(np.where(starts, np.arange(n), 0))
+            running = total - (total[seg] - counts[seg])
+            first_key = tuple(batch.column(c)[0].as_py() for c in group_cols)
+            if first_key == last_key:
+                running[seg == 0] += carry
+            last_key = tuple(batch.column(c)[n - 1].as_py() for c in group_cols)
+            carry = int(running[-1])
+            yield (batch.append_column("_bucket", pa.array(np.full(n, bucket, dtype=np.int32)))
+                   .append_column("_run", pa.array(running, type=pa.int64())))
+    return run

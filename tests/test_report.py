@@ -108,6 +108,24 @@ def test_exact_percentile_matches_duckdb_on_skewed_groups(spark):
                 assert got[k] == pytest.approx(want[k], abs=1e-9), (p, method, k)
 
 
+def test_exact_percentile_running_count_spans_arrow_batches(spark):
+    # tiny Arrow batches: every group's running count crosses batch boundaries
+    random.seed(11)
+    data = [(f"g{k % 3}", float(random.randint(0, 300))) for k in range(4000)]
+    df = spark.createDataFrame(pd.DataFrame(data, columns=["g", "v"]))
+    con = duckdb.connect()
+    pdf = pd.DataFrame(data, columns=["g", "v"])
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for p in (0.1, 0.5, 0.95):
+            got = dict(exact_percentile(df, ["g"], "v", p, "disc", buckets=4).collect())
+            want = dict(con.execute(f"SELECT g, quantile_disc(v, {p}) FROM pdf GROUP BY g").fetchall())
+            assert got == want, p
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_exact_report_equals_approx_on_small_groups(spark):
     raw = events_as_raw(load_table(spark, SF001, "events"))
     ev = report_input(raw)
