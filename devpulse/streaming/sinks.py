@@ -6,7 +6,7 @@ Every sink has its own checkpoint folder; a restarted query resumes from it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from devpulse import constants as C
@@ -24,16 +24,36 @@ def _trigger(writer, trigger: str | None, available_now: bool):
     return writer
 
 
+def spread_over_directories(df: DataFrame, partition_by, files_per_directory: int) -> DataFrame:
+    """Shuffle the (already aggregated) rows so each output directory gets at
+    most ``files_per_directory`` writer tasks per micro-batch.
+
+    Without it every shuffle partition of the window aggregate writes a file
+    into every directory it holds: partitions x directories small files per
+    trigger. Salting by device keeps a hot directory spread over that many
+    tasks instead of one. AQE does not run inside streaming queries, so the
+    batch writer's ``rebalance`` hint is not available here.
+    """
+    salt_src = [F.col("device_id")] if "device_id" in df.columns else [F.col(c) for c in df.columns]
+    salt = F.pmod(F.xxhash64(*salt_src), F.lit(files_per_directory))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def write_windows_stream(df: DataFrame, path: str, checkpoint: str, trigger: str | None = C.TRIGGER_INTERVAL,
                          partition_by=STREAM_PARTITIONS, available_now: bool = False,
-                         query_name: str | None = None) -> StreamingQuery:
+                         query_name: str | None = None,
+                         files_per_directory: int | None = C.STREAM_FILES_PER_DIRECTORY) -> StreamingQuery:
     """SNK1: append-mode Parquet, partitioned, with its own checkpoint.
 
     Default directories are (device_type, event_date): one per type and day.
     ``REFERENCE_PARTITIONS`` gives one directory per type and minute.
+    ``files_per_directory`` bounds the files per directory and micro-batch
+    (``None`` writes straight from the aggregate's partitions).
     """
     if "event_date" in partition_by and "event_date" not in df.columns:
         df = with_partition_date(df)
+    if partition_by and files_per_directory:
+        df = spread_over_directories(df, partition_by, files_per_directory)
     writer = (df.writeStream.outputMode("append").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint)
               .partitionBy(*partition_by))

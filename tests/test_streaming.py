@@ -161,3 +161,25 @@ def test_pre_dedup_collapses_hot_copies(spark):
         q.awaitTermination()
         out[pre] = sorted_rows(read_parquet(spark, path))
     assert out[True] == out[False]
+
+
+def test_stream_sink_bounds_files_per_directory(spark):
+    import collections
+    import glob
+    import os
+    env = build_envelope(load_table(spark, SF001, "events"))
+    src = scratch_path(spark, "t-files")
+    env.repartition(4).write.parquet(src)
+    out, ck = scratch_path(spark, "t-files-out"), scratch_path(spark, "t-files-ck")
+    q = write_windows_stream(stream_windows(read_event_files_stream(spark, src)), out, ck, available_now=True,
+                             files_per_directory=2)
+    q.awaitTermination()
+    per_dir = collections.Counter(os.path.dirname(f) for f in glob.glob(f"{out}/*/*/*.parquet"))
+    batches_with_output = sum(1 for p in q.recentProgress if p["sink"].get("numOutputRows", -1) != 0)
+    assert per_dir and max(per_dir.values()) <= 2 * batches_with_output
+    # same rows as the unshuffled writer
+    out2, ck2 = scratch_path(spark, "t-files-out2"), scratch_path(spark, "t-files-ck2")
+    q2 = write_windows_stream(stream_windows(read_event_files_stream(spark, src)), out2, ck2, available_now=True,
+                              files_per_directory=None)
+    q2.awaitTermination()
+    assert sorted_rows(read_parquet(spark, out)) == sorted_rows(read_parquet(spark, out2))
