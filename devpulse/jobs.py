@@ -46,7 +46,8 @@ def run_stream(args) -> int:
     from devpulse.sources.kafka import read_kafka_events
     from devpulse.streaming.etl import stream_windows
     from devpulse.streaming.sinks import REFERENCE_PARTITIONS, STREAM_PARTITIONS, write_windows_stream
-    spark = _session("devpulse-stream")
+    from devpulse.session import streaming_defaults
+    spark = streaming_defaults(_session("devpulse-stream"))
     if args.source == "kafka":
         source = read_kafka_events(spark, args.servers, args.topic, args.starting_offsets, args.max_offsets)
     else:

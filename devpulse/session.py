@@ -46,6 +46,24 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+STATE_STORE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def streaming_defaults(spark: SparkSession) -> SparkSession:
+    """Keep streaming state in RocksDB (off the JVM heap, spills to local
+    disk, changelog checkpoints) unless the session names a provider.
+
+    Only a new checkpoint takes this setting: the provider is recorded in
+    the checkpoint, and a restarted query keeps the one it started with.
+    """
+    conf = spark._jsparkSession.conf()
+    if not conf.contains(STATE_STORE_PROVIDER):
+        spark.conf.set(STATE_STORE_PROVIDER, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 

@@ -48,6 +48,11 @@ def test_stream_job_from_files(spark):
     env = build_envelope(load_table(spark, SF001, "events"))
     src, out, ck = scratch_path(spark, "j-s"), scratch_path(spark, "j-so"), scratch_path(spark, "j-sc")
     env.write.parquet(src)
-    assert jobs.main(["stream", "--source", "files", "--input", src, "--output", out, "--checkpoint", ck,
-                      "--available-now"]) == 0
+    from devpulse.session import ROCKSDB_PROVIDER, STATE_STORE_PROVIDER
+    try:
+        assert jobs.main(["stream", "--source", "files", "--input", src, "--output", out, "--checkpoint", ck,
+                          "--available-now"]) == 0
+        assert spark.conf.get(STATE_STORE_PROVIDER) == ROCKSDB_PROVIDER    # unset -> RocksDB state
+    finally:
+        spark.conf.unset(STATE_STORE_PROVIDER)
     assert spark.read.parquet(out).count() > 0
