@@ -52,7 +52,7 @@ def run_stream(args) -> int:
         source = read_kafka_events(spark, args.servers, args.topic, args.starting_offsets, args.max_offsets)
     else:
         source = read_event_files_stream(spark, args.input, max_files_per_trigger=args.max_files)
-    windows = stream_windows(source, args.window, args.watermark)
+    windows = stream_windows(source, args.window, args.watermark, pre_dedup=not args.no_pre_dedup)
     layout = REFERENCE_PARTITIONS if args.minute_partitions else STREAM_PARTITIONS
     query = write_windows_stream(windows, args.output, args.checkpoint, args.trigger, layout,
                                  available_now=args.available_now)
@@ -104,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--trigger", default=C.TRIGGER_INTERVAL)
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--minute-partitions", action="store_true")
+    s.add_argument("--no-pre-dedup", action="store_true")
     v = sub.add_parser("validate-store")
     v.add_argument("--input", required=True)
     w = sub.add_parser("validate-report")

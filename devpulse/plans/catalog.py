@@ -345,7 +345,7 @@ def q_str3_30s(spark, sf_dir):
     return comparable(window_aggregate(etl.unique_events(envelope(spark, sf_dir)), "30 seconds"))
 
 
-def _stream_windows(spark, sources: list[str], within_watermark=True, pre_dedup=False) -> DataFrame:
+def _stream_windows(spark, sources: list[str], within_watermark=True, pre_dedup=True) -> DataFrame:
     out, ck = scratch_path(spark, "windows-out"), scratch_path(spark, "windows-ck")
     for src in sources:   # each run resumes from the same checkpoint
         stream = stream_windows(SRC.read_event_files_stream(spark, src), within_watermark=within_watermark,
@@ -366,6 +366,10 @@ def q_str2_pre_dedup(spark, sf_dir):
     return _stream_windows(spark, [_write_envelope(spark, sf_dir)], pre_dedup=True)
 
 
+def q_str2_no_pre_dedup(spark, sf_dir):
+    return _stream_windows(spark, [_write_envelope(spark, sf_dir)], pre_dedup=False)
+
+
 def q_str8_resume(spark, sf_dir):
     """Two runs over one checkpoint: days 1-15 arrive, the query stops, the
     rest arrives in the same folder, the query restarts and resumes."""
@@ -517,6 +521,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "STR4_SNK1_stream_windows": q_str4_snk1,
         "STR4_stream_windows_unbounded_dedup": q_str4_unbounded_dedup,
         "STR2_STR4_stream_windows_pre_dedup": q_str2_pre_dedup,
+        "STR2_STR4_stream_windows_no_pre_dedup": q_str2_no_pre_dedup,
         "STR8_resume_from_checkpoint": q_str8_resume,
         "STR5_late_arrivals_dropped": q_str5_late_arrivals,
         "DQ1_check_columns": q_dq1,

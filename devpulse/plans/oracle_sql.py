@@ -283,6 +283,7 @@ def _oracle_sql() -> dict[str, str]:
     q["STR4_stream_windows_unbounded_dedup"] = q["STR4_SNK1_stream_windows"]
     q["STR8_resume_from_checkpoint"] = q["STR4_SNK1_stream_windows"]
     q["STR2_STR4_stream_windows_pre_dedup"] = q["STR4_SNK1_stream_windows"]
+    q["STR2_STR4_stream_windows_no_pre_dedup"] = q["STR4_SNK1_stream_windows"]
     # late run: windows of the held-back days never appear
     q["STR5_late_arrivals_dropped"] = ("WITH " + WINDOWS_STREAM + f"\nSELECT {WIN_COLS} FROM win_emitted "
                                        f"WHERE CAST(window_start AS DATE) > DATE '{LATE_SPLIT_DAY}'")
