@@ -49,7 +49,10 @@ def run_stream(args) -> int:
     from devpulse.session import streaming_defaults
     spark = streaming_defaults(_session("devpulse-stream"))
     if args.source == "kafka":
-        source = read_kafka_events(spark, args.servers, args.topic, args.starting_offsets, args.max_offsets)
+        # split hot topic partitions over the cluster's cores
+        min_parts = args.min_partitions or spark.sparkContext.defaultParallelism
+        source = read_kafka_events(spark, args.servers, args.topic, args.starting_offsets, args.max_offsets,
+                                   min_partitions=min_parts)
     else:
         source = read_event_files_stream(spark, args.input, max_files_per_trigger=args.max_files)
     windows = stream_windows(source, args.window, args.watermark, pre_dedup=not args.no_pre_dedup)
@@ -95,6 +98,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--topic", default=C.KAFKA_TOPIC)
     s.add_argument("--starting-offsets", default=C.KAFKA_STARTING_OFFSETS)
     s.add_argument("--max-offsets", type=int, default=C.KAFKA_MAX_OFFSETS_PER_TRIGGER)
+    s.add_argument("--min-partitions", type=int)
     s.add_argument("--input")
     s.add_argument("--max-files", type=int)
     s.add_argument("--output", required=True)

@@ -13,9 +13,15 @@ from devpulse import constants as C
 
 
 def kafka_options(servers: str, topic: str = C.KAFKA_TOPIC, starting: str = C.KAFKA_STARTING_OFFSETS,
-                  max_offsets: int = C.KAFKA_MAX_OFFSETS_PER_TRIGGER, fail_on_loss: bool = False) -> dict:
-    """Source options: rate limit per trigger, loss tolerance, client timeouts."""
-    return {
+                  max_offsets: int = C.KAFKA_MAX_OFFSETS_PER_TRIGGER, fail_on_loss: bool = False,
+                  min_partitions: int | None = None) -> dict:
+    """Source options: rate limit per trigger, loss tolerance, client timeouts.
+
+    ``min_partitions`` lets Spark split large topic partitions into several
+    tasks by offset range, so a topic partition carrying a third of the
+    traffic is not read by one task (default: one task per topic partition).
+    """
+    opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
@@ -26,12 +32,15 @@ def kafka_options(servers: str, topic: str = C.KAFKA_TOPIC, starting: str = C.KA
         "kafka.request.timeout.ms": "60000",
         "kafka.session.timeout.ms": "30000",
     }
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
+    return opts
 
 
 def read_kafka_events(spark: SparkSession, servers: str, topic: str = C.KAFKA_TOPIC,
                       starting: str = C.KAFKA_STARTING_OFFSETS,
                       max_offsets: int = C.KAFKA_MAX_OFFSETS_PER_TRIGGER,
-                      fail_on_loss: bool = False) -> DataFrame:
+                      fail_on_loss: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Streaming DataFrame in the Kafka envelope shape (key, value, topic, ...)."""
-    opts = kafka_options(servers, topic, starting, max_offsets, fail_on_loss)
+    opts = kafka_options(servers, topic, starting, max_offsets, fail_on_loss, min_partitions)
     return spark.readStream.format("kafka").options(**opts).load()

@@ -28,5 +28,7 @@ def test_kafka_options_and_missing_connector(spark):
     opts = kafka_options("broker:9092")
     assert opts["subscribe"] == "input_events" and opts["maxOffsetsPerTrigger"] == "1000"
     assert opts["failOnDataLoss"] == "false" and opts["startingOffsets"] == "latest"
+    assert "minPartitions" not in opts
+    assert kafka_options("broker:9092", min_partitions=64)["minPartitions"] == "64"
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka_events(spark, "broker:9092")
