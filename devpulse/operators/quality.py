@@ -74,18 +74,26 @@ def check_columns(df: DataFrame, expected: list[str] | None = None,
     missing one, ``extra`` for an unexpected one, else ``ok``. Names compare
     as sets; counts come from one aggregate over the present columns.
     """
-    spark = df.sparkSession
     expected = list(expected or C.WINDOW_COLUMNS)
     critical = set(critical or C.CRITICAL_WINDOW_COLUMNS)
     present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = list(present)
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    return _column_table(df, counts, expected, critical)
+
+
+def _column_table(df: DataFrame, counts: DataFrame, expected: list[str], critical: set) -> DataFrame:
+    """DQ1 findings from the schema and a one-row frame (``__rows``, ``n<i>``
+    = NULLs of the i-th column of ``df``)."""
+    spark = df.sparkSession
+    present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     names = expected + [c for c in df.columns if c not in expected]
     meta = spark.createDataFrame(
         [(n, n in expected, n in present, present.get(n), n in critical) for n in names],
         "column_name string, expected boolean, present boolean, data_type string, critical boolean",
     )
     cols = list(present)
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
     pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
     per_col = counts.selectExpr("__rows", f"stack({len(cols)}, {pairs}) as (column_name, null_count)")
     out = meta.join(F.broadcast(per_col), "column_name", "left")
@@ -118,6 +126,11 @@ def quality_report(df: DataFrame) -> DataFrame:
         *([F.sum("event_count").alias("sum_ec"), F.count("event_count").alias("cnt_ec"),
            F.max("event_count").alias("max_ec"), F.min("event_count").alias("min_ec")] if has_count else []),
     )
+    return _quality_table(per_type, crit, has_count)
+
+
+def _quality_table(per_type: DataFrame, crit: list[str], has_count: bool) -> DataFrame:
+    """DQ4 findings folded from per-type rows (rows, null_<c>, sum/cnt/max/min_ec)."""
     totals = per_type.agg(
         F.sum("rows").alias("rows"),
         *[F.sum(f"null_{c}").alias(f"null_{c}") for c in crit],
@@ -143,7 +156,7 @@ def check_partitions(df: DataFrame, column: str = "device_type") -> DataFrame:
     """DQ5: distinct types, and rows whose ``column=`` path segment differs
     from the column value (read through the hidden ``_metadata`` column of a
     file scan)."""
-    seg = F.regexp_extract(F.col("_metadata.file_path"), f"{column}=([^/]+)", 1)
+    seg = _path_segment(column)
     return df.select(F.col(column), seg.alias("_seg")).agg(
         F.countDistinct(column).alias("distinct_types"),
         F.count_if(F.col("_seg") != F.col(column)).alias("mismatched_rows"),
@@ -151,6 +164,58 @@ def check_partitions(df: DataFrame, column: str = "device_type") -> DataFrame:
     )
 
 
+def _path_segment(column: str) -> F.Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), f"{column}=([^/]+)", 1)
+
+
+# --- DQ1 + DQ4 + DQ5 in one pass ----------------------------------------------
+
+def store_profile(df: DataFrame, column: str = "device_type", with_partitions: bool = True) -> DataFrame:
+    """One aggregate by ``column`` over the stored windows: rows, NULLs of
+    every column, event_count sum/count/max/min and, for a file scan, rows
+    whose directory disagrees with the value. Few rows (one per type)."""
+    cols = df.columns
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+    if "event_count" in cols:
+        aggs += [F.sum("event_count").alias("sum_ec"), F.count("event_count").alias("cnt_ec"),
+                 F.max("event_count").alias("max_ec"), F.min("event_count").alias("min_ec")]
+    if with_partitions:
+        seg = _path_segment(column)
+        aggs += [F.count_if(seg != F.col(column)).alias("mismatched_rows"),
+                 F.count_if(seg == "").alias("rows_outside_partitions")]
+    return df.groupBy(column).agg(*aggs)
+
+
+def store_checks(df: DataFrame, with_partitions: bool = True) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(DQ1, DQ4, DQ5) tables from one scan of ``df`` (grouped by device_type).
+
+    The profile (one row per type) is written once to the shared checkpoint
+    folder and the three tables are folded from it. Left lazy, each table
+    would prune the profile differently and re-read the store.
+    """
+    from devpulse.plans.staging import stage_table
+    profile = stage_table(store_profile(df, with_partitions=with_partitions), "store-profile")
+    cols = df.columns
+    counts = profile.agg(F.sum("rows").alias("__rows"),
+                         *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(cols))])
+    columns = _column_table(df, counts, list(C.WINDOW_COLUMNS), set(C.CRITICAL_WINDOW_COLUMNS))
+    has_count = "event_count" in cols
+    crit = [c for c in C.CRITICAL_WINDOW_COLUMNS if c in cols]
+    per_type = profile.select(
+        "device_type", "rows", *[F.col(f"n{cols.index(c)}").alias(f"null_{c}") for c in crit],
+        *(["sum_ec", "cnt_ec", "max_ec", "min_ec"] if has_count else []))
+    quality = _quality_table(per_type, crit, has_count)
+    parts = None
+    if with_partitions:
+        parts = profile.agg(
+            F.count("device_type").alias("distinct_types"),
+            F.coalesce(F.sum("mismatched_rows"), F.lit(0)).alias("mismatched_rows"),
+            F.coalesce(F.sum("rows_outside_partitions"), F.lit(0)).alias("rows_outside_partitions"),
+        )
+    return columns, quality, parts
+
+
 # --- DQ6: report check ------------------------------------------------------
 
 def _blank(c: str) -> F.Column:

@@ -18,13 +18,21 @@ STEP_SCHEMA = "step string, passed boolean, detail string"
 
 
 def window_store_checks(df: DataFrame) -> DataFrame:
-    """DQ1 + DQ4 + DQ5 as one findings table (check, scope, observed, status)."""
-    cols = Q.check_columns(df).select(
+    """DQ1 + DQ4 + DQ5 as one findings table (check, scope, observed, status).
+
+    With ``device_type`` present all three come from one grouped scan
+    (``store_checks``); otherwise the column check runs alone.
+    """
+    if "device_type" in df.columns:
+        columns, quality, partitions = Q.store_checks(df)
+    else:
+        columns, quality, partitions = Q.check_columns(df), Q.quality_report(df), None
+    cols = columns.select(
         F.concat(F.lit("column:"), F.col("column_name")).alias("check"), F.lit("schema").alias("scope"),
         F.col("null_count").cast("double").alias("observed"), F.col("status"))
-    found = [cols, Q.quality_report(df)]
-    if "device_type" in df.columns:
-        parts = Q.check_partitions(df).select(
+    found = [cols, quality]
+    if partitions is not None:
+        parts = partitions.select(
             F.lit("partition_mismatch").alias("check"), F.lit("all").alias("scope"),
             F.col("mismatched_rows").cast("double").alias("observed"),
             F.when(F.col("mismatched_rows") == 0, "pass").otherwise("fail").alias("status"))

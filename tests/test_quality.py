@@ -135,3 +135,19 @@ def test_partitions_inventory_and_delta(spark):
     new = Q.inventory_delta(before, inv)
     assert new.count() + before.count() == inv.count()
     assert stored.count() == w.count()
+
+
+def test_store_checks_one_scan_equals_separate_checks(spark):
+    path = scratch_path(spark, "t-store-fused")
+    write_windows(windows(spark).drop("city"), path)      # a warn-level gap too
+    df = read_parquet(spark, path)
+    columns, quality, partitions = Q.store_checks(df)
+
+    def rows(x):
+        return sorted(tuple(r) for r in x.collect())
+    assert rows(columns) == rows(Q.check_columns(df))
+    assert rows(quality) == rows(Q.quality_report(df))
+    assert rows(partitions) == rows(Q.check_partitions(df))
+    # the folded tables read only the staged profile, never the store again
+    plan = quality._jdf.queryExecution().executedPlan().toString()
+    assert "store-profile" in plan and path not in plan
