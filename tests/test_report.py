@@ -159,3 +159,24 @@ def test_plan_broadcast_pushdown_and_pruning(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 3
     assert sum("device_id" in e for e in exchanges) == 1
+
+
+def test_plan_partition_pruning_on_stored_windows(spark):
+    # the report over stored windows (TRAP7 aggregated input) for some days and one
+    # type: both predicates become partition filters, so other directories are never listed
+    from devpulse.plans import etl
+    from devpulse.session import scratch_path
+    from devpulse.sinks import write_windows
+    from devpulse.sources.files import read_parquet
+    from devpulse.sources.fixtures import build_envelope
+    path = scratch_path(spark, "t-prune")
+    write_windows(etl.window_table(build_envelope(load_table(spark, SF001, "events"))), path)
+    store = read_parquet(spark, path)
+    kept = store.filter((F.col("event_date") >= F.lit("2024-01-10")) & (F.col("device_type") == "click"))
+    rep = percentile_report(kept, min_population=1, mode="aggregated")
+    plan = plan_text(rep, "simple")
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [" in s and "event_date" in s.split("PartitionFilters: [")[1]
+                         and "device_type" in s.split("PartitionFilters: [")[1] for s in scans)
+    got = rep.collect()
+    assert got and all(r.device_type == "click" and str(r.event_date) >= "2024-01-10" for r in got)
