@@ -15,12 +15,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from devpulse.operators import percentile as PCT  # noqa: E402
 from devpulse.operators import quality as Q  # noqa: E402
 from devpulse.operators.transform import parse_events, parse_payload, project_envelope  # noqa: E402
 from devpulse.plans import catalog, etl  # noqa: E402
-from devpulse.plans.report import percentile_report, report_input  # noqa: E402
-from devpulse.plans.staging import stage_table  # noqa: E402
+from devpulse.plans.report import percentile_report  # noqa: E402
 from devpulse.session import local_session, scratch_path  # noqa: E402
 from devpulse.sources.files import read_event_files_stream, read_parquet  # noqa: E402
 from devpulse.sources.fixtures import build_envelope  # noqa: E402
@@ -56,15 +54,9 @@ def plan_for(spark, sf_dir: str, cpus: str) -> dict:
                                  available_now=True)
         q.awaitTermination()
 
-    def exact():
-        ev = report_input(raw)
-        st = PCT.min_population(stage_table(PCT.daily_stats(ev), "bench-stats"), gate)
-        kept = PCT.within_sigma(PCT.attach_group_stats(ev, st))
-        PCT.daily_percentile_exact(kept).collect()
-
     return {
         "percentile_report": lambda: percentile_report(raw, min_population=gate).collect(),
-        "percentile_report_exact": exact,
+        "percentile_report_exact": lambda: percentile_report(raw, min_population=gate, method="disc").collect(),
         "etl_windows_batch": lambda: noop(etl.window_table(env_files)),
         "etl_windows_stream": stream,
         "quality_report": lambda: Q.quality_report(etl.window_table(env_files)).collect(),

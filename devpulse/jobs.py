@@ -33,7 +33,8 @@ def run_report(args) -> int:
     from devpulse.sources.files import read_any, read_parquet, read_report_csv
     spark = _session("devpulse-report")
     report = percentile_report(read_any(spark, args.input), p=args.percentile, k=args.sigmas,
-                               min_population=args.min_population, population=args.population)
+                               min_population=args.min_population, population=args.population,
+                               method=args.method)
     write_report(report, args.output, args.format)
     # summary from the written result, not a second computation
     written = read_report_csv(spark, args.output) if args.format == "csv" else read_parquet(spark, args.output)
@@ -92,6 +93,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--sigmas", type=float, default=C.OUTLIER_STD_DEVIATIONS)
     r.add_argument("--min-population", type=int, default=C.MIN_POPULATION)
     r.add_argument("--population", choices=["devices", "events"], default="devices")
+    r.add_argument("--method", choices=["approx", "disc", "cont"], default="approx")
     s = sub.add_parser("stream")
     s.add_argument("--source", choices=["kafka", "files"], default="kafka")
     s.add_argument("--servers", default="kafka:9092")

@@ -134,6 +134,12 @@ def test_exact_report_equals_approx_on_small_groups(spark):
     approx = {(r.device_type, r.event_date): r.percentile_95 for r in PCT.daily_percentile(kept).collect()}
     exact = {(r.device_type, r.event_date): r.percentile_95 for r in PCT.daily_percentile_exact(kept).collect()}
     assert approx == exact
+    # the flagship with method="disc" is the same exact report, in report order
+    flagship = percentile_report(raw, min_population=5, method="disc").collect()
+    assert {(r.device_type, r.event_date): r.percentile_95 for r in flagship} == exact
+    assert [(r.device_type, r.event_date) for r in flagship] == sorted(exact)
+    with pytest.raises(ValueError):
+        percentile_report(raw, method="median")
 
 
 def test_report_summary_and_top_rows(spark):
