@@ -8,13 +8,35 @@ bound; otherwise the join shuffles, with the small side replicated over
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-# Default bound for broadcasting a side: rows, not bytes, because the sides
-# broadcast here are narrow aggregates (a few dozen bytes per row).
+# Bounds for broadcasting a side: its measured row count, and that count
+# times a row width estimated from the schema. Every executor holds a copy.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALTS = 16
 
+# Bytes per value in Spark's row format: 8-byte slot per field, plus an
+# allowance for the variable-length part of strings and binaries.
+_VARIABLE_ALLOWANCE = 32
+
+
+def estimated_row_bytes(schema: T.StructType) -> int:
+    """Upper-end width of one row in Spark's binary row format."""
+    width = 8 + 8 * len(schema.fields)               # null bits + fixed slots
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width += _VARIABLE_ALLOWANCE
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            width += 4 * _VARIABLE_ALLOWANCE
+    return width
+
+
+def broadcast_row_limit(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                        max_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    """Rows a side may have and still be broadcast (the tighter of both bounds)."""
+    return min(max_rows, max_bytes // estimated_row_bytes(df.schema))
+
 
 def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
     """Row count if it is at most ``max_rows``, else None.
@@ -48,13 +70,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
 
 
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS, salts: int = DEFAULT_SALTS) -> DataFrame:
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``small`` when its measured size is bounded, else salted shuffle join.
 
-    ``small`` should be materialized (a staged table or a file scan): it is
-    counted first and joined after, and an unmaterialized aggregate would be
-    computed twice.
+    The bound is on rows and on bytes (rows x estimated row width, at most
+    ``MAX_BROADCAST_BYTES``). ``small`` should be materialized (a staged
+    table or a file scan): it is counted first and joined after, and an
+    unmaterialized aggregate would be computed twice.
     """
-    if bounded_row_count(small, max_broadcast_rows) is not None:
+    if bounded_row_count(small, broadcast_row_limit(small, max_broadcast_rows, max_broadcast_bytes)) is not None:
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, how, salts)

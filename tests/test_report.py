@@ -186,3 +186,17 @@ def test_plan_partition_pruning_on_stored_windows(spark):
                          and "device_type" in s.split("PartitionFilters: [")[1] for s in scans)
     got = rep.collect()
     assert got and all(r.device_type == "click" and str(r.event_date) >= "2024-01-10" for r in got)
+
+
+def test_broadcast_needs_row_and_byte_bounds(spark):
+    from devpulse.operators.joins import broadcast_row_limit, join_small
+    from devpulse.plans.staging import stage_table
+    ev = report_input(events_as_raw(load_table(spark, SF001, "events")))
+    st = stage_table(PCT.daily_stats(ev), "t-bounds")
+    n = st.count()
+    assert broadcast_row_limit(st, max_rows=10**9, max_bytes=80 * 10) == 10     # 80-byte rows
+    small_enough = join_small(ev, st, PCT.GROUP_KEYS)
+    too_wide = join_small(ev, st, PCT.GROUP_KEYS, max_broadcast_bytes=80 * (n - 1))
+    assert "_salt" not in plan_text(small_enough, "simple")
+    assert "_salt" in plan_text(too_wide, "simple")
+    assert rows(small_enough.select(*sorted(small_enough.columns))) == rows(too_wide.select(*sorted(too_wide.columns)))
