@@ -12,6 +12,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from devpulse import constants as C
+
+STATE_STORE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MIN_BATCHES_TO_RETAIN = "spark.sql.streaming.minBatchesToRetain"
+
 # Settings every devpulse job relies on. Time-zone pinning makes
 # ``to_date`` and the NTZ <-> TIMESTAMP casts deterministic.
 _DEFAULTS = {
@@ -31,7 +37,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "dev
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.streaming.minBatchesToRetain", "10")
+        .config(MIN_BATCHES_TO_RETAIN, str(C.MIN_BATCHES_TO_RETAIN))
     )
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
@@ -46,13 +52,10 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-STATE_STORE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def streaming_defaults(spark: SparkSession) -> SparkSession:
     """Keep streaming state in RocksDB (off the JVM heap, spills to local
-    disk, changelog checkpoints) unless the session names a provider.
+    disk, changelog checkpoints) unless the session names a provider, and
+    keep 10 micro-batches of checkpoint history unless set.
 
     Only a new checkpoint takes this setting: the provider is recorded in
     the checkpoint, and a restarted query keeps the one it started with.
@@ -61,6 +64,8 @@ def streaming_defaults(spark: SparkSession) -> SparkSession:
     if not conf.contains(STATE_STORE_PROVIDER):
         spark.conf.set(STATE_STORE_PROVIDER, ROCKSDB_PROVIDER)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if not conf.contains(MIN_BATCHES_TO_RETAIN):
+        spark.conf.set(MIN_BATCHES_TO_RETAIN, str(C.MIN_BATCHES_TO_RETAIN))
     return spark
 
 
