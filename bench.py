@@ -19,6 +19,8 @@ from devpulse.operators import quality as Q  # noqa: E402
 from devpulse.operators.transform import parse_events, parse_payload, project_envelope  # noqa: E402
 from devpulse.plans import catalog, etl  # noqa: E402
 from devpulse.plans.report import percentile_report  # noqa: E402
+from devpulse.plans.validation import validate_window_store  # noqa: E402
+from devpulse.sinks import write_windows  # noqa: E402
 from devpulse.session import local_session, scratch_path  # noqa: E402
 from devpulse.sources.files import read_event_files_stream, read_parquet  # noqa: E402
 from devpulse.sources.fixtures import build_envelope  # noqa: E402
@@ -48,6 +50,10 @@ def plan_for(spark, sf_dir: str, cpus: str) -> dict:
     env.repartition(int(cpus)).write.parquet(env_path)
     env_files = read_parquet(spark, env_path)
 
+    # the stored window table the validation job reads (written once, untimed)
+    store_path = scratch_path(spark, "bench-store")
+    write_windows(etl.window_table(env_files), store_path)
+
     def stream():
         out, ck = scratch_path(spark, "bench-out"), scratch_path(spark, "bench-ck")
         q = write_windows_stream(stream_windows(read_event_files_stream(spark, env_path)), out, ck,
@@ -63,6 +69,7 @@ def plan_for(spark, sf_dir: str, cpus: str) -> dict:
         "contract_check": lambda: Q.contract_violation_counts(
             parse_payload(project_envelope(env_files))).collect(),
         "reject_reasons": lambda: noop(etl.reject_reasons(parse_events(env_files, keep_corrupt=True))),
+        "store_validation": lambda: validate_window_store(spark, store_path).collect(),
     }
 
 
