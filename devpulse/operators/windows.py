@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from devpulse import constants as C
-from devpulse.functions.aggregates import first_by_time
+from devpulse.functions.aggregates import first_row_by_time
+
+FIRST_COLUMNS = ["city", "country", "firmware_version"]
 
 
 def window_measures(time_col: str = "event_timestamp") -> list:
@@ -23,9 +25,8 @@ def window_measures(time_col: str = "event_timestamp") -> list:
         F.min("battery_level").alias("min_battery_level"),
         F.avg("signal_strength").alias("avg_signal_strength"),
         F.min("signal_strength").alias("min_signal_strength"),
-        first_by_time("city", time_col).alias("city"),
-        first_by_time("country", time_col).alias("country"),
-        first_by_time("firmware_version", time_col).alias("firmware_version"),
+        # city, country, firmware of the earliest row: one min_by over a struct
+        first_row_by_time(FIRST_COLUMNS, time_col).alias("_first"),
         F.max(time_col).alias("last_event_time"),
     ]
 
@@ -33,10 +34,11 @@ def window_measures(time_col: str = "event_timestamp") -> list:
 def flatten_window(df: DataFrame) -> DataFrame:
     """PRJ7: window struct -> start/end columns, fixed 16-column order."""
     rest = [c for c in C.WINDOW_COLUMNS if c not in ("window_start", "window_end")]
+    nested = "_first" in df.columns
     return df.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        *[F.col(c) for c in rest],
+        *[F.col(f"_first.{c}").alias(c) if nested and c in FIRST_COLUMNS else F.col(c) for c in rest],
     )
 
 
