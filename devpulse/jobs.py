@@ -59,7 +59,8 @@ def run_stream(args) -> int:
     windows = stream_windows(source, args.window, args.watermark, pre_dedup=not args.no_pre_dedup)
     layout = REFERENCE_PARTITIONS if args.minute_partitions else STREAM_PARTITIONS
     query = write_windows_stream(windows, args.output, args.checkpoint, args.trigger, layout,
-                                 available_now=args.available_now)
+                                 available_now=args.available_now,
+                                 files_per_directory=args.files_per_directory or None)
     query.awaitTermination()
     return 0
 
@@ -111,6 +112,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--minute-partitions", action="store_true")
     s.add_argument("--no-pre-dedup", action="store_true")
+    # files per output directory and micro-batch; 0 writes straight from the aggregate
+    s.add_argument("--files-per-directory", type=int, default=C.STREAM_FILES_PER_DIRECTORY)
     v = sub.add_parser("validate-store")
     v.add_argument("--input", required=True)
     w = sub.add_parser("validate-report")
