@@ -72,9 +72,10 @@ def streaming_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (what the cluster names); only when the
-    session names none (local tests) create one and register it, so later
-    ``DataFrame.checkpoint()`` calls and streaming checkpoints share it.
+    Read from ``spark.checkpoint.dir`` (what the cluster names). Only a local
+    session (tests, local runs) that names none gets a folder created here;
+    on a cluster a machine-local folder would not be shared by the executors,
+    so a missing setting is an error there.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -82,6 +83,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and registered.isDefined():
         root = registered.get()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder all executors share "
+                               "(it holds staged tables and streaming checkpoints)")
         root = tempfile.mkdtemp(prefix="devpulse-ckpt-")
     if not registered.isDefined():
         sc.setCheckpointDir(root)
