@@ -19,6 +19,12 @@ def test_report_job_writes_csv(spark):
     assert read_report_csv(spark, out).count() == 97
     # the hard-coded 500-event check fails at this scale: exit status 1
     assert jobs.main(["validate-report", "--input", out]) == 1
+    # the exact percentile gives the same report at this scale
+    exact_out = scratch_path(spark, "j-exact")
+    assert jobs.main(["report", "--input", src, "--output", exact_out, "--min-population", "5",
+                      "--method", "disc"]) == 0
+    assert (sorted(map(tuple, read_report_csv(spark, exact_out).collect()))
+            == sorted(map(tuple, read_report_csv(spark, out).collect())))
 
 
 def test_validate_report_job_passes_on_sample(spark):
