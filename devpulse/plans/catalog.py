@@ -293,6 +293,11 @@ def _kept(spark, sf_dir):
     return PCT.within_sigma(PCT.attach_group_stats(ev, st))
 
 
+def q_agg5_report_method(spark, sf_dir):
+    """The flagship report with ``method="disc"`` (exact p95, report order)."""
+    return comparable(percentile_report(raw(spark, sf_dir), min_population=gate_for(sf_dir), method="disc"))
+
+
 def q_agg5_disc(spark, sf_dir):
     return comparable(PCT.daily_percentile_exact(_kept(spark, sf_dir), method="disc"))
 
@@ -509,6 +514,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "AGG4_percentile_report_two_joins": q_agg4_two_joins,
         "AGG5_exact_percentile_disc": q_agg5_disc,
         "AGG5_exact_percentile_cont": q_agg5_cont,
+        "AGG5_SRT1_percentile_report_exact_method": q_agg5_report_method,
         "AGG6_report_summary": q_agg6,
         "AGG7_event_count_stats": q_agg7,
         "AGG8_type_distribution": q_agg8,

@@ -264,6 +264,7 @@ def _oracle_sql() -> dict[str, str]:
         + _kept(source="agg_in") + ",\nreport AS (" + REPORT_SELECT + ")\nSELECT * FROM report")
     q["AGG4_percentile_report_two_joins"] = q["AGG4_SRT1_percentile_report"]
     q["AGG5_exact_percentile_disc"] = q["AGG4_SRT1_percentile_report"]
+    q["AGG5_SRT1_percentile_report_exact_method"] = q["AGG4_SRT1_percentile_report"]
     q["AGG5_exact_percentile_cont"] = REPORT.replace("quantile_disc", "quantile_cont") + "\nSELECT * FROM report"
     q["AGG6_report_summary"] = (REPORT + "\nSELECT count(*) AS total_device_type_days, "
                                 "r6(avg(percentile_95)) AS avg_percentile_95, "
