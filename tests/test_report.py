@@ -200,3 +200,45 @@ def test_broadcast_needs_row_and_byte_bounds(spark):
     assert "_salt" not in plan_text(small_enough, "simple")
     assert "_salt" in plan_text(too_wide, "simple")
     assert rows(small_enough.select(*sorted(small_enough.columns))) == rows(too_wide.select(*sorted(too_wide.columns)))
+
+
+def _disc(values, p):
+    import math
+    v = sorted(values)
+    return float(v[max(math.ceil(p * len(v)), 1) - 1])
+
+
+def _cont(values, p):
+    import math
+    v = sorted(values)
+    pos = (len(v) - 1) * p
+    lo, hi = v[math.floor(pos)], v[math.ceil(pos)]
+    return lo + (pos - math.floor(pos)) * (hi - lo)
+
+
+def test_exact_percentile_property(spark):
+    # random groups, many ties, random p, bucket counts and Arrow batch sizes
+    from hypothesis import given, settings, strategies as st
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    @settings(max_examples=8, deadline=None, derandomize=True)
+    @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(-5, 20)), min_size=1, max_size=300),
+           p=st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]), buckets=st.integers(1, 6),
+           batch=st.integers(2, 40), method=st.sampled_from(["disc", "cont"]))
+    def check(rows, p, buckets, batch, method):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        df = spark.createDataFrame([(f"g{g}", float(v)) for g, v in rows], "g string, v double")
+        got = dict(exact_percentile(df, ["g"], "v", p, method, buckets=buckets).collect())
+        groups = {}
+        for g, v in rows:
+            groups.setdefault(f"g{g}", []).append(v)
+        ref = _disc if method == "disc" else _cont
+        want = {g: ref(vs, p) for g, vs in groups.items()}
+        assert got.keys() == want.keys()
+        for g in want:
+            assert got[g] == pytest.approx(want[g], abs=1e-9), (g, p, method)
+
+    try:
+        check()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
