@@ -205,3 +205,27 @@ def test_trap11_reference_minute_layout_reads_back(spark):
     q2 = write_windows_stream(stream_windows(read_event_files_stream(spark, src)), out2, ck2, available_now=True)
     q2.awaitTermination()
     assert sorted_rows(back) == sorted_rows(read_parquet(spark, out2))
+
+
+def test_first_per_key_property():
+    # pure Arrow step of the stream pre-dedup: first occurrence of each key, in arrival order
+    import pyarrow as pa
+    from hypothesis import given, settings, strategies as st
+    from devpulse.streaming.etl import _first_per_key
+
+    @settings(max_examples=50, deadline=None, derandomize=True)
+    @given(rows=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b", None]), st.integers(-2**62, 2**62)),
+                         max_size=60))
+    def check(rows):
+        batch = pa.RecordBatch.from_pylist([{"event_id": e, "device_id": d, "payload": x} for e, d, x in rows],
+                                           schema=pa.schema([("event_id", pa.int64()), ("device_id", pa.string()),
+                                                             ("payload", pa.int64())]))
+        out = [r for b in _first_per_key(["event_id", "device_id"])([batch]) for r in b.to_pylist()]
+        seen, want = set(), []
+        for e, d, x in rows:
+            if (e, d) not in seen:
+                seen.add((e, d))
+                want.append({"event_id": e, "device_id": d, "payload": x})
+        assert out == want
+
+    check()
