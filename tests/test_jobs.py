@@ -21,6 +21,10 @@ def test_report_job_writes_csv(spark):
     assert read_report_csv(spark, out).count() == 97
     # the hard-coded 500-event check fails at this scale: exit status 1
     assert jobs.main(["validate-report", "--input", out]) == 1
+    pq_out = scratch_path(spark, "j-out-pq")
+    assert jobs.main(["report", "--input", src, "--output", pq_out, "--min-population", "5",
+                      "--format", "parquet"]) == 0
+    assert spark.read.parquet(pq_out).count() == 97
     # the exact percentile gives the same report at this scale
     exact_out = scratch_path(spark, "j-exact")
     assert jobs.main(["report", "--input", src, "--output", exact_out, "--min-population", "5",
