@@ -140,3 +140,25 @@ def test_prepare_events_modes(spark):
     assert TR.prepare_events(agg).first().event_duration == 2.0
     with pytest.raises(ValueError):
         TR.prepare_events(spark.createDataFrame([(1,)], "x int"))
+
+
+def test_guarded_event_time_parse_equals_plain_chain(spark):
+    # the library skips patterns that cannot match; the plain chain tries all four in order
+    import itertools
+    from devpulse.constants import EVENT_TIME_FORMATS
+    from devpulse.functions.time import parse_event_time_expr
+    dates = ["2024-01-15", "2024-1-15", "2024-02-30", "2024-13-01"]
+    seps = ["T", "t", " "]
+    times = ["10:20:30", "10:20", "25:00:00"]
+    fractions = ["", ".1", ".123", ".123456", ".1234567", ".", ".12a"]
+    zones = ["", "Z", "z", "+02:00", "-05:30", "+0200", "+02", " UTC", "+02:00Z", "GMT"]
+    tails = ["", "x", " "]
+    texts = ["".join(parts) for parts in itertools.product(dates, seps, times, fractions, zones, tails)]
+    texts += ["", "not a time", ".", "Z", "z", "2024", "2024-01-15", ".2024-01-15T10:20:30Z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    plain = F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in EVENT_TIME_FORMATS], F.try_to_timestamp(t))
+    both = df.select("t", plain.alias("plain"), parse_event_time_expr(t).alias("guarded"))
+    diff = both.filter(~F.col("plain").eqNullSafe(F.col("guarded"))).collect()
+    assert not diff, diff[:5]
+    assert both.filter(F.col("plain").isNotNull()).count() > 100      # the corpus does parse
