@@ -35,6 +35,9 @@ def _first_per_key(keys: list[str]):
             table = pa.Table.from_batches([batch])
             numbered = table.append_column("__row", pa.array(np.arange(table.num_rows, dtype=np.int64)))
             first = numbered.group_by(keys, use_threads=False).aggregate([("__row", "min")])
+            if first.num_rows == batch.num_rows:      # no repeats: the batch as it came
+                yield batch
+                continue
             rows = pc.sort_indices(first.column("__row_min"))
             yield from table.take(pc.take(first.column("__row_min"), rows)).to_batches()
     return run
