@@ -242,3 +242,23 @@ def test_exact_percentile_property(spark):
         check()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_salted_join_property(spark):
+    # random skewed keys, salt counts and join types: salting never changes the result
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=6, deadline=None, derandomize=True)
+    @given(big=st.lists(st.tuples(st.sampled_from([0, 0, 0, 1, 2, 3]), st.integers(0, 9)), min_size=1, max_size=80),
+           small=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9)), max_size=8, unique_by=lambda r: r[0]),
+           salts=st.integers(1, 7), how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]))
+    def check(big, small, salts, how):
+        b = spark.createDataFrame(big, "k int, x int")
+        s = spark.createDataFrame(small, "k int, y int")
+        def key(r):
+            return tuple((v is None, v or 0) for v in r)
+        got = sorted((tuple(r) for r in salted_join(b, s, ["k"], how, salts=salts).collect()), key=key)
+        want = sorted((tuple(r) for r in b.join(s, ["k"], how).collect()), key=key)
+        assert got == want
+
+    check()
