@@ -8,23 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.llm import bpe, packing, simhash, token_counts, topk
+from devpulse.llm import bpe, order_minhash, packing, quality, simhash, token_counts, topk, toxicity
 from devpulse.sources.tables import load_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 TOKEN_LIMIT = 2048
 SHINGLE_WORDS, MAX_BITS = 3, 3
+GOOD, TOXIC = 0.3, 0.5
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(load_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels"), GOOD)
+
+
 def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels"), TOXIC)
+
+
 def op7_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(load_table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -37,9 +46,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load_table(spark, sf_dir, "documents"), WORD_BPE, TOKEN_LIMIT)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_fingerprints(load_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op4_simhash_vptree, op7_bpe_merge_rounds, op8_packing_cutting_stock,
-                            op9_token_counts)}
+    f.__name__: f for f in (op1_exact_topk, op3_quality_rules, op4_simhash_vptree, op6_toxicity, op7_bpe_merge_rounds,
+                            op8_packing_cutting_stock, op9_token_counts, op10_order_minhash)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": """
