@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.llm import bpe, order_minhash, packing, quality, simhash, token_counts, topk, toxicity
+from devpulse.llm import bpe, order_minhash, packing, quality, simhash, token_counts, topk, toxicity, warc
 from devpulse.sources.tables import load_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 TOKEN_LIMIT = 2048
 SHINGLE_WORDS, MAX_BITS = 3, 3
+#: Payloads of at least so many bytes may be revisits.
+PAYLOAD_BYTES = 0
 GOOD, TOXIC = 0.3, 0.5
 
 
@@ -30,6 +32,10 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
 
 
+def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load_table(spark, sf_dir, "pages"), PAYLOAD_BYTES).drop("record_id", "intact")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels"), TOXIC)
 
@@ -51,10 +57,23 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_topk, op3_quality_rules, op4_simhash_vptree, op6_toxicity, op7_bpe_merge_rounds,
-                            op8_packing_cutting_stock, op9_token_counts, op10_order_minhash)}
+    f.__name__: f for f in (op1_exact_topk, op3_quality_rules, op4_simhash_vptree, op5_warc_normaliser, op6_toxicity,
+                            op7_bpe_merge_rounds, op8_packing_cutting_stock, op9_token_counts, op10_order_minhash)}
 
 ORACLE_SQL: dict[str, str] = {
+    # base32 of the SHA-1, five hexadecimal digits to four letters at a time
+    "op5_warc_normaliser": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+        q AS (
+            SELECT *, list_aggregate(list_transform(range(0, 32), lambda i:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))) & 31), 1)),
+                'string_agg', '') AS payload_digest,
+                max(page_id) OVER (PARTITION BY h, payload_bytes) AS best FROM p)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> best THEN best END AS refers_to FROM q""",
     "op1_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
