@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devpulse.llm.batches import slices
 from devpulse.llm.wordbpe import END, split_normal, vocabulary
 
-#: Chunks kept by a Python worker, and texts encoded at once (characters).
-TABLE_CHUNKS = 600_000
-RUN_CHARS = 8_000_000
+#: Chunks kept by a Python worker.
+TABLE_CHUNKS = 300_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -117,30 +117,16 @@ class Encoder:
         self.known.update((s, np.array([i], self.table.dtype).tobytes()) for s, i in special.items())
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text as an unsigned array, texts taken in runs."""
-        for some in runs(texts):
-            split = [self.table.vocabulary.chunks(t) if t else [] for t in some]
-            new = set().union(*split).difference(self.known)
-            if len(self.known) + len(new) > TABLE_CHUNKS:
-                self.known.clear()
-                new = set().union(*split)
-            self._learn(new)
-            get = self.known.__getitem__
-            for listed in split:
-                yield np.frombuffer(b"".join(map(get, listed)), self.table.dtype)
-
-
-def runs(texts: Sequence[str | None]) -> Iterator[list[str | None]]:
-    """Runs of texts of about RUN_CHARS characters (a longer text alone)."""
-    out, size = [], 0
-    for t in texts:
-        if out and size + len(t or "") > RUN_CHARS:
-            yield out
-            out, size = [], 0
-        out.append(t)
-        size += len(t or "")
-    if out:
-        yield out
+        """The ids of each text as an unsigned array."""
+        split = [self.table.vocabulary.chunks(t) if t else [] for t in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > TABLE_CHUNKS:
+            self.known.clear()
+            new = set().union(*split)
+        self._learn(new)
+        get = self.known.__getitem__
+        for listed in split:
+            yield np.frombuffer(b"".join(map(get, listed)), self.table.dtype)
 
 
 @lru_cache(2)
@@ -154,7 +140,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
 
     def run(batches):
         enc = encoder(path)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids = [i.astype("<u4").tobytes() for i in enc.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())],
@@ -172,7 +158,7 @@ def decode(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids", also
     def run(batches):
         tokens = vocabulary(path).tokens
         get = tokens.__getitem__
-        for batch in batches:
+        for batch in slices(batches, 1):
             out = [None if i is None else " ".join(map(get, np.frombuffer(i, "<u4").tolist()))
                    for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

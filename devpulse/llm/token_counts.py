@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devpulse.llm.batches import slices
 from devpulse.llm.wordbpe import END, normalise, split_normal, vocabulary
 
 #: Chunks, prefix states and token pairs kept by a Python worker.
-TABLE_CHUNKS = 500_000
-TABLE_STATES = 500_000
-TABLE_PAIRS = 1_000_000
+TABLE_CHUNKS = 300_000
+TABLE_STATES = 300_000
+TABLE_PAIRS = 500_000
 
 
 class WordCounter:
@@ -204,7 +205,7 @@ def token_counts(df: DataFrame, path: str, limit: int, key: str = "doc_id", text
 
     def run(batches):
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches, 1):
             n_bytes, n_tokens, fit = [], [], []
             for t in batch.column(1).to_pylist():
                 t = t or ""
