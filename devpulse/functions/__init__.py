@@ -5,10 +5,10 @@ from devpulse.functions.predicates import (
     valid_identity, valid_duration, valid_battery, valid_signal,
     valid_coordinates, valid_record, positive_event, reject_reasons_expr,
 )
-from devpulse.functions.aggregates import first_by_time, first_row_by_time
+from devpulse.functions.aggregates import first_row_by_time
 
 __all__ = [
     "parse_event_time_expr", "valid_identity", "valid_duration", "valid_battery",
     "valid_signal", "valid_coordinates", "valid_record", "positive_event",
-    "reject_reasons_expr", "first_by_time", "first_row_by_time",
+    "reject_reasons_expr", "first_row_by_time",
 ]

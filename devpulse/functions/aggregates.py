@@ -3,17 +3,11 @@
 from pyspark.sql import Column, functions as F
 
 
-def first_by_time(value: str, time_col: str = "event_timestamp", tiebreak: str = "event_id") -> Column:
-    """The value on the earliest row of the group (ties broken by id).
+def first_row_by_time(values: list[str], time_col: str = "event_timestamp", tiebreak: str = "event_id") -> Column:
+    """Several columns of the earliest row (ties broken by id) as one struct.
 
     ``first()`` depends on arrival order and gives different answers on
     re-execution; ``min_by`` over ``(time, id)`` is reproducible, partially
-    aggregable (map-side combine) and allowed in streaming aggregations.
+    aggregable and allowed in streaming aggregations.
     """
-    return F.min_by(F.col(value), F.struct(F.col(time_col), F.col(tiebreak)))
-
-
-def first_row_by_time(values: list[str], time_col: str = "event_timestamp", tiebreak: str = "event_id") -> Column:
-    """Several columns of the earliest row as one struct: one ``min_by``
-    (one ordering comparison per row) instead of one per column."""
     return F.min_by(F.struct(*[F.col(v) for v in values]), F.struct(F.col(time_col), F.col(tiebreak)))

@@ -17,7 +17,9 @@ def parse_event_time_expr(text: Column) -> Column:
     fraction need a '.', the ones without cannot contain one, and the 'Z'
     shapes need a trailing Z. A failed parse costs far more than these
     checks, and skipping a pattern that cannot match leaves the first
-    fitting shape unchanged (tested against the plain chain).
+    fitting shape unchanged (tested against the plain chain). The last branch
+    needs a year: a time alone would be read as today's, another answer on
+    every run.
     """
     with_fraction, no_fraction_offset, with_fraction_z, no_fraction_z = EVENT_TIME_FORMATS
     dot = text.contains(".")
@@ -27,5 +29,5 @@ def parse_event_time_expr(text: Column) -> Column:
         F.when(~dot, F.try_to_timestamp(text, F.lit(no_fraction_offset))),
         F.when(dot & z, F.try_to_timestamp(text, F.lit(with_fraction_z))),
         F.when(~dot & z, F.try_to_timestamp(text, F.lit(no_fraction_z))),
-        F.try_to_timestamp(text),
+        F.when(text.rlike(r"^\s*\d{4}"), F.try_to_timestamp(text)),
     )

@@ -1,9 +1,11 @@
-"""Job entry points for ``spark-submit`` (the same flows the original scripts run).
+"""Job entry points (the same flows the original scripts run).
 
-    spark-submit -m devpulse.jobs report   --input PATH --output PATH [--format csv|parquet]
-    spark-submit -m devpulse.jobs stream   --source kafka|files ... --output PATH --checkpoint PATH
-    spark-submit -m devpulse.jobs validate-store  --input PATH
-    spark-submit -m devpulse.jobs validate-report --input PATH
+With spark-submit, give the path of this file instead of ``-m devpulse.jobs``.
+
+    python -m devpulse.jobs report   --input PATH --output PATH [--format csv|parquet]
+    python -m devpulse.jobs stream   --source kafka|files ... --output PATH --checkpoint PATH
+    python -m devpulse.jobs validate-store  --input PATH
+    python -m devpulse.jobs validate-report --input PATH
 
 Paths are any Spark paths (object stores included). Session settings such as
 credentials, executor sizes and shuffle partitions belong to spark-submit.
@@ -29,6 +31,7 @@ def _session(name: str) -> SparkSession:
 def run_report(args) -> int:
     from devpulse.operators.percentile import report_summary
     from devpulse.plans.report import percentile_report
+    from devpulse.plans.staging import drop_staged
     from devpulse.sinks import write_report
     from devpulse.sources.files import read_any, read_parquet, read_report_csv
     spark = _session("devpulse-report")
@@ -39,6 +42,7 @@ def run_report(args) -> int:
     # summary from the written result, not a second computation
     written = read_report_csv(spark, args.output) if args.format == "csv" else read_parquet(spark, args.output)
     report_summary(written).show(truncate=False)
+    drop_staged(spark)
     return 0
 
 
@@ -50,10 +54,12 @@ def run_stream(args) -> int:
     from devpulse.session import streaming_defaults
     spark = streaming_defaults(_session("devpulse-stream"))
     if args.source == "kafka":
+        if not args.servers:
+            raise SystemExit("--servers is required for --source kafka")
         # split hot topic partitions over the cluster's cores
         min_parts = args.min_partitions or spark.sparkContext.defaultParallelism
         source = read_kafka_events(spark, args.servers, args.topic, args.starting_offsets, args.max_offsets,
-                                   min_partitions=min_parts)
+                                   fail_on_loss=not args.tolerate_data_loss, min_partitions=min_parts)
     else:
         source = read_event_files_stream(spark, args.input, max_files_per_trigger=args.max_files)
     windows = stream_windows(source, args.window, args.watermark, pre_dedup=not args.no_pre_dedup)
@@ -66,9 +72,11 @@ def run_stream(args) -> int:
 
 
 def run_validate_store(args) -> int:
+    from devpulse.plans.staging import drop_staged
     from devpulse.plans.validation import validate_window_store
     spark = _session("devpulse-validate-store")
     steps = validate_window_store(spark, args.input).collect()   # at most five rows
+    drop_staged(spark)
     for s in steps:
         print(f"{'PASS' if s.passed else 'FAIL'} {s.step} {s.detail}")
     return 0 if steps and all(s.passed for s in steps) else 1
@@ -97,10 +105,11 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--method", choices=["approx", "disc", "cont"], default="approx")
     s = sub.add_parser("stream")
     s.add_argument("--source", choices=["kafka", "files"], default="kafka")
-    s.add_argument("--servers", default="kafka:9092")
+    s.add_argument("--servers", help="required for --source kafka")
     s.add_argument("--topic", default=C.KAFKA_TOPIC)
     s.add_argument("--starting-offsets", default=C.KAFKA_STARTING_OFFSETS)
-    s.add_argument("--max-offsets", type=int, default=C.KAFKA_MAX_OFFSETS_PER_TRIGGER)
+    s.add_argument("--max-offsets", type=int, help="offsets per trigger; no limit unless given")
+    s.add_argument("--tolerate-data-loss", action="store_true", help="go on when offsets have expired")
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--input")
     s.add_argument("--max-files", type=int)
@@ -113,7 +122,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--minute-partitions", action="store_true")
     s.add_argument("--no-pre-dedup", action="store_true")
     # files per output directory and micro-batch; 0 writes straight from the aggregate
-    s.add_argument("--files-per-directory", type=int, default=C.STREAM_FILES_PER_DIRECTORY)
+    s.add_argument("--files-per-directory", type=int, default=0)
     v = sub.add_parser("validate-store")
     v.add_argument("--input", required=True)
     w = sub.add_parser("validate-report")

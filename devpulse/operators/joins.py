@@ -10,42 +10,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-# Bounds for broadcasting a side: its measured row count, and that count
-# times a row width estimated from the schema. Every executor holds a copy.
+# Bounds for broadcasting a side: its measured rows and bytes. Every executor
+# holds a copy.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALTS = 16
 
-# Bytes per value in Spark's row format: 8-byte slot per field, plus an
-# allowance for the variable-length part of strings and binaries.
-_VARIABLE_ALLOWANCE = 32
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a frame in Spark's row format, by one distributed aggregate.
 
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """Upper-end width of one row in Spark's binary row format."""
-    width = 8 + 8 * len(schema.fields)               # null bits + fixed slots
-    for f in schema.fields:
+    Fixed-width fields take 8 bytes each; strings, binaries and nested values
+    are measured row by row (nested ones by their JSON text). Call it on a
+    materialized (written or checkpointed) side so the pass is cheap.
+    """
+    fixed = 8 + 8 * len(df.columns)
+    size = F.lit(fixed)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width += _VARIABLE_ALLOWANCE
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            width += 4 * _VARIABLE_ALLOWANCE
-    return width
-
-
-def broadcast_row_limit(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                        max_bytes: int = MAX_BROADCAST_BYTES) -> int:
-    """Rows a side may have and still be broadcast (the tighter of both bounds)."""
-    return min(max_rows, max_bytes // estimated_row_bytes(df.schema))
-
-
-def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None.
-
-    ``limit(max_rows + 1)`` stops counting early on a large side. Call it on a
-    materialized (written or checkpointed) side so the count is cheap.
-    """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    n, total = df.select(size.cast("long").alias("size")).agg(
+        F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return n, total
 
 
 def salt_column(cols: list[str], salts: int) -> F.Column:
@@ -74,11 +62,11 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``small`` when its measured size is bounded, else salted shuffle join.
 
-    The bound is on rows and on bytes (rows x estimated row width, at most
-    ``MAX_BROADCAST_BYTES``). ``small`` should be materialized (a staged
+    The bound is on rows and on bytes, both measured (``measured_size``). ``small`` should be materialized (a staged
     table or a file scan): it is counted first and joined after, and an
     unmaterialized aggregate would be computed twice.
     """
-    if bounded_row_count(small, broadcast_row_limit(small, max_broadcast_rows, max_broadcast_bytes)) is not None:
+    rows, size = measured_size(small)
+    if rows <= max_broadcast_rows and size <= max_broadcast_bytes:
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, how, salts)

@@ -159,13 +159,23 @@ def check_partitions(df: DataFrame, column: str = "device_type") -> DataFrame:
     seg = _path_segment(column)
     return df.select(F.col(column), seg.alias("_seg")).agg(
         F.countDistinct(column).alias("distinct_types"),
-        F.count_if(F.col("_seg") != F.col(column)).alias("mismatched_rows"),
+        F.count_if((F.col("_seg") != "") & (F.col("_seg") != _directory_value(column))).alias("mismatched_rows"),
         F.count_if(F.col("_seg") == "").alias("rows_outside_partitions"),
     )
 
 
 def _path_segment(column: str) -> F.Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), f"{column}=([^/]+)", 1)
+    """The directory's value for ``column``: the path is URL-encoded, and
+    inside it the partition value is escaped again (``%3A`` for a colon)."""
+    def decoded(c: F.Column) -> F.Column:   # a plus sign is itself in a path
+        return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+    return decoded(decoded(F.regexp_extract(F.col("_metadata.file_path"), f"/{column}=([^/]+)", 1)))
+
+
+def _directory_value(column: str) -> F.Column:
+    """What the directory of a row should say; NULL has a name of its own."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
 
 
 # --- DQ1 + DQ4 + DQ5 in one pass ----------------------------------------------
@@ -182,7 +192,7 @@ def store_profile(df: DataFrame, column: str = "device_type", with_partitions: b
                  F.max("event_count").alias("max_ec"), F.min("event_count").alias("min_ec")]
     if with_partitions:
         seg = _path_segment(column)
-        aggs += [F.count_if(seg != F.col(column)).alias("mismatched_rows"),
+        aggs += [F.count_if((seg != "") & (seg != _directory_value(column))).alias("mismatched_rows"),
                  F.count_if(seg == "").alias("rows_outside_partitions")]
     return df.groupBy(column).agg(*aggs)
 
@@ -242,9 +252,11 @@ def validate_report(df: DataFrame, min_total_events: int = C.REPORT_MIN_TOTAL_EV
     def num(c: str, t: str) -> F.Column:
         return F.col(c).cast("string").try_cast(t)
 
+    def positive(c: str) -> F.Column:       # Spark orders NaN above every number
+        return F.coalesce((num(c, "double") > 0) & ~F.isnan(num(c, "double")), F.lit(False))
+
     valid = (~_blank("device_type") & ~_blank("event_date")
-             & F.coalesce(num("percentile_95", "double") > 0, F.lit(False))
-             & F.coalesce(num("mean_duration", "double") > 0, F.lit(False))
+             & positive("percentile_95") & positive("mean_duration")
              & F.coalesce(num("total_events", "bigint") > 0, F.lit(False))
              & F.coalesce(num("distinct_devices", "bigint") > 0, F.lit(False)))
     low = valid & (num("total_events", "bigint") < F.lit(min_total_events))
@@ -263,6 +275,10 @@ def validate_report(df: DataFrame, min_total_events: int = C.REPORT_MIN_TOTAL_EV
 
 # --- DQ7: JSON contract -----------------------------------------------------
 
+# The contract's date-time: a date, a time with seconds, and an offset.
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+
+
 def contract_rules() -> list[tuple[str, F.Column]]:
     """(label, condition) for each JSON-contract rule, on a parsed payload ``parsed_data``."""
     from devpulse.functions.time import parse_event_time_expr
@@ -277,7 +293,7 @@ def contract_rules() -> list[tuple[str, F.Column]]:
     dt = F.col(f"{p}.device_type")
     rules.append(("enum:device_type", dt.isNotNull() & ~dt.isin(*C.DEVICE_TYPES)))
     et = F.col(f"{p}.event_time")
-    rules.append(("format:event_time", et.isNotNull() & parse_event_time_expr(et).isNull()))
+    rules.append(("format:event_time", et.isNotNull() & (~et.rlike(_DATE_TIME) | parse_event_time_expr(et).isNull())))
     bl = F.col(f"{p}.metadata.battery_level")
     rules.append(("range:battery_level", bl.isNotNull() & ((bl < C.BATTERY_MIN) | (bl > C.BATTERY_MAX))))
     ss = F.col(f"{p}.metadata.signal_strength")

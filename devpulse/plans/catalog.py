@@ -9,7 +9,6 @@ end, for the comparison.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -32,18 +31,12 @@ from devpulse.sources.tables import events_as_raw, load_table
 from devpulse.streaming.etl import deduplicate_stream, stream_windows, with_event_watermark
 from devpulse.streaming.sinks import write_windows_stream
 
-# Population gate per supplied scale (distinct devices per type and day are
-# 1-10 / 42-67 / 473-587 at sf0.001 / sf0.01 / sf0.1).
-GATES = {"0.001": 5, "0.01": 50, "0.1": 500}
+# Population gate of the registered queries (distinct devices per type and day).
+GATE = 50
 # Rows of days up to this one are held back and delivered late (STR5).
 LATE_SPLIT_DAY = "2024-01-02"
 
 
-def gate_for(sf_dir: str) -> int:
-    m = re.search(r"sf([0-9.]+)/?$", sf_dir.rstrip("/"))
-    return GATES.get(m.group(1), C.MIN_POPULATION) if m else C.MIN_POPULATION
-
-
 def comparable(df: DataFrame) -> DataFrame:
     """Round doubles to 6 places (via DECIMAL(38, 9)) and cast TIMESTAMP -> TIMESTAMP_NTZ."""
     cols = []
@@ -82,7 +75,7 @@ def windows(spark, sf_dir):
 
 
 def report(spark, sf_dir):
-    return percentile_report(raw(spark, sf_dir), min_population=gate_for(sf_dir))
+    return percentile_report(raw(spark, sf_dir), min_population=GATE)
 
 
 def stats(spark, sf_dir, population="devices"):
@@ -216,7 +209,7 @@ def _events_with_stats(spark, sf_dir, gated=False):
     ev = report_input(raw(spark, sf_dir))
     st = stage_table(PCT.daily_stats(ev), "daily-stats")
     if gated:
-        st = PCT.min_population(st, gate_for(sf_dir))
+        st = PCT.min_population(st, GATE)
     return ev, st
 
 
@@ -227,7 +220,7 @@ def q_flt9(spark, sf_dir):
 
 
 def q_flt10(spark, sf_dir):
-    return comparable(PCT.min_population(stats(spark, sf_dir), gate_for(sf_dir)))
+    return comparable(PCT.min_population(stats(spark, sf_dir), GATE))
 
 
 # --- joins -------------------------------------------------------------------------
@@ -276,26 +269,26 @@ def q_agg4(spark, sf_dir):
 
 
 def q_agg4_events(spark, sf_dir):
-    return comparable(percentile_report(raw(spark, sf_dir), min_population=gate_for(sf_dir), population="events"))
+    return comparable(percentile_report(raw(spark, sf_dir), min_population=GATE, population="events"))
 
 
 def q_agg4_aggregated(spark, sf_dir):
-    return comparable(percentile_report(windows(spark, sf_dir), min_population=gate_for(sf_dir)))
+    return comparable(percentile_report(windows(spark, sf_dir), min_population=GATE))
 
 
 def q_agg4_two_joins(spark, sf_dir):
-    return comparable(percentile_report_two_joins(raw(spark, sf_dir), min_population=gate_for(sf_dir)))
+    return comparable(percentile_report_two_joins(raw(spark, sf_dir), min_population=GATE))
 
 
 def _kept(spark, sf_dir):
     ev, st = _events_with_stats(spark, sf_dir)
-    st = PCT.min_population(st, gate_for(sf_dir))
+    st = PCT.min_population(st, GATE)
     return PCT.within_sigma(PCT.attach_group_stats(ev, st))
 
 
 def q_agg5_report_method(spark, sf_dir):
     """The flagship report with ``method="disc"`` (exact p95, report order)."""
-    return comparable(percentile_report(raw(spark, sf_dir), min_population=gate_for(sf_dir), method="disc"))
+    return comparable(percentile_report(raw(spark, sf_dir), min_population=GATE, method="disc"))
 
 
 def q_agg5_disc(spark, sf_dir):

@@ -9,11 +9,15 @@ checks (DQ6) on a CSV read back by SRC6.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from devpulse.operators import quality as Q
 from devpulse.sources.files import read_parquet, read_report_csv
 
+# Spark's classes for a store that is missing or is not Parquet.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER")
 STEP_SCHEMA = "step string, passed boolean, detail string"
 
 
@@ -59,12 +63,23 @@ def validate_window_store(spark: SparkSession, path: str) -> DataFrame:
     """The stored-window validation flow; ``read_successful`` is a step too."""
     try:
         df = read_parquet(spark, path)
-    except Exception as exc:  # noqa: BLE001 - a failed read is a failed step, reported as data
-        return spark.createDataFrame([("read_successful", False, str(exc).splitlines()[0][:200])], STEP_SCHEMA)
+    except (PySparkException, Py4JJavaError) as exc:  # an unreadable store is a failed step, reported as data
+        if not any(c in str(exc) for c in UNREADABLE):
+            raise
+        return spark.createDataFrame([("read_successful", False, str(exc))], STEP_SCHEMA)
     read_ok = spark.createDataFrame([("read_successful", True, "")], STEP_SCHEMA)
     return read_ok.unionByName(summarize(window_store_checks(df)))
 
 
 def validate_report_file(spark: SparkSession, path: str) -> DataFrame:
-    """The report-file validation flow (DQ6 over the CSV read as text)."""
-    return Q.validate_report(read_report_csv(spark, path, typed=False))
+    """The report-file validation flow: does the file exist, then DQ6 over the CSV read as text."""
+    def exists(status: str) -> DataFrame:
+        return spark.createDataFrame([("file_exists", "all", float(status == "pass"), status)], Q.CHECK_SCHEMA)
+
+    try:
+        report = read_report_csv(spark, path, typed=False)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return exists("fail")
+    return exists("pass").unionByName(Q.validate_report(report))

@@ -3,7 +3,8 @@ Parquet-then-JSON (SRC5) and the report CSV (SRC6)."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -37,26 +38,22 @@ def read_json_events(spark: SparkSession, path: str, schema: StructType | None =
     return reader.json(path)
 
 
-# Error texts that mean "these files are not Parquet" rather than an I/O or
+# Error classes that mean "these files are not Parquet" rather than an I/O or
 # permission problem (which must surface, not fall through to JSON).
-_NOT_PARQUET = ("Unable to infer schema", "is not a Parquet file", "magic number",
-                "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "PATH_NOT_FOUND")
+_NOT_PARQUET = ("UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER")
 
 
 def read_any(spark: SparkSession, path: str, json_schema: StructType | None = None,
              json_options: dict | None = None) -> DataFrame:
     """SRC5: Parquet first; JSON only when the files are not Parquet.
 
-    Only the "not Parquet" family of errors triggers the JSON retry; a missing
-    path raises from the JSON reader too, so it still fails loudly.
+    Only the two "not Parquet" error classes trigger the JSON retry; every
+    other error, a missing path included, is raised.
     """
     try:
         return read_parquet(spark, path)
-    except Exception as exc:  # noqa: BLE001 - narrowed below
-        text = str(exc)
-        if not (isinstance(exc, AnalysisException) or any(t in text for t in _NOT_PARQUET)):
-            raise
-        if "PATH_NOT_FOUND" in text:
+    except (PySparkException, Py4JJavaError) as exc:   # a footer error comes unconverted
+        if not any(c in str(exc) for c in _NOT_PARQUET):
             raise
     return read_json_events(spark, path, json_schema, json_options)
 
@@ -64,14 +61,14 @@ def read_any(spark: SparkSession, path: str, json_schema: StructType | None = No
 def read_report_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
     """SRC6: the report CSV with header.
 
-    Read as text (no inference pass); with ``typed`` each column is converted
-    by ``try_cast`` so a bad cell becomes NULL and the checks can see it.
+    The header names the columns, in whatever order they come; all are read
+    as text (no inference pass). ``typed`` selects the report's columns that
+    the file has, in report order, each converted by ``try_cast`` so a bad
+    cell becomes NULL and the checks can see it.
     """
-    raw = spark.read.schema(schemas.REPORT_TEXT).option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     if not typed:
         return raw
     from pyspark.sql import functions as F
-    return raw.select([
-        F.col(f.name).try_cast(t.dataType).alias(f.name)
-        for f, t in zip(schemas.REPORT_TEXT.fields, schemas.REPORT.fields)
-    ])
+    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name)
+                       for f in schemas.REPORT.fields if f.name in raw.columns])

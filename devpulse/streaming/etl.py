@@ -21,39 +21,41 @@ def with_event_watermark(df: DataFrame, delay: str = C.WATERMARK_DELAY,
     return df.withWatermark(time_col, delay)
 
 
-def _first_per_key(keys: list[str]):
-    """Arrow batch -> the first row of each key in that batch, in arrival order."""
+def _rising_per_key(keys: list[str], time_col: str):
+    """Arrow batch -> the rows whose event time exceeds that of all earlier rows of their key, in arrival order.
+
+    Rows without a time are kept.
+    """
     import numpy as np
     import pyarrow as pa
-    import pyarrow.compute as pc
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows < 2:
-                yield batch
-                continue
             table = pa.Table.from_batches([batch])
-            numbered = table.append_column("__row", pa.array(np.arange(table.num_rows, dtype=np.int64)))
-            first = numbered.group_by(keys, use_threads=False).aggregate([("__row", "min")])
-            if first.num_rows == batch.num_rows:      # no repeats: the batch as it came
+            key = table.select(keys).to_pandas().groupby(keys, dropna=False, sort=False).ngroup()
+            if key.nunique() == len(key):             # no repeats: the batch as it came
                 yield batch
                 continue
-            rows = pc.sort_indices(first.column("__row_min"))
-            yield from table.take(pc.take(first.column("__row_min"), rows)).to_batches()
+            time = table.column(time_col).cast(pa.int64()).to_pandas()
+            highest = time.groupby(key).cummax()
+            before = highest.groupby(key).ffill().groupby(key).shift()
+            keep = time.isna() | before.isna() | (time > before)
+            yield from table.take(pa.array(np.flatnonzero(keep.to_numpy()))).to_batches()
     return run
 
 
-def pre_deduplicate(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def pre_deduplicate(df: DataFrame, keys: list[str] | None = None, time_col: str = "event_timestamp") -> DataFrame:
     """Drop repeats of a key inside each Arrow batch before the shuffle.
 
     Streaming de-duplication shuffles every row by key with no map-side
     combine, so one key repeated millions of times in a micro-batch would
-    land in one task. This stateless, exact step keeps the first arrival per
-    key per batch (each batch shrinks to its distinct keys); the stateful
-    operator after it still removes repeats across batches and tasks.
+    land in one task. A row stays when its event time is later than that of
+    all rows of its key before it in the batch. Whatever the watermark, the
+    first row that is not late is such a row (those before it are late, hence
+    earlier), so the stateful operator after this step emits the same rows.
     """
     keys = keys or list(C.DEDUP_KEYS)
-    return df.mapInArrow(_first_per_key(keys), df.schema)
+    return df.mapInArrow(_rising_per_key(keys, time_col), df.schema)
 
 
 def deduplicate_stream(df: DataFrame, keys: list[str] | None = None, within_watermark: bool = True,
@@ -64,9 +66,10 @@ def deduplicate_stream(df: DataFrame, keys: list[str] | None = None, within_wate
     so state stays bounded; duplicates are guaranteed removed when they arrive
     within the delay of each other. ``False`` uses ``dropDuplicates`` on the
     keys alone, which is exact forever but keeps every key in state.
-    ``pre_dedup`` (default) first drops repeats inside each Arrow batch, so
-    a key with millions of copies does not reach one task; it does not change
-    the result. Needs a watermark on the frame.
+    ``pre_dedup`` (default) first drops rows of a key that are no later than
+    one before them in the Arrow batch, so a key with millions of copies does
+    not reach one task; the emitted rows stay the same for every watermark.
+    Needs a watermark on the frame.
     """
     keys = keys or list(C.DEDUP_KEYS)
     if pre_dedup:

@@ -1,7 +1,9 @@
 """Data-quality operators."""
 
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from devpulse import constants as C
@@ -56,12 +58,11 @@ def test_quality_report_matches_direct_aggregates(spark):
     assert Q.distinct_types(w).count() == len(dist) and Q.row_count(w).first().row_count == stats.total_records
 
 
-SAMPLE_REPORT = [  # the reference's illustrative report rows (all valid, all totals >= 500)
-    ("sensor_A", "2024-01-15", "4.523", "2.345", "1.234", "1250", "45"),
-    ("sensor_A", "2024-01-16", "4.678", "2.412", "1.267", "1320", "48"),
-    ("sensor_B", "2024-01-15", "3.891", "2.123", "1.089", "890", "32"),
-    ("camera", "2024-01-15", "5.234", "2.789", "1.456", "2100", "15"),
-    ("thermo", "2024-01-15", "3.456", "2.012", "0.987", "1560", "28"),
+SAMPLE_REPORT = [  # all valid, all totals >= 500
+    ("thermo", "2023-06-02", "9.5", "4.25", "2.5", "700", "9"),
+    ("thermo", "2023-06-03", "8.75", "4.0", "2.25", "640", "8"),
+    ("camera", "2023-06-02", "61.0", "30.5", "12.5", "500", "7"),
+    ("sensor_B", "2023-06-04", "0.5", "0.25", "0.125", "9001", "300"),
 ]
 REPORT_TEXT = ", ".join(f"{c} string" for c in C.REPORT_COLUMNS)
 
@@ -151,3 +152,57 @@ def test_store_checks_one_scan_equals_separate_checks(spark):
     # the folded tables read only the staged profile, never the store again
     plan = quality._jdf.queryExecution().executedPlan().toString()
     assert "store-profile" in plan and path not in plan
+
+
+def _csv(spark, name, lines):
+    path = scratch_path(spark, name)
+    spark.createDataFrame([(line,) for line in lines], "line string").coalesce(1).write.text(path)
+    return path
+
+
+def test_report_csv_is_read_by_its_header(spark):
+    order = ["mean_duration", "event_date", "device_type", "distinct_devices", "percentile_95", "total_events",
+             "stddev_duration"]
+    at = [C.REPORT_COLUMNS.index(c) for c in order]
+    path = _csv(spark, "t-order", [",".join(order), *(",".join(r[i] for i in at) for r in SAMPLE_REPORT)])
+    back = read_report_csv(spark, path)
+    assert back.columns == C.REPORT_COLUMNS
+    first = back.where("device_type = 'camera'").first()
+    assert (str(first.event_date), first.percentile_95, first.mean_duration) == ("2023-06-02", 61.0, 30.5)
+    assert set(status(Q.validate_report(read_report_csv(spark, path, typed=False))).values()) == {"pass"}
+
+
+def test_report_file_checks_header_nan_and_existence(spark):
+    from devpulse.plans.validation import validate_report_file
+    wrong = _csv(spark, "t-wrong", ["a,b,c,d,e,f,g", ",".join(SAMPLE_REPORT[0])])
+    assert status(validate_report_file(spark, wrong))["columns_match"] == "fail"
+    head = ",".join(C.REPORT_COLUMNS)
+    odd = _csv(spark, "t-odd", [head, "thermo,2023-06-02,NaN,1,1,900,3", ",2023-06-02,1,1,1,900,3",
+                                "thermo,2023-06-02,1,1,1,12.5,3", "thermo,2023-06-02,1,1,1,900,3"])
+    checks = {r.check: r for r in validate_report_file(spark, odd).collect()}
+    assert checks["file_exists"].status == "pass" and checks["data_valid"].observed == 3
+    missing = validate_report_file(spark, odd + "-none").collect()
+    assert [(r.check, r.status) for r in missing] == [("file_exists", "fail")]
+
+
+def test_partition_check_decodes_escaped_directories(spark):
+    path = scratch_path(spark, "t-escaped")
+    rows = [("sensor A:1", 1), ("100%", 2), ("a+b", 3), (None, 4), ("plain", 5)]
+    df = spark.createDataFrame(rows, "device_type string, event_count bigint")
+    df.withColumn("kept", F.col("device_type")).write.partitionBy("device_type").parquet(path)
+    r = Q.check_partitions(spark.read.parquet(path)).first()
+    assert (r.distinct_types, r.mismatched_rows, r.rows_outside_partitions) == (4, 0, 0)
+
+
+@pytest.mark.parametrize("text,good", [("2024", False), ("10:30", False), ("2024-01-15", False),
+                                       ("2023-06-02T21:04:09Z", True), ("2023-06-02T21:04:09.5+02:00", True)])
+def test_contract_date_time(spark, text, good):
+    from tests.test_transform import SAMPLE, envelope
+    parsed = TR.parse_payload(TR.project_envelope(envelope(spark, [json.dumps(SAMPLE | {"event_time": text})])))
+    assert ("format:event_time" in Q.validate_contract(parsed).first().contract_violations) != good
+
+
+def test_time_alone_is_no_event_time(spark):
+    from devpulse.functions.time import parse_event_time_expr
+    df = spark.createDataFrame([("10:30",), ("T10:30:00",), ("2024-01-15 10:30:00",)], "t string")
+    assert [r[0] is None for r in df.select(parse_event_time_expr(F.col("t"))).collect()] == [True, True, False]

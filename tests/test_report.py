@@ -189,19 +189,26 @@ def test_plan_partition_pruning_on_stored_windows(spark):
 
 
 def test_broadcast_needs_row_and_byte_bounds(spark):
-    from devpulse.operators.joins import broadcast_row_limit, join_small
+    from devpulse.operators.joins import join_small, measured_size
     from devpulse.plans.staging import stage_table
     ev = report_input(events_as_raw(load_table(spark, SF001, "events")))
     st = stage_table(PCT.daily_stats(ev), "t-bounds")
-    n = st.count()
-    assert broadcast_row_limit(st, max_rows=10**9, max_bytes=80 * 10) == 10     # 80-byte rows
+    n, size = measured_size(st)
+    assert n == st.count() and size > 8 * n * len(st.columns)
     small_enough = join_small(ev, st, PCT.GROUP_KEYS)
-    too_wide = join_small(ev, st, PCT.GROUP_KEYS, max_broadcast_bytes=80 * (n - 1))
+    too_wide = join_small(ev, st, PCT.GROUP_KEYS, max_broadcast_bytes=size - 1)
     assert "_salt" not in plan_text(small_enough, "simple")
     assert "_salt" in plan_text(too_wide, "simple")
     assert rows(small_enough.select(*sorted(small_enough.columns))) == rows(too_wide.select(*sorted(too_wide.columns)))
 
 
+def test_few_but_wide_rows_are_not_broadcast(spark):
+    from devpulse.operators.joins import join_small
+    from devpulse.plans.staging import stage_table
+    wide = stage_table(spark.range(20_000).select("id", F.repeat(F.lit("x"), 5000).alias("text")), "t-wide")  # 100 MB
+    assert "_salt" in plan_text(join_small(spark.range(10), wide, ["id"]), "simple")
+
+
 def _disc(values, p):
     import math
     v = sorted(values)

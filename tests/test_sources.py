@@ -26,8 +26,10 @@ def test_read_any_missing_path_raises(spark):
 
 def test_kafka_options_and_missing_connector(spark):
     opts = kafka_options("broker:9092")
-    assert opts["subscribe"] == "input_events" and opts["maxOffsetsPerTrigger"] == "1000"
-    assert opts["failOnDataLoss"] == "false" and opts["startingOffsets"] == "latest"
+    assert opts["subscribe"] == "input_events" and "maxOffsetsPerTrigger" not in opts
+    assert opts["failOnDataLoss"] == "true" and opts["startingOffsets"] == "latest"
+    tuned = kafka_options("broker:9092", max_offsets=700, fail_on_loss=False)
+    assert tuned["maxOffsetsPerTrigger"] == "700" and tuned["failOnDataLoss"] == "false"
     assert "minPartitions" not in opts
     assert kafka_options("broker:9092", min_partitions=64)["minPartitions"] == "64"
     with pytest.raises(Exception, match="(?i)kafka"):

@@ -11,11 +11,11 @@ WIN_IN = ("event_id bigint, device_id string, device_type string, event_timestam
           "firmware_version string")
 
 
-def test_dedup_reference_fixture(spark):
-    t = dt.datetime(2024, 1, 15, 10, 30)
-    df = spark.createDataFrame([(123456, "dev_42", t), (123456, "dev_42", t), (789012, "dev_43", t)],
+def test_dedup_by_both_keys(spark):
+    t = dt.datetime(2023, 6, 2, 21, 4)
+    df = spark.createDataFrame([(5, "a", t), (5, "a", t), (5, "b", t), (6, "a", t), (6, "a", t)],
                                "event_id bigint, device_id string, event_timestamp timestamp")
-    assert deduplicate(df).count() == 2
+    assert deduplicate(df).count() == 3
 
 
 def test_dedup_keeps_first_arrival(spark):
@@ -27,21 +27,22 @@ def test_dedup_keeps_first_arrival(spark):
     assert deduplicate(df).first().note == "first"
 
 
-def test_window_reference_fixture(spark):
+def test_window_measures(spark):
     d = dt.datetime
-    rows = [(123456, "dev_42", "sensor_A", d(2024, 1, 15, 10, 30, 0), 2.5, 85, -75, "A", "X", "1.0"),
-            (123457, "dev_42", "sensor_A", d(2024, 1, 15, 10, 30, 30), 3.0, 80, -80, "B", "Y", "2.0"),
-            (123458, "dev_43", "sensor_B", d(2024, 1, 15, 10, 30, 0), 1.5, 90, -70, "C", "Z", "3.0")]
-    out = {r.device_id: r for r in window_aggregate(spark.createDataFrame(rows, WIN_IN)).collect()}
-    assert len(out) == 2
-    r = out["dev_42"]
-    assert (r.event_count, r.avg_duration, r.max_duration, r.min_duration) == (2, 2.75, 3.0, 2.5)
+    rows = [(3, "p", "thermo", d(2023, 6, 2, 21, 4, 41), 8.0, 20, -10, "late", "L", "2"),
+            (1, "p", "thermo", d(2023, 6, 2, 21, 4, 7), 1.0, 60, -40, None, "F", "1"),
+            (2, "p", "thermo", d(2023, 6, 2, 21, 4, 19), 3.0, 40, -100, "mid", "M", "3"),
+            (4, "p", "thermo", d(2023, 6, 2, 21, 5, 0), 5.0, 50, -50, "next", "N", "4")]
+    out = {str(r.window_start): r for r in window_aggregate(spark.createDataFrame(rows, WIN_IN)).collect()}
+    assert set(out) == {"2023-06-02 21:04:00", "2023-06-02 21:05:00"}
+    r = out["2023-06-02 21:04:00"]
+    assert (r.event_count, r.avg_duration, r.max_duration, r.min_duration) == (3, 4.0, 8.0, 1.0)
     assert (r.avg_battery_level, r.min_battery_level, r.avg_signal_strength, r.min_signal_strength) == \
-        (82.5, 80, -77.5, -80)
-    assert str(r.window_start) == "2024-01-15 10:30:00" and str(r.window_end) == "2024-01-15 10:31:00"
+        (40.0, 20, -50.0, -100)
+    assert str(r.window_end) == "2023-06-02 21:05:00"
     # AGG2: the earliest row's descriptive fields, whatever the input order
-    assert (r.city, r.country, r.firmware_version) == ("A", "X", "1.0")
-    assert str(r.last_event_time) == "2024-01-15 10:30:30"
+    assert (r.city, r.country, r.firmware_version) == (None, "F", "1")
+    assert str(r.last_event_time) == "2023-06-02 21:04:41"
 
 
 def test_first_by_time_is_order_independent(spark):
