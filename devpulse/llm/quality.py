@@ -22,14 +22,15 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.llm.labels import held_out, training_rows
 from devpulse.plans.staging import stage_table
 
-TRAIN_ROWS = 10_000
-TREES, DEPTH = 24, 3
+TRAIN_ROWS = 5000
+TREES, DEPTH = 12, 3
 LASSO = 1e-3
 
 
@@ -113,16 +114,15 @@ def fit(rows: DataFrame, names: list[str], trees: int = TREES, depth: int = DEPT
     ones, total = counts.get(1, 0), sum(counts.values())
     if ones in (0, total):
         return RuleModel(math.log((ones + 1) / (total - ones + 1)), ())
-    points = VectorAssembler(inputCols=names, outputCol="features").transform(rows).select("features", "label", *names)
+    points = VectorAssembler(inputCols=names, outputCol="features").transform(rows).select("features", "label").coalesce(2)  # bounded rows
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=1, featureSubsetStrategy="onethird",
                                     minInstancesPerNode=2).fit(points)
     rules = tree_rules(forest, names)
     if not rules:
         return RuleModel(math.log((ones + 1) / (total - ones + 1)), ())
     fired = rows.select("label", F.array(*(F.expr(r.condition()).cast("double") for r in rules)).alias("fired"))
-    from pyspark.ml.functions import array_to_vector
-    table = fired.select("label", array_to_vector("fired").alias("features")).cache()
-    line = LogisticRegression(elasticNetParam=1.0, regParam=lasso, standardization=False, maxIter=60).fit(table)
+    table = fired.select("label", array_to_vector("fired").alias("features")).coalesce(2).cache()  # bounded rows
+    line = LogisticRegression(elasticNetParam=1.0, regParam=lasso, standardization=False, maxIter=25, tol=1e-4).fit(table)
     table.unpersist()
     kept = tuple((r, float(w)) for r, w in zip(rules, line.coefficients) if w)
     return RuleModel(float(line.intercept), kept)
@@ -151,5 +151,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float, label: str =
     names = docs.columns
     own = docs.select(*(F.col(c).alias(f"_own{i}") for i, c in enumerate(names)))
     rows, _ = statistics(own, f"_own{names.index(text)}")
-    return (rows.where(model.score() >= threshold)
+    # rand keeps the filter above the statistics: pushed below, it would hold a copy of their expressions
+    # for every rule and compute each many times a row.
+    return (rows.withColumn("_score", model.score() + 0 * F.rand(0)).where(F.col("_score") >= threshold)
             .select(*(F.col(f"_own{i}").alias(c) for i, c in enumerate(names))))
