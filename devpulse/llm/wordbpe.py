@@ -19,22 +19,22 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+from tokenizers import Regex, pre_tokenizers
+
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END = "</w>"
 
 
 def _char_class(major: str) -> str:
-    """The code points of a general category as the inside of a character class."""
-    out, start = [], None
-    for c in range(sys.maxunicode + 2):
-        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == major
-        if inside and start is None:
-            start = c
-        elif not inside and start is not None:
-            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return "".join(out)
+    """The code points of a general category as the inside of a character class.
+
+    Asked from the tokenizer library's own regular expressions: its Unicode
+    version decides, and Python's is another.
+    """
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    split = pre_tokenizers.Split(Regex(rf"\p{{{major}}}+"), "removed", invert=True)
+    return "".join(f"\\U{ord(t[0]):08x}-\\U{ord(t[-1]):08x}" for t, _ in split.pre_tokenize_str(every))
 
 
 @lru_cache(1)
