@@ -36,11 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devpulse.llm.batches import slices
 from devpulse.plans.staging import stage_table
 
 SEED = 42
 #: Distinct fingerprints a shard is meant to hold, and shards and sample rows at most.
-SHARD = 8192
+SHARD = 4096
 MAX_SHARDS = 1 << 16
 SAMPLE_PER_SHARD = 64
 #: Fingerprints compared pair by pair in a leaf.
@@ -66,7 +67,7 @@ def fingerprints(df: DataFrame, words: int, key: str = "doc_id", text: str = "te
     """``key, fp``: the fingerprint as a signed long."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["key", "fp"])
 
@@ -97,7 +98,7 @@ def choose_split(points: np.ndarray, bits: int, rng: np.random.Generator) -> tup
             outer = count[radius + 1:radius + bits + 1].sum()
             size = max(inside, outside + inner) if inner <= outer else max(inside + outer, outside)
             cost = (min(inner, outer), size)
-            if size <= 0.9 * len(points) and (best is None or cost < best[0]):
+            if size <= 0.9 * len(points) and min(inner, outer) <= 0.6 * len(points) and (best is None or cost < best[0]):
                 best = cost, (int(vantage), radius, bool(inner <= outer))
     return best and best[1]
 
@@ -112,18 +113,23 @@ def sides(points: np.ndarray, split: tuple[int, int, bool], bits: int) -> tuple[
 
 
 def build_tree(sample: np.ndarray, shards: int, bits: int) -> list:
-    """Nested ``[split, inside, outside]``; a leaf is its shard number. Shards are about equally full."""
+    """Nested ``[split, inside, outside]``; a leaf is its shard number.
+
+    A part of the sample is split until it is no more than one of ``shards``
+    equal parts, so that a dense region is split as far as its points allow.
+    """
     rng = np.random.default_rng(SEED)
     numbered = iter(range(1 << 30))
+    enough = max(8, len(sample) // shards)
 
-    def grow(points: np.ndarray, parts: int):
-        split = choose_split(points, bits, rng) if parts > 1 and len(points) >= 8 else None
+    def grow(points: np.ndarray):
+        split = choose_split(points, bits, rng) if len(points) > enough else None
         if split is None:
             return next(numbered)
         inside, outside = sides(points, split, bits)
-        return [split, grow(points[inside], parts // 2), grow(points[outside], parts // 2)]
+        return [split, grow(points[inside]), grow(points[outside])]
 
-    return grow(np.unique(sample), shards)
+    return grow(np.unique(sample))
 
 
 def route(points: np.ndarray, tree, bits: int) -> Iterator[tuple[int, np.ndarray]]:
