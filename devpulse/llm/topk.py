@@ -114,7 +114,8 @@ def _top_k_of(vectors: DataFrame, n: int, is_query: Column, k: int) -> DataFrame
     dim = sample.shape[1]
     rotation, energy = np.eye(dim), np.ones(dim)
     if len(sample):
-        _, sizes, rotation = np.linalg.svd(sample, full_matrices=True)
+        # The triangular factor has the sample's right singular vectors and at most dim rows.
+        _, sizes, rotation = np.linalg.svd(np.linalg.qr(sample, mode="r"), full_matrices=True)
         rotation, energy = rotation.T, np.r_[sizes**2, np.zeros(dim - len(sizes))]
     total = np.cumsum(energy)
     head = max(1, int(np.searchsorted(total, 0.75 * total[-1])) + 1) if dim else 0
