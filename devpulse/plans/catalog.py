@@ -26,7 +26,7 @@ from devpulse.plans.staging import stage_table
 from devpulse.session import ensure_defaults, scratch_path
 from devpulse.sinks import write_report, write_windows
 from devpulse.sources import files as SRC
-from devpulse.sources.fixtures import build_envelope
+from devpulse.sources.fixtures import build_envelope, dense_events, with_missing_payloads
 from devpulse.sources.tables import events_as_raw, load_table
 from devpulse.streaming.etl import deduplicate_stream, stream_windows, with_event_watermark
 from devpulse.streaming.sinks import write_windows_stream
@@ -82,9 +82,14 @@ def stats(spark, sf_dir, population="devices"):
     return PCT.daily_stats(report_input(raw(spark, sf_dir)), population)
 
 
-def _write_envelope(spark, sf_dir) -> str:
+def dense_envelope(spark, sf_dir):
+    """About eleven valid events a window at sf0.01; a third of the cities is NULL."""
+    return build_envelope(dense_events(events(spark, sf_dir)), null_city_every=3)
+
+
+def _write_envelope(spark, sf_dir, source=envelope) -> str:
     path = scratch_path(spark, "envelope")
-    envelope(spark, sf_dir).write.parquet(path)
+    source(spark, sf_dir).write.parquet(path)
     return path
 
 
@@ -105,6 +110,16 @@ def q_src2(spark, sf_dir):
     return comparable(SRC.read_parquet(spark, out))
 
 
+def q_src2_payload(spark, sf_dir):
+    """The streamed and stored payload text, compared by all its leaves."""
+    src = _write_envelope(spark, sf_dir)
+    out, ck = scratch_path(spark, "src2-payload-out"), scratch_path(spark, "src2-payload-ck")
+    stream = TR.project_envelope(SRC.read_event_files_stream(spark, src))
+    _run_available_now(stream.writeStream.format("parquet").option("path", out)
+                       .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    return comparable(TR.flatten_event(TR.parse_payload(SRC.read_parquet(spark, out))))
+
+
 _JSON_TS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
@@ -191,6 +206,13 @@ def q_flt1(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def q_flt1_missing(spark, sf_dir):
+    """NULL and empty payloads go; malformed ones stay visible."""
+    p = TR.project_envelope(with_missing_payloads(envelope(spark, sf_dir)))
+    return TR.drop_unparsed(TR.parse_payload(p)).select(
+        "kafka_offset", F.col("parsed_data._corrupt_record").isNotNull().alias("malformed"))
+
+
 def _flt(op):
     def run(spark, sf_dir):
         return comparable(op(flat(spark, sf_dir)).select("kafka_offset", "kafka_partition", "event_id", "device_id"))
@@ -205,6 +227,16 @@ def q_flt8(spark, sf_dir):
     return comparable(report_input(raw(spark, sf_dir)))
 
 
+def q_flt8_mixed(spark, sf_dir):
+    """Durations that are NULL, zero and negative, and NULL types, among the valid ones."""
+    k = F.col("event_id")
+    mixed = (F.when(k % 7 == 0, F.lit(None).cast("double")).when(k % 11 == 0, F.lit(0.0))
+             .when(k % 13 == 0, -F.col("event_duration")).otherwise(F.col("event_duration")))
+    rows = (raw(spark, sf_dir).withColumn("event_duration", mixed)
+            .withColumn("device_type", F.when(k % 17 != 0, F.col("device_type"))))
+    return comparable(report_input(rows))
+
+
 def _events_with_stats(spark, sf_dir, gated=False):
     ev = report_input(raw(spark, sf_dir))
     st = stage_table(PCT.daily_stats(ev), "daily-stats")
@@ -251,6 +283,14 @@ def q_agg1(spark, sf_dir):
     return comparable(windows(spark, sf_dir))
 
 
+def q_agg1_dense(spark, sf_dir):
+    return comparable(etl.window_table(dense_envelope(spark, sf_dir)))
+
+
+def q_agg7_dense(spark, sf_dir):
+    return comparable(Q.event_count_stats(etl.window_table(dense_envelope(spark, sf_dir))))
+
+
 def q_agg2(spark, sf_dir):
     return comparable(windows(spark, sf_dir).select("window_start", "device_id", "device_type", "city",
                                                     "country", "firmware_version"))
@@ -356,6 +396,33 @@ def q_str4_snk1(spark, sf_dir):
     return _stream_windows(spark, [_write_envelope(spark, sf_dir)])
 
 
+def q_str4_dense(spark, sf_dir):
+    return _stream_windows(spark, [_write_envelope(spark, sf_dir, dense_envelope)])
+
+
+def q_str2_late_copy(spark, sf_dir):
+    """Days 1-15 arrive and set the watermark. Then the other days arrive, a
+    tenth of the rows preceded in the same file by a copy 20 days older: that
+    copy is late and dropped, and must not take the on-time row with it."""
+    ev = events(spark, sf_dir)
+    src = scratch_path(spark, "envelope-late-copies")
+    out, ck = scratch_path(spark, "late-copy-out"), scratch_path(spark, "late-copy-ck")
+    day = F.to_date("ts")
+    later = ev.filter(day > F.lit("2024-01-15"))
+    older = (later.filter(F.col("event_id") % 10 == 5)
+             .withColumn("ts", F.col("ts") - F.expr("INTERVAL 20 DAYS")))
+    second = build_envelope(later).unionByName(build_envelope(older, with_duplicates=False))
+    parts = [build_envelope(ev.filter(day <= F.lit("2024-01-15"))),
+             second.repartition(8, "offset").sortWithinPartitions("offset", "timestamp")]
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        valid = etl.clean_events(SRC.read_event_files_stream(spark, src))
+        _run_available_now(deduplicate_stream(with_event_watermark(valid)).writeStream.outputMode("append")
+                           .format("parquet").option("path", out).option("checkpointLocation", ck)
+                           .trigger(availableNow=True).start())
+    return comparable(SRC.read_parquet(spark, out))
+
+
 def q_str4_unbounded_dedup(spark, sf_dir):
     return _stream_windows(spark, [_write_envelope(spark, sf_dir)], within_watermark=False)
 
@@ -472,6 +539,7 @@ def _snapshot(inventory: DataFrame) -> str:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "SRC2_file_stream_envelope": q_src2,
+        "SRC2_PRJ1_stream_payload_leaves": q_src2_payload,
         "SRC3_read_parquet": q_src3,
         "SRC4_read_json_events": q_src4,
         "SRC5_read_any_json_fallback": q_src5,
@@ -485,6 +553,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "PRJ5_prepare_aggregated": q_prj5_aggregated,
         "PRJ6_event_date": q_prj6,
         "FLT1_drop_unparsed": q_flt1,
+        "FLT1_drop_null_and_empty_payloads": q_flt1_missing,
         "FLT2_valid_identity": _flt(TR.valid_identity),
         "FLT3_valid_duration": _flt(TR.valid_duration),
         "FLT4_valid_battery": _flt(TR.valid_battery),
@@ -492,12 +561,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "FLT6_valid_coordinates": _flt(TR.valid_coordinates),
         "FLT7_filter_valid_records": q_flt7,
         "FLT8_positive_events": q_flt8,
+        "FLT8_positive_events_mixed": q_flt8_mixed,
         "FLT9_within_sigma": q_flt9,
         "FLT10_min_population": q_flt10,
         "JOIN1_attach_group_stats": q_join1,
         "JOIN2_restrict_to_groups": q_join2,
         "JOIN3_salted_join": q_join3,
         "AGG1_PRJ7_window_aggregate": q_agg1,
+        "AGG1_AGG2_dense_windows": q_agg1_dense,
         "AGG2_first_by_time": q_agg2,
         "AGG3_daily_stats": q_agg3,
         "AGG3_daily_stats_events_population": q_agg3_events,
@@ -510,14 +581,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "AGG5_SRT1_percentile_report_exact_method": q_agg5_report_method,
         "AGG6_report_summary": q_agg6,
         "AGG7_event_count_stats": q_agg7,
+        "AGG7_dense_event_count_stats": q_agg7_dense,
         "AGG8_type_distribution": q_agg8,
         "AGG9_distinct_types": q_agg9,
         "AGG10_row_count": q_agg10,
         "LIM1_top_report_rows": q_lim1,
         "STR2_dedup_batch": q_str2_batch,
+        "STR2_late_copy_then_on_time_copy": q_str2_late_copy,
         "STR2_dedup_within_watermark_stream": q_str2_stream,
         "STR3_tumbling_window_30s": q_str3_30s,
         "STR4_SNK1_stream_windows": q_str4_snk1,
+        "STR4_dense_stream_windows": q_str4_dense,
         "STR4_stream_windows_unbounded_dedup": q_str4_unbounded_dedup,
         "STR2_STR4_stream_windows_pre_dedup": q_str2_pre_dedup,
         "STR2_STR4_stream_windows_no_pre_dedup": q_str2_no_pre_dedup,

@@ -85,6 +85,19 @@ flat_all AS (
   FROM src),
 flat AS (SELECT * EXCLUDE (malformed) FROM flat_all)"""
 
+# Events folded into 4 devices and 40 minutes, a third of the cities NULL.
+DENSE = """dense AS (
+  SELECT * REPLACE (user_id % 4 AS user_id,
+                    make_timestamp(epoch_us(TIMESTAMP '2024-01-01') + epoch_us(ts) % 2400000000) AS ts)
+  FROM events),
+"""
+
+
+def _dense(sql: str) -> str:
+    return DENSE + (sql.replace("FROM events", "FROM dense")
+                    .replace("WHEN bad THEN NULL ELSE 'city_'", "WHEN bad OR event_id % 3 = 0 THEN NULL ELSE 'city_'"))
+
+
 VALID_PRED = f"""event_id IS NOT NULL AND device_id IS NOT NULL AND device_type IS NOT NULL
   AND event_timestamp IS NOT NULL
   AND event_duration > {C.DURATION_MIN_EXCLUSIVE} AND event_duration < {C.DURATION_MAX_EXCLUSIVE}
@@ -203,6 +216,8 @@ def _oracle_sql() -> dict[str, str]:
     q["SRC2_file_stream_envelope"] = ("WITH " + FLAT + "\nSELECT 'dev_' || CAST(user_id AS VARCHAR) AS kafka_key, "
                                       "ts AS kafka_timestamp, CAST(event_id % 4 AS INTEGER) AS kafka_partition, "
                                       "event_id AS kafka_offset FROM src")
+    q["SRC2_PRJ1_stream_payload_leaves"] = "WITH " + FLAT + "\nSELECT " + FLAT_COLS.replace(", event_timestamp", "") \
+        + " FROM flat"
     raw_sel = ("SELECT event_id, device_id, device_type, r6(event_duration) AS event_duration, "
                "event_timestamp, battery_level FROM raw")
     q["SRC3_read_parquet"] = "WITH " + RAW + "\n" + raw_sel
@@ -226,6 +241,9 @@ def _oracle_sql() -> dict[str, str]:
                             "event_timestamp AS \"timestamp\", device_id, event_id, "
                             "CAST(event_timestamp AS DATE) AS event_date FROM raw")
     q["FLT1_drop_unparsed"] = "WITH " + FLAT + "\nSELECT malformed, count(*) AS row_count FROM flat_all GROUP BY 1"
+    q["FLT1_drop_null_and_empty_payloads"] = (
+        "WITH " + FLAT + "\nSELECT kafka_offset, malformed FROM flat_all "
+        "WHERE kafka_offset % 107 <> 19 AND kafka_offset % 109 <> 23")
     q["FLT2_valid_identity"] = _flt("event_id IS NOT NULL AND device_id IS NOT NULL AND device_type IS NOT NULL "
                                     "AND event_timestamp IS NOT NULL")
     q["FLT3_valid_duration"] = _flt(_DUR)
@@ -235,6 +253,10 @@ def _oracle_sql() -> dict[str, str]:
     q["FLT7_filter_valid_records"] = "WITH " + VALID + "\nSELECT " + FLAT_COLS + " FROM valid"
     q["FLT8_positive_events"] = ("WITH " + PREP + "\nSELECT r6(event_duration) AS event_duration, device_type, "
                                  "\"timestamp\", device_id, event_id, event_date FROM prep")
+    q["FLT8_positive_events_mixed"] = (
+        "WITH " + PREP + "\nSELECT r6(event_duration) AS event_duration, device_type, \"timestamp\", device_id, "
+        "event_id, event_date FROM prep WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 "
+        "AND event_id % 17 <> 0")
     q["FLT9_within_sigma"] = ("WITH " + STATS + "\nSELECT e.event_id, e.device_type, e.event_date, "
                               "r6(e.event_duration) AS event_duration FROM prep e JOIN stats s "
                               "USING (device_type, event_date) "
@@ -248,6 +270,12 @@ def _oracle_sql() -> dict[str, str]:
                                      f"WHERE distinct_events >= {GATE})")
     q["JOIN3_salted_join"] = q["JOIN1_attach_group_stats"]
     q["AGG1_PRJ7_window_aggregate"] = "WITH " + WINDOWS + f"\nSELECT {WIN_COLS} FROM win"
+    q["AGG1_AGG2_dense_windows"] = "WITH " + _dense(WINDOWS) + f"\nSELECT {WIN_COLS} FROM win"
+    q["AGG7_dense_event_count_stats"] = (
+        "WITH " + _dense(WINDOWS) + "\nSELECT count(*) AS total_records, r6(avg(event_count)) AS avg_event_count, "
+        "max(event_count) AS max_event_count, min(event_count) AS min_event_count FROM win")
+    q["STR4_dense_stream_windows"] = "WITH " + _dense(WINDOWS_STREAM) + f"\nSELECT {WIN_COLS} FROM win_emitted"
+    q["STR2_late_copy_then_on_time_copy"] = "WITH " + VALID + "\nSELECT " + FLAT_COLS + " FROM uniq"
     q["AGG2_first_by_time"] = ("WITH " + WINDOWS + "\nSELECT window_start, device_id, device_type, city, country, "
                                "firmware_version FROM win")
     q["AGG3_daily_stats"] = "WITH " + STATS + f"\nSELECT {STATS_COLS} FROM stats"

@@ -27,8 +27,10 @@ def _event_time_text() -> Column:
             .when(k == 2, micros_z).otherwise(seconds_z))
 
 
-def payload_struct() -> Column:
-    """The event as a struct, with the deterministic injections applied."""
+def payload_struct(null_city_every: int = 0) -> Column:
+    """The event as a struct, with the deterministic injections applied.
+
+    ``null_city_every`` n > 0: the city is NULL where event_id % n = 0."""
     eid = F.col("event_id")
     latitude = F.when(_mod(97) == 3, F.lit(200.0)).otherwise((_mod(181) - 90).cast("double"))
     longitude = (_mod(361) - 180).cast("double")
@@ -36,6 +38,9 @@ def payload_struct() -> Column:
     battery = F.when(_mod(83) == 7, F.lit(150)).otherwise(
         F.get_json_object("props", "$.k").cast("int"))
     duration = F.when(_mod(79) == 11, F.lit(-5.0)).otherwise(F.col("value"))
+    city = F.concat(F.lit("city_"), _mod(20).cast("string"))
+    if null_city_every:
+        city = F.when(_mod(null_city_every) != 0, city)
     firmware = F.concat_ws(".", (1 + _mod(5)).cast("string"), _mod(10).cast("string"), F.lit("0"))
     return F.struct(
         F.when(_mod(101) == 13, F.lit(None).cast("long")).otherwise(eid).alias("event_id"),
@@ -46,7 +51,7 @@ def payload_struct() -> Column:
         F.struct(
             latitude.alias("latitude"),
             longitude.alias("longitude"),
-            F.concat(F.lit("city_"), _mod(20).cast("string")).alias("city"),
+            city.alias("city"),
             F.concat(F.lit("country_"), _mod(7).cast("string")).alias("country"),
         ).alias("location"),
         F.struct(
@@ -57,14 +62,14 @@ def payload_struct() -> Column:
     )
 
 
-def build_envelope(events: DataFrame, with_duplicates: bool = True) -> DataFrame:
+def build_envelope(events: DataFrame, with_duplicates: bool = True, null_city_every: int = 0) -> DataFrame:
     """``events`` -> rows shaped like the Kafka source.
 
     key = device id, value = JSON text (``not json`` for event_id % 103 = 17),
     partition = event_id % 4, offset = event_id, timestamp = ts.
     With ``with_duplicates`` rows with event_id % 10 = 0 appear twice.
     """
-    payload = F.to_json(payload_struct(), {"ignoreNullFields": "false"})
+    payload = F.to_json(payload_struct(null_city_every), {"ignoreNullFields": "false"})
     value = F.when(_mod(103) == 17, F.lit("not json")).otherwise(payload)
     env = events.select(
         F.concat(F.lit("dev_"), F.col("user_id").cast("string")).cast("binary").alias("key"),
@@ -77,5 +82,20 @@ def build_envelope(events: DataFrame, with_duplicates: bool = True) -> DataFrame
     )
     if with_duplicates:
         copies = events.filter(_mod(10) == 0)
-        env = env.unionByName(build_envelope(copies, with_duplicates=False))
+        env = env.unionByName(build_envelope(copies, False, null_city_every))
     return env
+
+
+def dense_events(events: DataFrame) -> DataFrame:
+    """``events`` folded into 4 devices and 40 minutes, so that windows hold many events."""
+    folded = F.timestamp_micros(F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
+                                + F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(2_400_000_000)))
+    return events.withColumn("user_id", F.pmod("user_id", F.lit(4))).withColumn("ts", folded)
+
+
+def with_missing_payloads(envelope: DataFrame) -> DataFrame:
+    """The envelope with a NULL value where offset % 107 = 19 and an empty one where offset % 109 = 23."""
+    offset = F.col("offset")
+    return envelope.withColumn(
+        "value", F.when(F.pmod(offset, F.lit(107)) == 19, F.lit(None))
+        .when(F.pmod(offset, F.lit(109)) == 23, F.lit("").cast("binary")).otherwise(F.col("value")))
