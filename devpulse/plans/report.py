@@ -4,8 +4,8 @@ raw or aggregated events -> PRJ5/PRJ6 -> FLT8 -> AGG3 (staged) ->
 FLT10 on the statistics -> JOIN1 (broadcast, size-checked; also does
 JOIN2's restriction) -> FLT9 -> AGG4 -> SRT1.
 
-Physical shape: the event table is scanned twice (statistics, then report)
-and never shuffled row-by-row; the shuffles carry partial aggregates keyed
+Physical shape: the event table is scanned three times (statistics, then the
+report's measures and its distinct devices) and never shuffled row-by-row; the shuffles carry partial aggregates keyed
 by (type, day) or (type, day, device) only.
 """
 
