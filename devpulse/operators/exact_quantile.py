@@ -20,6 +20,9 @@ Semantics: ``disc`` = smallest value whose cumulative share reaches p
 (``percentile_disc``); ``cont`` = linear interpolation between the values at
 0-based positions floor((n-1)p) and ceil((n-1)p) (``percentile``).
 Rows with a NULL value or NULL group key are ignored.
+
+``binned_percentile`` first counts rows per equal-width bin, so that only the
+rows of the bin that holds the rank are ranked this way.
 """
 
 from __future__ import annotations
@@ -31,7 +34,10 @@ from devpulse.plans.staging import stage_table
 
 
 def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float,
-                     method: str = "disc", out_col: str = "percentile", buckets: int | None = None) -> DataFrame:
+                     method: str = "disc", out_col: str = "percentile", buckets: int | None = None,
+                     part_of: DataFrame | None = None) -> DataFrame:
+    """``part_of``: ``group_cols, _below, _n`` when ``df`` holds only a run of each group's
+    ordered rows: how many of the group's ``_n`` rows come before the run."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
     if method not in ("disc", "cont"):
@@ -53,11 +59,15 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
     totals = ranked.groupBy("_bucket", *g).agg(F.sum("_c").alias("_tot"))
     before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
-    offsets = stage_table(totals.select(
+    offsets = totals.select(
         "_bucket", *g,
         F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
         F.sum("_tot").over(whole).alias("_n"),
-    ), "quantile-offsets")
+    )
+    if part_of is not None:
+        offsets = (offsets.drop("_n").join(part_of, g)
+                   .select("_bucket", *g, (F.col("_off") + F.col("_below")).alias("_off"), "_n"))
+    offsets = stage_table(offsets, "quantile-offsets")
     located = join_small(ranked, offsets, ["_bucket", *g])
     first_rank = F.col("_off") + F.col("_run") - F.col("_c") + 1   # 1-based rank of first copy
     last_rank = F.col("_off") + F.col("_run")
@@ -83,6 +93,40 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
     return agg.select(*g, (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias(out_col))
 
 
+def target_bins(bins: DataFrame, group_cols: list[str], p: float, method: str = "disc") -> DataFrame:
+    """``group_cols, _lo_bin, _hi_bin, _below, _n``: the bins that hold the wanted ranks (one bin, or two
+    neighbours for ``cont``) and the rows below them, from ``group_cols, _bin, _rows``."""
+    order = Window.partitionBy(*group_cols).orderBy("_bin")
+    whole = Window.partitionBy(*group_cols)
+    counted = bins.select(*group_cols, "_bin", "_rows", F.sum("_rows").over(order).alias("_upto"),
+                          F.sum("_rows").over(whole).alias("_n"))
+    if method == "disc":
+        lo = hi = F.greatest(F.ceil(F.lit(p) * F.col("_n")), F.lit(1))
+    else:
+        pos = (F.col("_n") - 1) * F.lit(p)
+        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
+    return counted.groupBy(*group_cols).agg(
+        F.min(F.when(F.col("_upto") >= lo, F.col("_bin"))).alias("_lo_bin"),
+        F.min(F.when(F.col("_upto") >= hi, F.col("_bin"))).alias("_hi_bin"),
+        F.min(F.when(F.col("_upto") >= lo, F.col("_upto") - F.col("_rows"))).alias("_below"),
+        F.max("_n").alias("_n"),
+    )
+
+
+def binned_percentile(df: DataFrame, bins: DataFrame, group_cols: list[str], value_col: str, bin_col: str, p: float,
+                      method: str = "disc", out_col: str = "percentile") -> DataFrame:
+    """``exact_percentile`` where only the bins that hold the wanted ranks are ranked.
+
+    ``bin_col`` of ``df`` must rise with the value inside a group, and ``bins`` (materialized) must hold
+    the rows per ``group_cols, _bin``. A bin may hold any number of rows: they are ranked as above.
+    """
+    targets = stage_table(target_bins(bins, group_cols, p, method), "target-bins")
+    chosen = (join_small(df, targets.select(*group_cols, "_lo_bin", "_hi_bin"), group_cols)
+              .filter(F.col(bin_col).between(F.col("_lo_bin"), F.col("_hi_bin"))))
+    return exact_percentile(chosen, group_cols, value_col, p, method, out_col,
+                            part_of=targets.select(*group_cols, "_below", "_n"))
+
+
 def _running_counts(group_cols: list[str]):
     """Arrow batches of one range partition, sorted by (group, value) ->
     the same rows plus ``_bucket`` (the partition) and ``_run`` (running sum

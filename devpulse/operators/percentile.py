@@ -11,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from devpulse import constants as C
+from devpulse.operators.exact_quantile import binned_percentile
 from devpulse.operators.joins import MAX_BROADCAST_ROWS, DEFAULT_SALTS, join_small
+from devpulse.plans.staging import stage_table
 
+# Equal parts of a group's kept range; the percentile's second pass reads the rows of one.
+BINS = 1024
 GROUP_KEYS = ["device_type", "event_date"]
 
 
@@ -82,6 +86,57 @@ def daily_percentile(df: DataFrame, p: float = C.PERCENTILE, accuracy: int = C.P
     return measures.join(devices, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)
 
 
+def with_bin(df: DataFrame, k: float = C.OUTLIER_STD_DEVIATIONS, bins: int = BINS) -> DataFrame:
+    """``_bin``: which of ``bins`` equal parts of [mean - k sd, mean + k sd] holds the duration.
+
+    It rises with the duration inside a group; values beyond the ends fall in the outer bins.
+    """
+    low = F.col("daily_mean") - F.lit(k) * F.col("daily_stddev")
+    part = (F.col("event_duration") - low) / (F.lit(2 * k) * F.col("daily_stddev"))
+    at = F.least(F.greatest(F.floor(part * F.lit(bins)), F.lit(0)), F.lit(bins - 1)).cast("int")
+    return df.withColumn("_bin", F.when(F.col("daily_stddev") > 0, at).otherwise(0))
+
+
+def daily_profile(binned: DataFrame) -> DataFrame:
+    """Per (type, day, bin) rows, mean and squared deviations, and per (type, day) distinct devices
+    (the row whose bin is NULL), in one pass over the rows.
+
+    Every state has a fixed width, so map tasks ship at most one small row for each bin and device.
+    """
+    devices = F.grouping("device_id") == 0
+    parts = (binned.groupingSets([[*GROUP_KEYS, "_bin"], [*GROUP_KEYS, "device_id"]], *GROUP_KEYS, "_bin", "device_id")
+             .agg(devices.alias("_is_device"), F.count(F.lit(1)).alias("_rows"),
+                  F.avg("event_duration").alias("_mean"), F.var_pop("event_duration").alias("_var")))
+    return parts.groupBy(*GROUP_KEYS, "_bin").agg(
+        F.sum(F.when(~F.col("_is_device"), F.col("_rows"))).alias("_rows"),
+        F.max(F.when(~F.col("_is_device"), F.col("_mean"))).alias("_mean"),
+        F.max(F.when(~F.col("_is_device"), F.col("_var") * F.col("_rows"))).alias("_m2"),
+        F.count(F.when(F.col("_is_device"), F.col("device_id"))).alias("_devices"),
+    )
+
+
+def daily_percentile_exact(df: DataFrame, p: float = C.PERCENTILE, method: str = "disc",
+                           k: float = C.OUTLIER_STD_DEVIATIONS, bins: int = BINS) -> DataFrame:
+    """AGG4/AGG5: report measures per (type, day) over the kept rows, the percentile exact (``disc`` or ``cont``).
+
+    One pass over the rows (``daily_profile``, staged) gives every measure but the percentile; it also
+    names the bin that holds the rank, and a second pass ranks that bin's rows only. No task holds or
+    merges anything that grows with a group's rows.
+    """
+    binned = with_bin(df, k, bins)
+    profile = stage_table(daily_profile(binned), "daily-profile")
+    whole = profile.groupBy(*GROUP_KEYS).agg(
+        F.sum("_rows").alias("total_events"), F.max("_devices").alias("distinct_devices"),
+        (F.sum(F.col("_rows") * F.col("_mean")) / F.sum("_rows")).alias("mean_duration"))
+    spread = (profile.join(whole, GROUP_KEYS).groupBy(*GROUP_KEYS, "total_events", "distinct_devices", "mean_duration")
+              .agg(F.sum(F.col("_m2") + F.col("_rows") * F.pow(F.col("_mean") - F.col("mean_duration"), 2)).alias("_m2")))
+    measures = spread.withColumn("stddev_duration", F.when(
+        F.col("total_events") > 1, F.sqrt(F.col("_m2") / (F.col("total_events") - 1))))
+    exact = binned_percentile(binned, profile.filter(F.col("_bin").isNotNull()), GROUP_KEYS, "event_duration", "_bin",
+                              p, method, "percentile_95")
+    return exact.join(measures, GROUP_KEYS).select(*C.REPORT_COLUMNS)
+
+
 def report_summary(report: DataFrame) -> DataFrame:
     """AGG6: one row: groups, avg p95, avg mean, avg events per group."""
     return report.agg(
@@ -100,21 +155,3 @@ def order_report(report: DataFrame) -> DataFrame:
 def top_rows(report: DataFrame, n: int = 10) -> DataFrame:
     """LIM1: the first ``n`` rows of the ordered report (top-k, not a sample)."""
     return order_report(report).limit(n)
-
-
-def daily_percentile_exact(df: DataFrame, p: float = C.PERCENTILE, method: str = "disc") -> DataFrame:
-    """AGG5: AGG4's measures with an exact percentile (``disc`` or ``cont``).
-
-    The percentile comes from the range-partitioned exact operator; the other
-    measures from one partial aggregate; the two small results are joined on
-    the group keys.
-    """
-    from devpulse.operators.exact_quantile import exact_percentile
-    exact = exact_percentile(df, GROUP_KEYS, "event_duration", p, method, "percentile_95")
-    rest = df.groupBy(*GROUP_KEYS).agg(
-        F.avg("event_duration").alias("mean_duration"),
-        F.stddev_samp("event_duration").alias("stddev_duration"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.countDistinct("device_id").alias("distinct_devices"),
-    )
-    return exact.join(rest, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)

@@ -5,8 +5,11 @@ FLT10 on the statistics -> JOIN1 (broadcast, size-checked; also does
 JOIN2's restriction) -> FLT9 -> AGG4 -> SRT1.
 
 Physical shape: the event table is scanned three times (statistics, then the
-report's measures and its distinct devices) and never shuffled row-by-row; the shuffles carry partial aggregates keyed
-by (type, day) or (type, day, device) only.
+report's measures and its distinct devices; with an exact method, the counts
+per bin and device and the rows of the bin that holds the rank) and never
+shuffled row-by-row; the shuffles carry partial aggregates keyed by
+(type, day), (type, day, device) or (type, day, bin), and with an exact method
+the target bin's (type, day, value) counts.
 """
 
 from __future__ import annotations
@@ -36,7 +39,9 @@ def percentile_report(df: DataFrame, p: float = C.PERCENTILE, k: float = C.OUTLI
     least ``min_population``. Ordered by device_type, event_date.
 
     ``method``: ``approx`` (``percentile_approx`` with ``accuracy``, the
-    reference behaviour), ``disc`` or ``cont`` (exact, AGG5)."""
+    reference behaviour; one task merges a group's sketches), ``disc`` or
+    ``cont`` (exact, AGG5; no task merges more than fixed-size rows per bin
+    and map task)."""
     if method not in ("approx", "disc", "cont"):
         raise ValueError("method must be 'approx', 'disc' or 'cont'")
     events = report_input(df, mode)
@@ -49,7 +54,7 @@ def percentile_report(df: DataFrame, p: float = C.PERCENTILE, k: float = C.OUTLI
     kept = PCT.within_sigma(PCT.attach_group_stats(events, qualifying, max_broadcast_rows, salts), k)
     if method == "approx":
         return PCT.order_report(PCT.daily_percentile(kept, p, accuracy))
-    return PCT.order_report(PCT.daily_percentile_exact(kept, p, method))
+    return PCT.order_report(PCT.daily_percentile_exact(kept, p, method, k))
 
 
 def percentile_report_two_joins(df: DataFrame, p: float = C.PERCENTILE, k: float = C.OUTLIER_STD_DEVIATIONS,

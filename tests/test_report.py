@@ -251,6 +251,56 @@ def test_exact_percentile_property(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+def test_binned_percentile_property(spark):
+    # random groups, ties, constant groups and outliers; any number of bins gives the plain result
+    import statistics
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None, derandomize=True)
+    @given(rows=st.lists(st.tuples(st.integers(0, 2), st.sampled_from([1.0, 1.0, 1.5, 2.0, 7.25, 9.0, 1e6]),
+                                   st.sampled_from(["d1", "d2", "d3", None])), min_size=1, max_size=60),
+           p=st.sampled_from([0.0, 0.05, 0.5, 0.95, 1.0]), bins=st.integers(1, 9),
+           k=st.sampled_from([0.5, 3.0]), method=st.sampled_from(["disc", "cont"]))
+    def check(rows, p, bins, k, method):
+        df = spark.createDataFrame([(f"t{g}", v, d) for g, v, d in rows],
+                                   "device_type string, event_duration double, device_id string")
+        df = df.withColumn("event_date", F.lit("2024-01-01").cast("date"))
+        stats = df.groupBy(*PCT.GROUP_KEYS).agg(F.avg("event_duration").alias("daily_mean"),
+                                                F.stddev_samp("event_duration").alias("daily_stddev"))
+        got = {r.device_type: r for r in PCT.daily_percentile_exact(
+            df.join(stats, PCT.GROUP_KEYS), p, method, k, bins).collect()}
+        groups = {}
+        for g, v, d in rows:
+            groups.setdefault(f"t{g}", []).append((v, d))
+        assert got.keys() == groups.keys()
+        for g, found in groups.items():
+            values = [v for v, _ in found]
+            assert got[g].percentile_95 == pytest.approx((_disc if method == "disc" else _cont)(values, p))
+            assert got[g].mean_duration == pytest.approx(statistics.fmean(values))
+            assert got[g].stddev_duration == (pytest.approx(statistics.stdev(values), abs=1e-6) if len(values) > 1 else None)
+            assert got[g].total_events == len(values)
+            assert got[g].distinct_devices == len({d for _, d in found} - {None})
+
+    check()
+
+
+def test_exact_report_ranks_only_the_target_bin(spark):
+    # no sketch is merged; the profile is one pass whose states have a fixed width, and the rows that
+    # are ranked come from the one bin of each group that holds the rank
+    ev = report_input(events_as_raw(load_table(spark, SF001, "events")))
+    kept = PCT.with_bin(PCT.within_sigma(PCT.attach_group_stats(ev, PCT.daily_stats(ev))))
+    profile = plan_text(PCT.daily_profile(kept), "simple")
+    assert "percentile" not in profile and "SortAggregate" not in profile
+    assert profile.count("Expand") == 1
+    from devpulse.operators.exact_quantile import target_bins
+    bins = PCT.daily_profile(kept).filter("_bin is not null")
+    targets = target_bins(bins, PCT.GROUP_KEYS, 0.95)
+    ranked = kept.join(targets, PCT.GROUP_KEYS).filter("_bin between _lo_bin and _hi_bin")
+    n, total = ranked.count(), kept.count()
+    assert 0 < n < total / 4      # groups of about seven rows here
+    assert ranked.where("_lo_bin <> _hi_bin").isEmpty()
+
+
 def test_salted_join_property(spark):
     # random skewed keys, salt counts and join types: salting never changes the result
     from hypothesis import given, settings, strategies as st
