@@ -7,7 +7,7 @@ device that floods one window is combined map-side before the shuffle on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from devpulse import constants as C
 from devpulse.functions.aggregates import first_row_by_time
@@ -60,16 +60,14 @@ def deduplicate(df: DataFrame, keys: list[str] | None = None,
 
     "First" is the smallest (kafka_timestamp, kafka_partition, kafka_offset)
     when the envelope columns exist, which is what a stream keeps; otherwise
-    the smallest event_timestamp. Implemented as an aggregate with ``min_by``
-    so a key with many copies is collapsed map-side (partial aggregation)
-    instead of being gathered into one task.
+    the smallest event_timestamp. ``row_number() = 1`` becomes a group limit on
+    both sides of the shuffle, so a key with many copies sends one row a map
+    task. Measured against ``min_by`` over the row as a struct, it needs less
+    CPU and shuffle, with few and with many copies (README).
     """
     keys = keys or list(C.DEDUP_KEYS)
     if order_cols is None:
         envelope = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
         order_cols = envelope if all(c in df.columns for c in envelope) else ["event_timestamp"]
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    order = F.struct(*[F.col(c) for c in order_cols])
-    picked = df.groupBy(*keys).agg(F.min_by(row, order).alias("_row"))
-    return picked.select(*[F.col(k) for k in keys], "_row.*").select(*df.columns)
+    arrival = Window.partitionBy(*keys).orderBy(*order_cols)
+    return df.withColumn("_arrival", F.row_number().over(arrival)).filter("_arrival = 1").drop("_arrival")
