@@ -21,7 +21,9 @@ quarter of the capacity, to twice that up to a half, then to four times that:
 about half a step of padding for each short piece.
 
 Defined results: a null or empty text is the end id alone (one piece of
-length 1); repeated rows are packed each; an empty table gives no rows; null
+length 1); repeated rows are packed each, also rows of one key with different
+texts (ranks follow the checksums, so a task run again gives the same rows);
+an empty table gives no rows; null
 keys are kept.
 """
 
@@ -184,14 +186,14 @@ def pack(df: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, step:
     cut = stage_table(pieces(df, path, end_id, capacity, key, text), "pieces")
     subs = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = (cut.withColumn("_width", width_class(F.col("length"), capacity, step))
-           .withColumn("_sub", F.pmod(F.xxhash64(key, "start"), F.lit(subs))))
+           .withColumn("_sub", F.pmod(F.xxhash64(key, "start", "ids_crc32"), F.lit(subs))))
     counts = stage_table(cut.groupBy("_width", "_sub").count(), "piece-counts")
     demand = {r["_width"]: r["n"] for r in counts.groupBy("_width").agg(F.sum("count").alias("n")).collect()}
     places = _places(cutting_stock(demand, capacity // step))
 
     before = Window.partitionBy("_width").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_width", "_sub", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy("_width", "_sub").orderBy(F.desc("length"), key, "start")
+    inside = Window.partitionBy("_width", "_sub").orderBy(F.desc("length"), key, "start", "ids_crc32", "doc_tokens")
     ranked = (cut.withColumn("_rank", F.row_number().over(inside) - 1)
               .join(starts, ["_width", "_sub"]).withColumn("_rank", F.col("_rank") + F.col("_first")))
 

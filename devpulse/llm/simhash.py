@@ -244,7 +244,12 @@ def near_duplicates(df: DataFrame, words: int, bits: int, key: str = "doc_id", t
 
 
 def keep_one(df: DataFrame, words: int, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of one document (the smallest key) for each component; rows without a key stay."""
+    """The rows of one document (the smallest key) for each component; rows without a key stay.
+
+    A key on several rows stays with all of them if it is the smallest of any of its components, so that
+    no component goes as a whole.
+    """
     groups = near_duplicates(df, words, bits, key, text)
-    others = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_other")).distinct()
+    others = (groups.groupBy(F.col(key).alias("_other"))
+              .agg(F.bool_and(F.col(key) != F.col("component_id")).alias("_goes")).where("_goes").select("_other"))
     return df.join(others, df[key] == others["_other"], "left_anti")

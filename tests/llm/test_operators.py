@@ -108,6 +108,14 @@ def test_packing_covers_every_id_once(odd, none, library):
     assert packing.pack(none, queries.WORD_BPE, 2).count() == 0
 
 
+def test_packing_of_one_key_with_many_texts(spark, library):
+    texts = [f"word {i % 7} more" for i in range(60)] + [None] * 5
+    rows = packing.pack(spark.createDataFrame([(1, t) for t in texts], SHAPE), queries.WORD_BPE, 2, 32, 1).collect()
+    crc = [zlib.crc32(np.array(library(t) + [2], "<u4").tobytes()) for t in texts]
+    assert sorted(r.ids_crc32 for r in rows) == sorted(crc)
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+
+
 @settings(max_examples=25, deadline=None, derandomize=True)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), max_size=12))
 def test_cutting_stock_meets_the_demand(demand):
@@ -166,6 +174,11 @@ def test_near_duplicates(spark, odd, clash, none, monkeypatch):
     kept = simhash.keep_one(clash, 3, 3)
     assert kept.columns == clash.columns and kept.where("doc_id in (3, 4)").count() == 0  # zero, as null text 2
     assert simhash.near_duplicates(none, 3, 3).count() == 0
+    # one key in two components, the smallest of one and not of the other: neither component goes
+    twice = spark.createDataFrame([(1, "red green blue sky"), (2, "red green blue sky"), (2, "other words stand here"),
+                                   (3, "other words stand here")], SHAPE)
+    assert {(r.doc_id, r.text[:3]) for r in simhash.keep_one(twice, 3, 3).collect()} == {
+        (1, "red"), (2, "red"), (2, "oth")}
 
 
 # --- top-k ---------------------------------------------------------------------
