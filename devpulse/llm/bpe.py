@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from devpulse.llm.batches import slices
 from devpulse.llm.wordbpe import END, split_normal, vocabulary
 
-#: Chunks kept by a Python worker.
+#: Chunks, and words, kept by a Python worker.
 TABLE_CHUNKS = 300_000
 NONE = np.iinfo(np.int64).max
 
@@ -100,29 +101,35 @@ class MergeTable:
 
 
 class Encoder:
-    """Texts to ids with a bounded table of the chunks between white space."""
+    """Texts to ids with bounded tables of the chunks between white space and of their words."""
 
     def __init__(self, path: str):
         self.table = MergeTable(path)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _learn(self, new: set[str]) -> None:
-        """Add the ids of new chunks: each distinct word among them is encoded once."""
+        """Add the ids of new chunks: each distinct new word among them is encoded once."""
         special = self.table.vocabulary.special
         plain = [c for c in new if c not in special]
         split = [split_normal(c) for c in plain]
-        words = list(set().union(*split))
-        get = dict(zip(words, self.table.encode_words(words))).__getitem__
+        every = set(chain.from_iterable(split))
+        if len(self.words) + len(every) > TABLE_CHUNKS:
+            self.words.clear()
+        words = list(every.difference(self.words))
+        self.words.update(zip(words, self.table.encode_words(words)))
+        get = self.words.__getitem__
         self.known.update(zip(plain, (get(s[0]) if len(s) == 1 else b"".join(map(get, s)) for s in split)))
         self.known.update((s, np.array([i], self.table.dtype).tobytes()) for s, i in special.items())
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text as an unsigned array."""
         split = [self.table.vocabulary.chunks(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.known)
+        every = set(chain.from_iterable(split))
+        new = every.difference(self.known)
         if len(self.known) + len(new) > TABLE_CHUNKS:
             self.known.clear()
-            new = set().union(*split)
+            new = every
         self._learn(new)
         get = self.known.__getitem__
         for listed in split:
