@@ -32,7 +32,7 @@ from devpulse.llm.batches import slices
 from devpulse.llm.wordbpe import END, split_normal, vocabulary
 
 #: Chunks, and words, kept by a Python worker.
-TABLE_CHUNKS = 300_000
+TABLE_CHUNKS = 400_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -111,15 +111,18 @@ class Encoder:
     def _learn(self, new: set[str]) -> None:
         """Add the ids of new chunks: each distinct new word among them is encoded once."""
         special = self.table.vocabulary.special
-        plain = [c for c in new if c not in special]
-        split = [split_normal(c) for c in plain]
-        every = set(chain.from_iterable(split))
+        new = new.difference(special)
+        whole = list(filter(str.isalpha, new))  # a chunk of letters is one word
+        mixed = list(new.difference(whole))
+        split = [split_normal(c) for c in mixed]
+        every = set(chain.from_iterable(split)).union(whole)
         if len(self.words) + len(every) > TABLE_CHUNKS:
             self.words.clear()
         words = list(every.difference(self.words))
         self.words.update(zip(words, self.table.encode_words(words)))
         get = self.words.__getitem__
-        self.known.update(zip(plain, (get(s[0]) if len(s) == 1 else b"".join(map(get, s)) for s in split)))
+        self.known.update(zip(whole, map(get, whole)))
+        self.known.update(zip(mixed, [b"".join(map(get, s)) for s in split]))
         self.known.update((s, np.array([i], self.table.dtype).tobytes()) for s, i in special.items())
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
