@@ -110,7 +110,7 @@ class Encoder:
 
     def _learn(self, new: set[str]) -> None:
         """Add the ids of new chunks: each distinct new word among them is encoded once."""
-        special = self.table.vocabulary.special
+        special = self.table.vocabulary.marked
         new = new.difference(special)
         whole = list(filter(str.isalpha, new))  # a chunk of letters is one word
         mixed = list(new.difference(whole))

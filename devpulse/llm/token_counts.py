@@ -128,7 +128,7 @@ class WordCounter:
         return word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.map)
 
     def total(self, text: str) -> int:
-        special, get = self.vocabulary.special, self.chunks.get
+        special, get = self.vocabulary.marked, self.chunks.get
         total = 0
         for c in self.vocabulary.chunks(text):
             n = get(c)

@@ -93,6 +93,8 @@ class Vocabulary:
         self.merges: list[tuple[str, str]] = [tuple(m) if isinstance(m, list) else tuple(m.split(" "))
                                               for m in model["merges"]]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        #: Special strings as ``chunks`` gives them: the capital keeps them apart from every normalised text.
+        self.marked: dict[str, int] = {"S" + s: i for s, i in self.special.items()}
         self.letters = byte_letters()
         size = max([*self.ids.values(), *self.special.values()]) + 1
         self.tokens = [""] * size
@@ -101,13 +103,13 @@ class Vocabulary:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def chunks(self, text: str) -> list[str]:
-        """The white-space-free chunks and the special strings of a raw text, in order."""
+        """The white-space-free chunks and the special strings (as ``marked``) of a raw text, in order."""
         if self.special_pattern is None or not any(s in text for s in self.special):
             return chunks_of(normalise(text))
         out: list[str] = []
         for piece in self.special_pattern.split(text):
             if piece in self.special:
-                out.append(piece)
+                out.append("S" + piece)
             elif piece:
                 out += chunks_of(normalise(piece))
         return out

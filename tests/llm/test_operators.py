@@ -90,6 +90,18 @@ def test_token_counts(odd, none, library):
     assert token_counts.token_counts(none, queries.WORD_BPE, 50).count() == 0
 
 
+def test_special_strings_in_another_case_are_text(spark, library):
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|> b", "<|endoftext|> <|ENDOFTEXT|>", "<|ENDOFTEXT|><|endoftext|>",
+             "<|StartOfText|>\x1c <|startoftext|>", " <|ENDOFTEXT|> s<|endoftext|>"]
+    want = [library(t) for t in texts]
+    assert [i.tolist() for i in bpe.Encoder(queries.WORD_BPE).encode(texts)] == want
+    c = token_counts.WordCounter(queries.WORD_BPE)
+    for _ in range(2):
+        assert [c.total(t) for t in texts] == [c.prefixes(t).total() for t in texts] == [len(i) for i in want]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), SHAPE), queries.WORD_BPE, 2, 64, 1).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(w) + 1 for i, w in enumerate(want)}
+
+
 def test_packing_covers_every_id_once(odd, none, library):
     rows = packing.pack(odd, queries.WORD_BPE, 2, capacity=64, step=1).collect()
     spent = {}
