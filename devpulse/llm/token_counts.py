@@ -6,8 +6,9 @@ over its prefixes: the last token of ``w[:j]`` is the token ``t`` with
 that is, where the merges leave the two tokens apart. The count at ``j`` is
 one more than the count before ``t``. Two tables are kept, for a prefix inside
 a word and for a prefix that ends there (its last byte carries the word end).
-Words share their prefixes, so the states are stored by prefix in a bounded
-table of the Python worker.
+Short words share their prefixes, so the states are stored by prefix in a
+bounded table of the Python worker. A long word has its states in arrays by
+position, which are dropped with the word: memory follows its length.
 
 Over a text, counts add up word by word. ``PrefixCounts`` answers the count of
 any prefix and the longest prefix within a budget from these stored counts;
@@ -22,9 +23,11 @@ tokens; repeated rows give repeated results.
 from __future__ import annotations
 
 import unicodedata
+from array import array
 from bisect import bisect_right
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +41,8 @@ from devpulse.llm.wordbpe import END, normalise, split_normal, vocabulary
 TABLE_CHUNKS = 300_000
 TABLE_STATES = 300_000
 TABLE_PAIRS = 500_000
+#: Bytes of words whose prefixes are stored by string, and code points of stored chunks.
+SHORT = 256
 
 
 class WordCounter:
@@ -106,6 +111,10 @@ class WordCounter:
 
     def _final(self, text: str) -> int:
         """Count of a mapped string as a whole word."""
+        if len(text) > SHORT:
+            return self._ends(text, [len(text)])[0]
+        if len(self.states) >= TABLE_STATES:
+            self.states = {"": (0, "")}
         for i in range(max(0, len(text) - self.longest), len(text)):
             if text[i:] in self.final:
                 count, last = self._state(text[:i])
@@ -113,15 +122,33 @@ class WordCounter:
                     return count + 1
         raise ValueError("the vocabulary lacks a byte")
 
+    def _ends(self, text: str, places: Sequence[int]) -> list[int]:
+        """Counts of the mapped strings ``text[:j]`` as whole words, for the ascending ``places`` j."""
+        counts, lengths = array("q", [0]), array("q", [0])  # of the prefixes inside the word: count, last token's length
+
+        def apart(i: int, token: str) -> bool:
+            return not i or self._apart(text[i - lengths[i]:i], token)
+
+        for j in range(1, places[-1]):
+            i = next(i for i in range(max(0, j - self.longest), j) if text[i:j] in self.inner and apart(i, text[i:j]))
+            counts.append(counts[i] + 1)
+            lengths.append(j - i)
+        return [next(counts[i] + 1 for i in range(max(0, j - self.longest), j)
+                     if text[i:j] in self.final and apart(i, text[i:j] + END)) for j in places]
+
+    def prefix_counts(self, word: str) -> list[int]:
+        """Tokens of ``word[:1]``, ``word[:2]`` and so on, of one normalised word, in one pass."""
+        return self._ends(self.mapped(word), list(accumulate(len(self.mapped(c)) for c in word)))
+
     def count(self, chunk: str) -> int:
         """Tokens of a normalised text without special strings."""
         known = self.chunks.get(chunk)
         if known is None:
-            if len(self.chunks) >= TABLE_CHUNKS:
-                self.chunks.clear()
-            if len(self.states) >= TABLE_STATES:
-                self.states = {"": (0, "")}
-            known = self.chunks[chunk] = sum(self._final(self.mapped(w)) for w in split_normal(chunk))
+            known = sum(self._final(self.mapped(w)) for w in split_normal(chunk))
+            if len(chunk) <= SHORT:
+                if len(self.chunks) >= TABLE_CHUNKS:
+                    self.chunks.clear()
+                self.chunks[chunk] = known
         return known
 
     def mapped(self, word: str) -> str:
@@ -180,8 +207,15 @@ class PrefixCounts:
         k = bisect_right(self.counts, budget) - 1
         if k == len(self.counts) - 1:
             return len(self.text)
-        n = self.ends[k]
-        for m in range(self.ends[k + 1] - 1, n, -1):
+        n, last = self.ends[k], self.ends[k + 1] - 1
+        if last - n > SHORT and len(words := split_normal(low := normalise(self.text[n:last]))) == 1 and \
+                len(low) == last - n and low.endswith(words[0]):
+            # A long word (after white space): all its prefixes in one pass.
+            counts = self.counter.prefix_counts(words[0])
+            while counts and self.counts[k] + counts[-1] > budget:
+                counts.pop()
+            return last - len(words[0]) + len(counts)
+        for m in range(last, n, -1):
             if self.at(m) <= budget:
                 return m
         return n

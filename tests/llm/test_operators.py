@@ -102,6 +102,28 @@ def test_special_strings_in_another_case_are_text(spark, library):
     assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(w) + 1 for i, w in enumerate(want)}
 
 
+def test_long_words_store_no_prefixes(library, monkeypatch):
+    rng = np.random.default_rng(1)
+    mixed = "".join(rng.choice(list("aeinothrs"), 4000))
+    for text in ("=" * 5000, mixed, "x " + mixed.upper(), " " * 900 + mixed, "é一" * 900, "a b " + "''" * 700 + " c"):
+        c = token_counts.WordCounter(queries.WORD_BPE)
+        n, table = len(library(text)), c.prefixes(text)
+        assert c.total(text) == table.total() == n
+        for budget in (0, 1, n // 2, n - 1):
+            cut = table.longest(budget)
+            assert len(library(text[:cut])) <= budget
+            with monkeypatch.context() as m:  # the same as place by place from the stored prefixes
+                m.setattr(token_counts, "SHORT", 1 << 40)
+                if len(text) <= 1500:
+                    assert token_counts.WordCounter(queries.WORD_BPE).prefixes(text).longest(budget) == cut
+        assert [table.at(i) for i in (300, 1001)] == [len(library(text[:i])) for i in (300, 1001)]
+        assert sum(map(len, c.states)) + sum(map(len, c.chunks)) < 100_000
+    c = token_counts.WordCounter(queries.WORD_BPE)
+    monkeypatch.setattr(token_counts, "TABLE_STATES", 500)
+    many = "-".join("".join(rng.choice(list("aeinothrs"), 30)) for _ in range(200))
+    assert c.total(many) == len(library(many)) and len(c.states) < 1000
+
+
 def test_packing_covers_every_id_once(odd, none, library):
     rows = packing.pack(odd, queries.WORD_BPE, 2, capacity=64, step=1).collect()
     spent = {}
