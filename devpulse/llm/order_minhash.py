@@ -4,9 +4,11 @@ The k-mers of a text are runs of ``k`` words (split at white space), numbered
 by occurrence: the second time the same k-mer appears it is another item. Each
 item is hashed once; the hash deals the items to ``bins`` bins and orders them
 inside. Of every bin the ``length`` smallest items are taken, put back into
-text order and hashed as a tuple. Two texts agree in a bin only if the same
-items come in the same order, so that moved text lowers the likeness as an
-edit distance does. Likeness is the share of equal tuples among the bins that
+text order and hashed as a tuple. A bin with fewer items takes the smallest
+ones of the filled bins after it (after the last comes the first), so that
+short texts, whose bins hold one item or none, keep their order too. Two texts
+agree in a bin only if the same items come in the same order, so that moved
+text lowers the likeness as an edit distance does. Likeness is the share of equal tuples among the bins that
 either text fills.
 
 Everything happens inside a row on sorted arrays of longs: a k-mer's key is its
@@ -64,7 +66,8 @@ def with_signature(df: DataFrame, text: str, name: str, k: int = K, length: int
           .withColumn(sel, F.filter(t, lambda x, i: (i < length) | (bin_of(x) != bin_of(F.get(t, i - length))))))
 
     def in_text_order(x: Column, i: Column) -> Column:
-        same = F.filter(F.slice(sel, i + 1, F.lit(length)), lambda y: bin_of(y) == bin_of(x))
+        # sel is sorted by bin: past the end of a bin come the smallest items of the next
+        same = F.array(*(F.get(sel, (i + j) % F.size(sel)) for j in range(length)))
         turned = F.sort_array(F.transform(
             same, lambda y: F.shiftleft(y.bitwiseAND(mask), HASH).bitwiseOR(F.shiftright(y, POSITION))))
         ordered = F.transform(turned, lambda y: y.bitwiseAND(F.lit((1 << HASH) - 1).cast("long")))

@@ -254,6 +254,18 @@ def test_order_minhash(spark, odd, clash, none):
     assert 0.2 < near[0] < 0.9 and near[1] == 0  # moved halves agree in part, other order not at all
 
 
+def test_order_minhash_keeps_the_order_of_short_texts(spark):
+    rows = [(n, s, words := [f"w{s}x{i}" for i in range(n)], words[n // 2:] + words[:n // 2])
+            for n in (20, 50, 100) for s in range(30)]
+    df = spark.createDataFrame([(n, " ".join(a), " ".join(b)) for n, _, a, b in rows], "n int, a string, b string")
+    df = order_minhash.with_signature(order_minhash.with_signature(df, "a", "sa"), "b", "sb")
+    near = dict(df.groupBy("n").agg(F.avg(order_minhash.likeness("sa", "sb"))).collect())
+    assert all(0.2 < x < 0.62 for x in near.values())  # half the pairs of items lie in one half and stay in order
+    one = spark.createDataFrame([("a b c", "a b c"), ("", None), ("a b c d", "a b c d")], "a string, b string").fillna("")
+    one = order_minhash.with_signature(order_minhash.with_signature(one, "a", "sa"), "b", "sb")
+    assert [r[0] for r in one.select(order_minhash.likeness("sa", "sb")).collect()] == [1, 1, 1]
+
+
 # --- WARC ------------------------------------------------------------------------
 
 def test_warc_records_revisits_and_members(spark):
