@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from devpulse.llm.labels import held_out, training_rows
 from devpulse.plans.staging import stage_table
 
-TRAIN_ROWS = 5000
-TREES, DEPTH = 12, 3
+TRAIN_ROWS = 10_000
+TREES, DEPTH = 24, 3
 LASSO = 1e-3
 
 
@@ -122,7 +122,7 @@ def fit(rows: DataFrame, names: list[str], trees: int = TREES, depth: int = DEPT
         return RuleModel(math.log((ones + 1) / (total - ones + 1)), ())
     fired = rows.select("label", F.array(*(F.expr(r.condition()).cast("double") for r in rules)).alias("fired"))
     table = fired.select("label", array_to_vector("fired").alias("features")).coalesce(2).cache()  # bounded rows
-    line = LogisticRegression(elasticNetParam=1.0, regParam=lasso, standardization=False, maxIter=25, tol=1e-4).fit(table)
+    line = LogisticRegression(elasticNetParam=1.0, regParam=lasso, standardization=False, maxIter=60).fit(table)
     table.unpersist()
     kept = tuple((r, float(w)) for r, w in zip(rules, line.coefficients) if w)
     return RuleModel(float(line.intercept), kept)

@@ -316,6 +316,11 @@ def test_quality_held_out(spark, clash, none):
     assert kept.columns == clash.columns and kept.count() == len(ODD)
 
 
+def test_quality_learns_from_ten_thousand_rows(spark):
+    every = spark.range(30_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    assert quality.training_rows(every, "quality", quality.TRAIN_ROWS).count() >= 10_000
+
+
 def test_toxicity_held_out_and_odd(spark, clash, none):
     scored = queries.op6_toxicity(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("held_out")
