@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDS = 5
@@ -24,3 +24,11 @@ def training_rows(labels: DataFrame, label: str, rows: int, key: str = "doc_id")
               .groupBy(key).agg(F.max(label).cast("int").alias("label")))
     every = max(1, usable.count() // rows)
     return usable.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0).limit(2 * rows)
+
+
+def training_texts(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """``label`` and the text of the chosen keys, as ``text``: of a key on several rows the one with the
+    smallest hash, so that the bound on the keys holds for the rows."""
+    first = Window.partitionBy("_key").orderBy(F.xxhash64(text), text)
+    return (docs.select(F.col(key).alias("_key"), text).join(F.broadcast(chosen.withColumnRenamed(key, "_key")), "_key")
+            .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("label", text))

@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.llm.labels import held_out, training_rows
+from devpulse.llm.labels import held_out, training_rows, training_texts
 from devpulse.plans.staging import stage_table
 
 TRAIN_ROWS = 10_000
@@ -131,7 +131,7 @@ def fit(rows: DataFrame, names: list[str], trees: int = TREES, depth: int = DEPT
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
           text: str = "text") -> RuleModel:
     chosen = training_rows(labels, label, TRAIN_ROWS, key)
-    rows, names = statistics(docs.select(key, text).join(F.broadcast(chosen), key).select("label", text), text)
+    rows, names = statistics(training_texts(docs, chosen, key, text), text)
     return fit(stage_table(rows.select("label", *names), "quality-training"), names)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devpulse.llm.batches import slices
-from devpulse.llm.labels import held_out, training_rows
+from devpulse.llm.labels import held_out, training_rows, training_texts
 from devpulse.plans.staging import stage_table
 
 TRAIN_ROWS = 8192
@@ -167,8 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                 [batch.column(0), pa.array(own, pa.list_(pa.int64())), pa.array(other, pa.list_(pa.list_(pa.int64())))],
                 ["label", "own", "other"])
 
-    rows = (docs.select(key, F.col(text).cast("string").alias("_text")).join(F.broadcast(chosen), key)
-            .select("label", "_text").mapInArrow(extract, "label int, own array<long>, other array<array<long>>"))
+    rows = (training_texts(docs.select(key, F.col(text).cast("string").alias("_text")), chosen, key, "_text")
+            .mapInArrow(extract, "label int, own array<long>, other array<array<long>>"))
     rows = stage_table(rows, "toxicity-training")
     ones, total = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
     if ones in (0, total):

@@ -332,6 +332,19 @@ def test_toxicity_held_out_and_odd(spark, clash, none):
     assert toxicity.scores(none, one_class, 0.5).count() == 0
 
 
+def test_a_training_key_on_many_rows_counts_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"good day number {i}") for i in range(400)] +
+                                 [(i, f"women talk {i}") for i in range(2, 40)] + [(2, None)] * 3, SHAPE)
+    marks = labelled(spark, [(i, i % 2, i % 2) for i in range(1, 40)])
+    want = sorted(r.label for r in toxicity.training_rows(marks, "toxic", 100).collect())
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, names: seen.append([r.label for r in rows.collect()]))
+    monkeypatch.setattr(toxicity, "fit", lambda labels, *_: (seen.append(labels.tolist()), (0.0, np.empty(0)))[1])
+    quality.train(docs, marks)
+    toxicity.train(docs, marks)
+    assert [sorted(s) for s in seen] == [want, want]
+
+
 def test_counterfactual_penalty_lowers_identity_weight():
     texts = ["women are stupid losers", "those women are scum", "women scum", "nice day", "the men play", "good men"] * 5
     y = np.array([1, 1, 1, 0, 0, 0] * 5)
