@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.llm import bpe, lexical, lm_scoring, merkle, order_minhash, packing, quality, simhash, token_counts, topk, toxicity, warc
+from devpulse.llm import ann, bpe, lexical, lm_scoring, merkle, order_minhash, packing, quality, simhash, token_counts, topk, toxicity, warc
 from devpulse.sources.tables import load_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -85,11 +85,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_topk, op2_cross_entropy_difference, op3_quality_rules, op4_simhash_vptree,
                             op5_warc_normaliser, op6_toxicity, op7_bpe_merge_rounds, op8_packing_cutting_stock,
                             op9_token_counts, op10_order_minhash, op11_lexical_search,
-                            op12_merkle_manifest)}
+                            op12_merkle_manifest, op13_nearest_neighbours)}
 
 ORACLE_SQL: dict[str, str] = {
     # base32 of the SHA-1, five hexadecimal digits to four letters at a time
