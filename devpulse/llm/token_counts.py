@@ -22,7 +22,6 @@ tokens; repeated rows give repeated results.
 
 from __future__ import annotations
 
-import unicodedata
 from array import array
 from bisect import bisect_right
 from collections.abc import Sequence
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devpulse.llm.batches import slices
-from devpulse.llm.wordbpe import END, normalise, split_normal, vocabulary
+from devpulse.llm.wordbpe import END, lower_of, nfc, normalise, split_normal, vocabulary
 
 #: Chunks, prefix states and token pairs kept by a Python worker.
 TABLE_CHUNKS = 300_000
@@ -171,7 +170,7 @@ class PrefixCounts:
 
     def __init__(self, counter: WordCounter, text: str):
         self.counter = counter
-        self.text = unicodedata.normalize("NFC", text)
+        self.text = nfc(text)
         self.ends, self.counts = [0], [0]
         v = counter.vocabulary
         pieces = v.special_pattern.split(text) if v.special_pattern else [text]
@@ -182,7 +181,7 @@ class PrefixCounts:
                 self.ends.append(at)
                 self.counts.append(total)
                 continue
-            raw = unicodedata.normalize("NFC", piece)
+            raw = nfc(piece)
             low = normalise(piece)
             starts = None if len(low) == len(raw) else _origins(raw)
             end = 0
@@ -223,7 +222,7 @@ class PrefixCounts:
 
 def _origins(raw: str) -> list[int]:
     """For each code point of the lower-cased text, the code point it comes from."""
-    return [i for i, c in enumerate(raw) for _ in c.lower()]
+    return [i for i, c in enumerate(raw) for _ in lower_of(c)]
 
 
 @lru_cache(2)
@@ -249,7 +248,7 @@ def token_counts(df: DataFrame, path: str, limit: int, key: str = "doc_id", text
                     n = table.total()
                     fit.append(table.longest(limit))
                 else:
-                    fit.append(len(unicodedata.normalize("NFC", t)))
+                    fit.append(len(nfc(t)))
                 n_tokens.append(n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),

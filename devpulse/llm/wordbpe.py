@@ -3,7 +3,9 @@
 Shared by the BPE, packing and token-count operators. A text is cut at the
 special strings of the file (matched on the raw text), normalised (NFC, lower
 case per code point) and split into words by the file's pattern; white space
-never reaches a word. The pieces of a text are encoded independently, so a
+never reaches a word. Letter classes, NFC and lower case are the library's,
+whose Unicode version is another than Python's: Python's own functions serve
+texts without code points on which the two differ. The pieces of a text are encoded independently, so a
 task only has to encode each distinct word once: callers keep a bounded
 ``word -> ids`` table per Python worker.
 
@@ -19,7 +21,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-from tokenizers import Regex, pre_tokenizers
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -45,12 +47,50 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
             re.compile(f"{short}|[{letters}]+|[{digits}]|[^{SPACE}{letters}{digits}]+"))
 
 
+_NFC, _LOWER = normalizers.NFC(), normalizers.Lowercase()
+#: Scripts with case or combining marks lie in the first two planes; the others have ideographs and tags.
+PLANES = 0x20000
+
+
+@lru_cache(1)
+def unlike() -> tuple[re.Pattern, dict[str, str]]:
+    """Finds code points on which the library's NFC or lower case may differ from Python's, and their lower case.
+
+    NFC may differ on a code point that one of the two decomposes otherwise, on what it is composed with, and on
+    one whose combining class only one of them knows.
+    """
+    every = [chr(c) for c in range(PLANES) if c != 10 and not 0xD800 <= c < 0xE000]
+
+    def both(library: normalizers.Normalizer, form: str, frame: str) -> zip:
+        text = "\n".join(map(frame.format, every))
+        return zip(every, library.normalize_str(text).split("\n"), unicodedata.normalize(form, text).split("\n"))
+
+    lower = {c: low for c, low in zip(every, _LOWER.normalize_str("\n".join(every)).split("\n")) if low != c.lower()}
+    odd = {x for c, a, b in both(normalizers.NFD(), "NFD", "{}") if a != b for x in (c, a[-1], b[-1])}
+    # Marks of classes 240 and 1 beside it: a code point with a combining class changes places with one of them.
+    for frame in ("a\u0345{}", "a{}\u0334"):
+        odd.update(c for c, a, b in both(_NFC, "NFC", frame) if a != b)
+    return re.compile("[" + "".join(f"\\U{ord(c):08x}" for c in sorted(odd.union(lower))) + "]"), lower
+
+
+def nfc(text: str) -> str:
+    if text.isascii():
+        return text
+    return _NFC.normalize_str(text) if unlike()[0].search(text) else unicodedata.normalize("NFC", text)
+
+
+def lower_of(c: str) -> str:
+    """Lower case of one code point."""
+    return unlike()[1].get(c) or c.lower()
+
+
 def normalise(text: str) -> str:
     """NFC, then lower case code point by code point (no final-sigma rule)."""
     if text.isascii():
         return text.lower()
-    text = unicodedata.normalize("NFC", text)
-    return text.replace("Σ", "σ").lower()
+    if unlike()[0].search(text):
+        return _LOWER.normalize_str(_NFC.normalize_str(text))
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
 def split_normal(text: str) -> list[str]:
