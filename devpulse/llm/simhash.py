@@ -32,7 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,15 +65,21 @@ def fingerprint(text: str | None, words: int) -> int:
 
 def fingerprints(df: DataFrame, words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, fp``: the fingerprint as a signed long."""
+    return _fingerprints(df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")),
+                         words).withColumnRenamed("key", key)
+
+
+def _fingerprints(df: DataFrame, words: int) -> DataFrame:
+    """``key, fp`` and the columns after ``key, text``."""
 
     def run(batches):
         for batch in slices(batches, 1):
             fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             ["key", "fp", *batch.schema.names[2:]])
 
-    schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("fp", T.LongType())])
-    return (df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-            .mapInArrow(run, schema).withColumnRenamed("key", key))
+    schema = T.StructType([df.schema["key"], T.StructField("fp", T.LongType()), *df.schema.fields[2:]])
+    return df.mapInArrow(run, schema)
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,9 +233,8 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels.select("node", "label")
 
 
-def near_duplicates(df: DataFrame, words: int, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, fingerprint, component_id`` for every row."""
-    docs = stage_table(fingerprints(df, words, key, text), "fingerprints")
+def _components(docs: DataFrame, bits: int, key: str) -> DataFrame:
+    """``fp, group, component_id`` for every fingerprint; ``group`` names the component."""
     fps = stage_table(docs.groupBy("fp").agg(F.min(key).alias("first")), "distinct-fingerprints")
     links = stage_table(_shard_links(fps, bits), "shard-links")
     lowest = stage_table(links.groupBy("fp").agg(F.min("root").alias("low")), "lowest-roots")
@@ -238,18 +243,32 @@ def near_duplicates(df: DataFrame, words: int, bits: int, key: str = "doc_id", t
     grouped = (fps.join(lowest, "fp", "left").join(labels.withColumnRenamed("node", "low"), "low", "left")
                .select("fp", "first", F.coalesce("label", "low", "fp").alias("group")))
     smallest = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-    named = grouped.join(smallest, "group").select("fp", "component_id")
-    return docs.join(named, "fp").select(
+    return grouped.join(smallest, "group").select("fp", "group", "component_id")
+
+
+def near_duplicates(df: DataFrame, words: int, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, fingerprint, component_id`` for every row."""
+    docs = stage_table(fingerprints(df, words, key, text), "fingerprints")
+    return docs.join(_components(docs, bits, key), "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, words: int, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of one document (the smallest key) for each component; rows without a key stay.
+    """One row of each component: of the smallest key (nulls last), then of the smallest fingerprint and text hash.
 
-    A key on several rows stays with all of them if it is the smallest of any of its components, so that
-    no component goes as a whole.
+    Of rows with equal keys and texts one stays, whatever their other columns hold.
     """
-    groups = near_duplicates(df, words, bits, key, text)
-    others = (groups.groupBy(F.col(key).alias("_other"))
-              .agg(F.bool_and(F.col(key) != F.col("component_id")).alias("_goes")).where("_goes").select("_other"))
-    return df.join(others, df[key] == others["_other"], "left_anti")
+    hashes = {"_h1": F.xxhash64(F.lit(1), text), "_h2": F.xxhash64(F.lit(2), text)}
+    docs = stage_table(_fingerprints(df.select(
+        F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *(c.alias(n) for n, c in hashes.items())),
+        words), "fingerprints")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "fp", "_h1", "_h2")
+    chosen = (docs.join(_components(docs, bits, "key"), "fp").groupBy("group").agg(F.min(order).alias("row"))
+              .select(F.col("row.key").alias("_key"), F.col("row._h1").alias("_h1"), F.col("row._h2").alias("_h2")))
+    # Of equal rows one goes over the shuffle for each task, and one is kept.
+    same = Window.partitionBy("key", "_h1", "_h2").orderBy("_h1")
+    rows = (df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("key"), *(c.alias(n) for n, c in hashes.items()))
+            .withColumn("nth", F.row_number().over(same)).where("nth = 1"))
+    chosen = chosen.withColumnsRenamed({"_h1": "_c1", "_h2": "_c2"})
+    return rows.join(chosen, rows["key"].eqNullSafe(chosen["_key"]) & (rows["_h1"] == chosen["_c1"])
+                     & (rows["_h2"] == chosen["_c2"]), "left_semi").select("row.*")
