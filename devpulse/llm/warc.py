@@ -8,12 +8,14 @@ revisits that name it, chosen by a partial aggregate over digests.
 Normalising. A whole-file gzip stream can only be read from its start, so a
 file is one task: it inflates the stream once, a buffer at a time, takes the
 records by their Content-Length, deflates each as its own member of a new file
-and notes its offset and length. Memory follows the largest record. New files
-and their sidecar indexes (``.idx``, a line a record) get their names by a
-rename when complete, so a repeated or speculative task leaves one whole file.
+and notes its offset and length. Memory follows the largest record. Each attempt
+writes a new file and its sidecar index (``.idx``, a line a record) under names
+of its own; the index table names the files of the attempts that count, whatever
+a failed or speculative one leaves.
 
 Reading back. The index makes the new files splittable: its rows are dealt out
-by ranges of a file, and a task inflates the members of its ranges one by one.
+by stretches of a file to as many tasks as the archives' bytes ask for, and a
+task inflates the members of its stretches one by one.
 
 Files are written with Arrow's file systems under the shared folder (local or
 network paths, hdfs://, s3://, gs://).
@@ -45,9 +47,9 @@ from devpulse.session import scratch_path
 
 CRLF = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-#: Rows of about this payload size go to one archive file; a stretch of an archive that one reading step covers.
-FILE_BYTES = 32 << 20
+#: A stretch of an archive that is read in one go, and archive bytes for a reading task.
 STRETCH_BYTES = 4 << 20
+TASK_BYTES = 16 << 20
 BUFFER = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 INDEX = ("path string, offset long, length long, record_id string, record_type string, page_id long, "
@@ -187,25 +189,28 @@ def normalise(spark, source: str, target: str, level: int = 6) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 yield _rewrite(path, target, level)
 
-    # One file a task; a file cannot be split.
-    index = files.repartition(max(1, found), "path").select("path").mapInArrow(run, INDEX)
+    index = one_a_task(files.select("path"), found).mapInArrow(run, INDEX)
     return stage_table(index, "warc-index")
 
 
+def one_a_task(files: DataFrame, n: int) -> DataFrame:
+    """A file cannot be split: one a task, by ranges of the path (hashing would put several in one)."""
+    return files.repartitionByRange(max(1, n), "path")
+
+
 def _make_folder(path: str) -> None:
     fs, at = _filesystem(path)
     fs.create_dir(at, recursive=True)
 
 
 def _rewrite(path: str, target: str, level: int) -> pa.RecordBatch:
-    name = posixpath.basename(path).removesuffix(".gz").removesuffix(".txt") + ".warc.gz"
+    name = f"{posixpath.basename(path).removesuffix('.gz').removesuffix('.txt')}.{uuid.uuid4().hex}.warc.gz"
     source_fs, source = _filesystem(path)
     fs, folder = _filesystem(target)
-    done, draft = f"{folder}/{name}", f"{folder}/.{name}.{uuid.uuid4().hex}"
     rows, offset = [], 0
     with source_fs.open_input_stream(source, compression=None) as raw, \
-            fs.open_output_stream(draft, compression=None) as out, \
-            fs.open_output_stream(draft + ".idx", compression=None) as sidecar:
+            fs.open_output_stream(f"{folder}/{name}", compression=None) as out, \
+            fs.open_output_stream(f"{folder}/{name}.idx", compression=None) as sidecar:
         for headers, record in read_records(_Stream(raw)):
             deflate = zlib.compressobj(level, zlib.DEFLATED, 31)
             member = deflate.compress(record) + deflate.flush()
@@ -215,8 +220,6 @@ def _rewrite(path: str, target: str, level: int) -> pa.RecordBatch:
                          None if page is None else int(page), headers["warc-payload-digest"].removeprefix("sha1:")))
             sidecar.write(f"{offset}\t{len(member)}\t{rows[-1][3]}\t{rows[-1][4]}\t{page or '-'}\n".encode())
             offset += len(member)
-    fs.move(draft + ".idx", done + ".idx")
-    fs.move(draft, done)
     columns = list(zip(*rows)) if rows else [()] * 7
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -252,7 +255,8 @@ def read_back(index: DataFrame, full: bool = False) -> DataFrame:
                        ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()),
                        ("intact", pa.bool_()), *([("payload", pa.binary())] if full else [])])
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    return (index.select("path", "offset", "length").repartition("path", stretch).sortWithinPartitions("path", "offset")
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 1) // TASK_BYTES)
+    return (index.select("path", "offset", "length").repartition(tasks, "path", stretch).sortWithinPartitions("path", "offset")
             .mapInArrow(run, READ + (", payload binary" if full else "")))
 
 
