@@ -45,8 +45,11 @@ from devpulse.plans.staging import stage_table
 CAPACITY = 4096
 STEP = 8
 GAP = 2e-3
-#: Columns that enter after one run of the dynamic program, at most.
+#: Columns that enter after one run of the dynamic program, at most, and runs at most.
 COLUMNS = 12
+ROUNDS = 1500
+#: Share of the best bound's prices in the prices that patterns are sought at.
+SMOOTH = 0.7
 
 
 def pieces(df: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, key: str = "doc_id",
@@ -104,56 +107,92 @@ def _knapsack(widths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[flo
     return float(best[capacity]), patterns
 
 
+def _first_fit(widths: np.ndarray, need: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Patterns and how often each is used: widest first, each pattern as often as its pieces allow."""
+    left, plan = need.copy(), []
+    while left.any():
+        held, room = np.zeros_like(left), capacity
+        for i in np.flatnonzero(left)[::-1]:
+            held[i] = min(left[i], room // widths[i])
+            room -= held[i] * widths[i]
+        inside = held > 0
+        times = int((left[inside] // held[inside]).min())
+        left -= held * times
+        plan.append((held, times))
+    return plan
+
+
+class _Basis:
+    """Patterns of a basic solution, how often each is used, and the inverse of their matrix."""
+
+    def __init__(self, widths: np.ndarray, need: np.ndarray, capacity: int):
+        self.columns = np.diag(capacity // widths).astype(float)  # at first patterns of one width
+        self.inverse = np.diag(1 / (capacity // widths))
+        self.used = self.inverse @ need
+
+    def prices(self) -> np.ndarray:
+        return np.maximum(self.inverse.sum(0), 0)
+
+    def enter(self, held: np.ndarray) -> bool:
+        """Take in a pattern whose pieces are worth more than a sequence, by the ratio test."""
+        if self.inverse.sum(0) @ held <= 1 + 1e-9:
+            return False
+        step = self.inverse @ held
+        ratio = np.full(len(step), np.inf)
+        np.divide(self.used, step, out=ratio, where=step > 1e-9)
+        out = int(ratio.argmin())
+        self.columns[:, out] = held
+        self.used -= ratio[out] * step
+        self.used[out] = ratio[out]
+        np.maximum(self.used, 0, out=self.used)
+        row = self.inverse[out] / step[out]
+        step[out] = 0
+        self.inverse -= np.outer(step, row)
+        self.inverse[out] = row
+        return True
+
+
 def cutting_stock(demand: Mapping[int, int], capacity: int, gap: float = GAP) -> list[tuple[dict[int, int], int]]:
     """Patterns (width -> pieces) and how often each is used; every demand is covered exactly once.
 
-    ``demand`` maps widths (1 to ``capacity``) to numbers of pieces.
+    ``demand`` maps widths (1 to ``capacity``) to numbers of pieces. First-fit patterns enter the basis first.
+    Pricing uses a mean of the prices of the best bound and the current ones, which keeps it from jumping; the
+    bound is the best seen. After ``ROUNDS`` rounds the basis is taken as it is.
     """
     widths = np.array(sorted(w for w, n in demand.items() if n), np.int64)
     if not len(widths):
         return []
-    need = np.array([demand[w] for w in widths.tolist()], float)
-    columns = np.diag(capacity // widths).astype(float)  # basis: patterns of one width
-    inverse = np.diag(1 / (capacity // widths))
-    used = inverse @ need
-    while True:
-        best, patterns = _knapsack(widths, np.maximum(inverse.sum(0), 0), capacity)
-        bound = max(used.sum() / max(best, 1), need @ widths / capacity)  # by the prices, by the room needed
-        if used.sum() - bound <= gap * used.sum() + 1e-9:
+    need = np.array([demand[w] for w in widths.tolist()], np.int64)
+    basis = _Basis(widths, need.astype(float), capacity)
+    fitted = _first_fit(widths, need, capacity)
+    for held, _ in fitted:
+        basis.enter(held.astype(float))
+    bound, centre = need @ widths / capacity, basis.prices()  # the bound by the room needed
+    pull = SMOOTH
+    for _ in range(ROUNDS):
+        if basis.used.sum() - bound <= gap * basis.used.sum() + 1e-9:
             break
-        for held in patterns:
-            if inverse.sum(0) @ held <= 1 + 1e-9:
-                continue
-            step = inverse @ held
-            ratio = np.full(len(used), np.inf)
-            np.divide(used, step, out=ratio, where=step > 1e-9)
-            out = int(ratio.argmin())
-            columns[:, out] = held
-            used -= ratio[out] * step
-            used[out] = ratio[out]
-            np.maximum(used, 0, out=used)
-            row = inverse[out] / step[out]
-            step[out] = 0
-            inverse -= np.outer(step, row)
-            inverse[out] = row
-    left = need.astype(np.int64)
-    plan = []
-    for j in np.argsort(-used, kind="stable"):
-        held = columns[:, j].astype(np.int64)
+        prices = pull * centre + (1 - pull) * basis.prices()
+        best, patterns = _knapsack(widths, prices, capacity)
+        if prices @ need / best > bound:  # prices over the best pattern's value are feasible for the dual
+            bound, centre = prices @ need / best, prices / best
+        if any([basis.enter(p) for p in patterns]):
+            pull = SMOOTH
+        elif pull:  # nothing to gain at the mean: price at the current prices
+            pull = 0.0
+        else:
+            break
+    left, plan = need.copy(), []
+    for j in np.argsort(-basis.used, kind="stable"):
+        held = basis.columns[:, j].astype(np.int64)
         inside = held > 0
-        times = min(int(used[j] + 1e-6), int((left[inside] // held[inside]).min()))
+        times = min(int(basis.used[j] + 1e-6), int((left[inside] // held[inside]).min()))
         if times > 0:
             left -= held * times
             plan.append((held, times))
-    while left.any():  # first fit, widest first
-        held, room = np.zeros_like(left), capacity
-        for i in np.flatnonzero(left)[::-1]:
-            held[i] = min(left[i], room // widths[i])
-            room -= held[i] * widths[i]
-        inside = held > 0
-        times = int((left[inside] // held[inside]).min())
-        left -= held * times
-        plan.append((held, times))
+    plan += _first_fit(widths, left, capacity)
+    if sum(n for _, n in fitted) < sum(n for _, n in plan):  # few pieces: rounding may cost more than it gained
+        plan = fitted
     return [({int(widths[i]): int(h[i]) for i in np.flatnonzero(h)}, n) for h, n in plan]
 
 
@@ -183,17 +222,17 @@ def _places(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
 def pack(df: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, step: int = STEP, key: str = "doc_id",
          text: str = "text") -> DataFrame:
     """``key, start, length, ids_crc32, doc_tokens, sequence_id, offset``, a row for each piece."""
-    cut = stage_table(pieces(df, path, end_id, capacity, key, text), "pieces")
+    cut = stage_table(pieces(df, path, end_id, capacity, key, text).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     subs = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = (cut.withColumn("_width", width_class(F.col("length"), capacity, step))
-           .withColumn("_sub", F.pmod(F.xxhash64(key, "start", "ids_crc32"), F.lit(subs))))
+           .withColumn("_sub", F.pmod(F.xxhash64(key, "start", "ids_crc32", "_row"), F.lit(subs))))
     counts = stage_table(cut.groupBy("_width", "_sub").count(), "piece-counts")
     demand = {r["_width"]: r["n"] for r in counts.groupBy("_width").agg(F.sum("count").alias("n")).collect()}
     places = _places(cutting_stock(demand, capacity // step))
 
     before = Window.partitionBy("_width").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_width", "_sub", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy("_width", "_sub").orderBy(F.desc("length"), key, "start", "ids_crc32", "doc_tokens")
+    inside = Window.partitionBy("_width", "_sub").orderBy(F.desc("length"), key, "start", "ids_crc32", "doc_tokens", "_row")
     ranked = (cut.withColumn("_rank", F.row_number().over(inside) - 1)
               .join(starts, ["_width", "_sub"]).withColumn("_rank", F.col("_rank") + F.col("_first")))
 
