@@ -1,22 +1,25 @@
 """Exact top-k inner-product search over norm-sorted, rotated vectors.
 
 Vectors are quantised to integers, so scores are exact. They are dealt to
-blocks by descending length (range partitioning on length and key, so equal
-lengths are split too). A query's threshold starts from its scores against the
-``SEEDS`` longest vectors. A query goes only to blocks whose longest vector
-can still reach the threshold (Cauchy-Schwarz), and a block of vectors only to
-query groups that need it; each (query group, block) pair is a task-sized
-piece of the work. Inside, vectors come in descending length; the first
-rotated components give a partial sum, the lengths of the rests bound what is
-missing, and only vectors whose bound reaches the threshold get an exact
-integer score. The rotation comes from a singular value decomposition of at
-most ``ROTATION_ROWS`` vectors; any rotation gives the same results.
+blocks by descending length (range partitioning on length, key and row, so
+equal lengths are split too). A query's threshold starts from its scores against
+the ``SEEDS`` longest vectors. A query goes only to the blocks whose longest
+vector can still reach the threshold (Cauchy-Schwarz), which are the first so
+many: one number a query. A task holds a block and streams the queries that
+reach it past, so that a vector goes over the network once. Inside, vectors come
+in descending length; the first rotated components give a partial sum, the
+lengths of the rests bound what is missing, and only vectors whose bound reaches
+the threshold get an exact integer score. The rotation comes from a singular
+value decomposition of at most ``ROTATION_ROWS`` vectors; any rotation gives the
+same results. The driver gets one length for each block of ``BLOCK`` vectors.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows without a key, take no part. Vectors are compared with those of the
-same number of components. A row with the query's key is never its own
-candidate; other repeated rows are candidates each. Ties go to the smaller
-key. Scores are 64-bit integers: components beyond 2**31 may overflow them.
+same number of components. Rows with the query's key are never its candidates;
+other repeated rows are candidates each. A key on several rows is one query: a
+candidate row counts once, with the best score of the key's vectors. Ties go to
+the smaller key. Scores are 64-bit integers: components beyond 2**31 may
+overflow them.
 """
 
 from __future__ import annotations
@@ -26,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from devpulse.llm.streams import hold_and_stream
 from devpulse.plans.staging import stage_table
 
 SEEDS = 1024
 ROTATION_ROWS = 8192
-BLOCK = 16_384
-QUERIES = 2048
+BLOCK = 65_536
+#: Vectors, and queries, that meet at a time.
 CHUNK = 1024
 LOWEST = np.iinfo(np.int64).min
+FOUND = "query_id long, vec_id long, row long, score long"
 
 
 def quantised(df: DataFrame, scale: int, key: str, vector: str) -> DataFrame:
@@ -52,41 +57,40 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
-def _keep_best(owner: np.ndarray, score: np.ndarray, vec: np.ndarray, k: int):
+def _keep_best(owner: np.ndarray, score: np.ndarray, vec: np.ndarray, row: np.ndarray, k: int):
     """The k best of each owner, ties to the smaller key, sorted by owner."""
-    order = np.lexsort((vec, -score, owner))
-    owner, score, vec = owner[order], score[order], vec[order]
-    first = np.searchsorted(owner, owner, side="left")
-    keep = np.arange(len(owner)) - first < k
-    return owner[keep], score[keep], vec[keep]
+    order = np.lexsort((row, vec, -score, owner))
+    owner = owner[order]
+    keep = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left") < k
+    return owner[keep], *(c[order][keep] for c in (score, vec, row))
 
 
-def _search(q_id, q, theta, x_id, x, rotation, head, k):
-    """Top k of each query among vectors sorted by descending length, at or above the thresholds."""
+def _search(q_id, q, theta, x_id, x, x_row, xr, x_len, x_rest, rotation, head, k):
+    """Top k of each query among vectors sorted by descending length, at or above the thresholds: the query's
+    number, score, row."""
     qr, q_len = q @ rotation, np.linalg.norm(q.astype(float), axis=1)
     q_rest = np.linalg.norm(qr[:, head:], axis=1)
-    found = (np.empty(0, np.int64),) * 3
+    found = (np.empty(0, np.int64),) * 4
     theta = theta.copy()
     for a in range(0, len(x), CHUNK):
-        part, ids = x[a:a + CHUNK], x_id[a:a + CHUNK]
-        xr, x_len = part @ rotation, np.linalg.norm(part.astype(float), axis=1)
-        slack = 1e-9 * np.outer(q_len, x_len) + 1e-6
-        active = np.flatnonzero(q_len * x_len[0] + slack[:, 0] >= theta)
+        part, ids, rows = (c[a:a + CHUNK] for c in (x, x_id, x_row))
+        slack = 1e-9 * np.outer(q_len, x_len[a:a + CHUNK]) + 1e-6
+        active = np.flatnonzero(q_len * x_len[a] + slack[:, 0] >= theta)
         if not len(active):
             break
-        bound = qr[active, :head] @ xr[:, :head].T
-        bound += np.outer(q_rest[active], np.linalg.norm(xr[:, head:], axis=1)) + slack[active]
+        bound = qr[active, :head] @ xr[a:a + CHUNK, :head].T
+        bound += np.outer(q_rest[active], x_rest[a:a + CHUNK]) + slack[active]
         i, j = np.nonzero((bound >= theta[active][:, None]) & (q_id[active][:, None] != ids[None, :]))
         if not len(i):
             continue
         i = active[i]
         score = np.concatenate([np.einsum("ij,ij->i", q[i[s:s + 65536]], part[j[s:s + 65536]])
                                 for s in range(0, len(i), 65536)])
-        found = _keep_best(*(np.concatenate(p) for p in zip(found, (i, score, ids[j]))), k)
+        found = _keep_best(*(np.concatenate(p) for p in zip(found, (i, score, ids[j], rows[j]))), k)
         owner, n = np.unique(found[0], return_counts=True)
         full = n == k
         theta[owner[full]] = np.maximum(theta[owner[full]], found[1][np.cumsum(n)[full] - 1])
-    return q_id[found[0]], found[1], found[2]
+    return found
 
 
 def top_k(df: DataFrame, is_query: Column, k: int, scale: int = 256, key: str = "vec_id",
@@ -96,69 +100,86 @@ def top_k(df: DataFrame, is_query: Column, k: int, scale: int = 256, key: str =
     ``is_query`` is a condition on the key column, named ``vec_id`` here.
     """
     spark = df.sparkSession
-    vectors = stage_table(quantised(df, scale, key, vector), "vectors").withColumn("dim", F.size("v"))
-    parts = [_top_k_of(vectors.where(F.col("dim") == r["dim"]), r["n"], is_query, k)
-             for r in vectors.groupBy("dim").agg(F.count("*").alias("n")).orderBy("dim").collect()]
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    for part in parts:
-        out = out.union(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    vectors = stage_table(quantised(df, scale, key, vector).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    vectors = vectors.withColumn("dim", F.size("v"))
+    out = spark.createDataFrame([], FOUND)
+    for r in vectors.groupBy("dim").agg(F.count("*").alias("n")).orderBy("dim").collect():
+        out = out.union(_top_k_of(vectors.where(F.col("dim") == r["dim"]), r["n"], r["dim"], is_query, k))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "row")
+    return (out.groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _top_k_of(vectors: DataFrame, n: int, is_query: Column, k: int) -> DataFrame:
+def _rotation(vectors: DataFrame, n: int, dim: int) -> tuple[np.ndarray, int]:
+    """An orthogonal matrix with the directions of most energy first, and how many of these hold three quarters of it."""
     every = max(1, n // ROTATION_ROWS)
-    sample = _matrix(vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(every)) == 0).select("v")
+    sample = _matrix(vectors.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("v")
                      .limit(2 * ROTATION_ROWS).toArrow()["v"]).astype(float)
-    dim = sample.shape[1]
-    rotation, energy = np.eye(dim), np.ones(dim)
-    if len(sample):
-        # The triangular factor has the sample's right singular vectors and at most dim rows.
-        _, sizes, rotation = np.linalg.svd(np.linalg.qr(sample, mode="r"), full_matrices=True)
-        rotation, energy = rotation.T, np.r_[sizes**2, np.zeros(dim - len(sizes))]
-    total = np.cumsum(energy)
-    head = max(1, int(np.searchsorted(total, 0.75 * total[-1])) + 1) if dim else 0
-    longest = vectors.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "v").toArrow()
+    if not dim or not sample.any():
+        return np.eye(dim), dim
+    # The triangular factor has the sample's right singular vectors and at most dim rows.
+    _, sizes, rotation = np.linalg.svd(np.linalg.qr(sample, mode="r"), full_matrices=True)
+    total = np.cumsum(np.r_[sizes**2, np.zeros(dim - len(sizes))])
+    return rotation.T, max(1, int(np.searchsorted(total, 0.75 * total[-1])) + 1)
+
+
+def _top_k_of(vectors: DataFrame, n: int, dim: int, is_query: Column, k: int) -> DataFrame:
+    rotation, head = _rotation(vectors, n, dim)
+    longest = vectors.orderBy(F.desc("norm"), "vec_id", "row").limit(SEEDS).select("vec_id", "v").toArrow()
     seed_id, seeds = longest["vec_id"].to_numpy(), _matrix(longest["v"])
 
     def thresholds(batches):
-        for batch in batches:
-            ids, q = batch.column(0).to_numpy(), _matrix(batch.column(1))
-            score = q @ seeds.T
-            score[ids[:, None] == seed_id[None, :]] = LOWEST
-            theta = (np.sort(score, axis=1)[:, -k] if len(seed_id) >= k
-                     else np.full(len(ids), LOWEST))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(theta)], ["query_id", "q", "norm", "theta"])
-
-    queries = (vectors.where(is_query).select("vec_id", "v", "norm")
-               .mapInArrow(thresholds, "query_id long, q array<long>, norm double, theta long")
-               .withColumn("need", F.when((F.col("theta") > 0) & (F.col("norm") > 0), F.col("theta") / F.col("norm"))
-                           .otherwise(0.0)))
-    queries = stage_table(queries, "queries")
-    groups = -(-queries.count() // QUERIES)
+        for whole in batches:
+            for s in range(0, len(whole), CHUNK):
+                batch = whole.slice(s, CHUNK)
+                ids, q = batch.column(0).to_numpy(), _matrix(batch.column(1))
+                score = q @ seeds.T
+                score[ids[:, None] == seed_id[None, :]] = LOWEST
+                theta = (np.sort(score, axis=1)[:, -k] if len(seed_id) >= k
+                         else np.full(len(ids), LOWEST))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(theta)], ["vec_id", "v", "norm", "theta"])
+
     blocks = -(-n // BLOCK)
-    dealt = stage_table(vectors.repartitionByRange(blocks, F.desc("norm"), "vec_id")
-                        .select("vec_id", "v", "norm", F.spark_partition_id().alias("block")), "blocks")
-    limits = dealt.groupBy("block").agg(F.max("norm").alias("longest"))
-    queries = stage_table(queries.repartitionByRange(max(1, groups), "need", "query_id")
-                          .withColumn("group", F.spark_partition_id()), "query-groups")
-    # Which block is within reach: a group's easiest query decides for the vectors, each query for itself.
-    # Both tables below have a row for each 16,384 vectors or 2,048 queries.
-    easiest = queries.groupBy("group").agg(F.min("need").alias("easiest"))
-    reach = easiest.join(limits, F.col("longest") * (1 + 1e-9) + 1e-6 >= F.col("easiest")).select("group", "block", "longest")
-    reach = stage_table(reach, "reach")
-    left = (queries.join(reach, "group").where(F.col("longest") * (1 + 1e-9) + 1e-6 >= F.col("need"))
-            .select("group", "block", "query_id", "q", "theta"))
-    right = dealt.join(reach.select("group", "block"), "block").select("group", "block", "vec_id", "v", "norm")
-
-    def search(key, ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        if not len(ours) or not len(theirs):
-            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
-        theirs = theirs.sort_by([("norm", "descending"), ("vec_id", "ascending")])
-        ids, score, vec = _search(ours["query_id"].to_numpy(), _matrix(ours["q"]), ours["theta"].to_numpy(),
-                                  theirs["vec_id"].to_numpy(), _matrix(theirs["v"]), rotation, head, k)
-        return pa.table({"query_id": ids, "vec_id": vec, "score": score})
-
-    return (left.groupBy("group", "block").cogroup(right.groupBy("group", "block"))
-            .applyInArrow(search, "query_id long, vec_id long, score long"))
+    dealt = stage_table(vectors.repartitionByRange(blocks, F.desc("norm"), "vec_id", "row")
+                        .select("vec_id", "v", "norm", "row", F.spark_partition_id().alias("block")), "blocks")
+    limits = dealt.groupBy("block").agg(F.max("norm").alias("longest")).orderBy("block").collect()
+    block, length = np.array([r["block"] for r in limits]), np.array([r["longest"] for r in limits])
+
+    def reaching(batches):
+        """A query once for each block within its reach."""
+        for batch in batches:
+            norm, theta = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            need = np.divide(theta, norm, out=np.zeros(len(norm)), where=(theta > 0) & (norm > 0))
+            within = np.searchsorted(-(length * (1 + 1e-9) + 1e-6), -need, side="right")
+            for s in range(0, len(blocks_of := np.repeat(np.arange(len(within)), within)), CHUNK):
+                own = blocks_of[s:s + CHUNK]
+                nth = np.arange(s, s + len(own)) - (np.cumsum(within) - within)[own]
+                columns = (batch.column(i).take(pa.array(own)) for i in (0, 1, 3))
+                yield pa.RecordBatch.from_arrays([pa.array(block[nth], pa.int32()), *columns], ["block", "vec_id", "v", "theta"])
+
+    queries = (vectors.where(is_query).select("vec_id", "v", "norm").dropDuplicates(["vec_id", "v"])
+               .mapInArrow(thresholds, "vec_id long, v array<long>, norm double, theta long")
+               .mapInArrow(reaching, "block int, vec_id long, v array<long>, theta long"))
+
+    def search(held: pa.Table):
+        held = held.sort_by([("norm", "descending"), ("vec_id", "ascending")])
+        x_id, x_row, x = held["vec_id"].to_numpy(), held["row"].to_numpy(), _matrix(held["v"])
+        xr, x_len = x @ rotation, np.linalg.norm(x.astype(float), axis=1)
+        x_rest = np.linalg.norm(xr[:, head:], axis=1)
+
+        def through(whole):
+            for s in range(0, len(whole), CHUNK):
+                batch = whole.slice(s, CHUNK)
+                ids = batch.column("vec_id").to_numpy()
+                i, score, vec, rows = _search(ids, _matrix(batch.column("v")), batch.column("theta").to_numpy(),
+                                              x_id, x, x_row, xr, x_len, x_rest, rotation, head, k)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], vec, rows, score)],
+                                                 ["query_id", "vec_id", "row", "score"])
+
+        return through
+
+    null = F.lit(None).cast("long")
+    return hold_and_stream(dealt.select("block", "vec_id", "v", "norm", "row", null.alias("theta")),
+                           queries.select("block", "vec_id", "v", null.cast("double").alias("norm"), null.alias("row"), "theta"),
+                           "block", FOUND, search)
