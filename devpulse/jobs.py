@@ -33,16 +33,20 @@ def run_report(args) -> int:
     from devpulse.plans.report import percentile_report
     from devpulse.plans.staging import drop_staged
     from devpulse.sinks import write_report
+    from devpulse.schemas import JSON_INPUTS
     from devpulse.sources.files import read_any, read_parquet, read_report_csv
     spark = _session("devpulse-report")
-    report = percentile_report(read_any(spark, args.input), p=args.percentile, k=args.sigmas,
-                               min_population=args.min_population, population=args.population,
-                               method=args.method)
-    write_report(report, args.output, args.format)
-    # summary from the written result, not a second computation
-    written = read_report_csv(spark, args.output) if args.format == "csv" else read_parquet(spark, args.output)
-    report_summary(written).show(truncate=False)
-    drop_staged(spark)
+    try:
+        # with a schema, JSON input needs no pass that infers one
+        events = read_any(spark, args.input, JSON_INPUTS.get(args.json_schema))
+        report = percentile_report(events, p=args.percentile, k=args.sigmas, min_population=args.min_population,
+                                   population=args.population, method=args.method)
+        write_report(report, args.output, args.format)
+        # summary from the written result, not a second computation
+        written = read_report_csv(spark, args.output) if args.format == "csv" else read_parquet(spark, args.output)
+        report_summary(written).show(truncate=False)
+    finally:
+        drop_staged(spark)
     return 0
 
 
@@ -75,8 +79,10 @@ def run_validate_store(args) -> int:
     from devpulse.plans.staging import drop_staged
     from devpulse.plans.validation import validate_window_store
     spark = _session("devpulse-validate-store")
-    steps = validate_window_store(spark, args.input).collect()   # at most five rows
-    drop_staged(spark)
+    try:
+        steps = validate_window_store(spark, args.input).collect()   # at most five rows
+    finally:
+        drop_staged(spark)
     for s in steps:
         print(f"{'PASS' if s.passed else 'FAIL'} {s.step} {s.detail}")
     return 0 if steps and all(s.passed for s in steps) else 1
@@ -102,7 +108,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--sigmas", type=float, default=C.OUTLIER_STD_DEVIATIONS)
     r.add_argument("--min-population", type=int, default=C.MIN_POPULATION)
     r.add_argument("--population", choices=["devices", "events"], default="devices")
-    r.add_argument("--method", choices=["approx", "disc", "cont"], default="approx")
+    r.add_argument("--json-schema", choices=["infer", "raw", "raw-text", "windows"], default="infer",
+                   help="what JSON input holds; infer reads it once more")
+    r.add_argument("--method", choices=["sketch", "approx", "disc", "cont"], default="sketch")
     s = sub.add_parser("stream")
     s.add_argument("--source", choices=["kafka", "files"], default="kafka")
     s.add_argument("--servers", help="required for --source kafka")

@@ -1,9 +1,9 @@
 """Joins against small tables: size-checked broadcast, salted fallback (JOIN3).
 
 A side is broadcast only after its row count has been measured below a
-bound; otherwise the join shuffles, with the small side replicated over
-``salts`` buckets so that a hot key on the big side is split across
-``salts`` tasks instead of landing in one.
+bound; otherwise the join shuffles. A hot key on the big side is split across
+``salts`` tasks: ``salted_join`` salts every key and replicates the whole small
+side, ``skew_join`` finds the heavy keys first and treats only these so.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALTS = 16
+# A key with more than this share of the rows is salted by ``skew_join``.
+HOT_SHARE = 0.005
+
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Rows and bytes of a frame in Spark's row format, by one distributed aggregate.
@@ -57,10 +60,38 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     return joined.drop("_salt")
 
 
+def heavy_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes (``xxhash64``) of the keys that hold more than ``share`` of the rows, at most 1 / share.
+
+    A frequent-items sketch in one pass: it tracks a bounded number of items, never misses a key above the share
+    and never counts one too low.
+    """
+    most = int(1 / share)
+    found = df.select(F.xxhash64(*keys).alias("_h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_h, {most}, {min(1_000_000, 16 * most)})").alias("top")).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] > share * found["n"] and t["item"] is not None]
+
+
+def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", salts: int = DEFAULT_SALTS,
+              share: float = HOT_SHARE, salt_from: list[str] | None = None) -> DataFrame:
+    """JOIN3 for a few hot keys: only rows of heavy keys are salted, and only their small-side rows replicated.
+
+    ``big`` is read once more for the sketch. Valid for the joins that ``salted_join`` is valid for.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted join does not preserve semantics for how={how!r}")
+    hot = heavy_keys(big, keys, share)
+    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+    b = big.withColumn("_salt", F.when(is_hot, salt_column(salt_from or big.columns, salts)).otherwise(0))
+    s = small.withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return b.join(s, keys + ["_salt"], how).drop("_salt")
+
+
 def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
                max_broadcast_rows: int = MAX_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
                max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``small`` when its measured size is bounded, else salted shuffle join.
+    """Broadcast ``small`` when its measured size is bounded, else a shuffle join with heavy keys salted.
 
     The bound is on rows and on bytes, both measured (``measured_size``). ``small`` should be materialized (a staged
     table or a file scan): it is counted first and joined after, and an
@@ -69,4 +100,4 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "in
     rows, size = measured_size(small)
     if rows <= max_broadcast_rows and size <= max_broadcast_bytes:
         return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, how, salts)
+    return skew_join(big, small, keys, how, salts)

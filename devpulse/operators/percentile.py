@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from devpulse import constants as C
 from devpulse.operators.exact_quantile import binned_percentile
 from devpulse.operators.joins import MAX_BROADCAST_ROWS, DEFAULT_SALTS, join_small
+from devpulse.operators.sketch_quantile import DEALS, SKETCH_K, two_level_quantile
 from devpulse.plans.staging import stage_table
 
 # Equal parts of a group's kept range; the percentile's second pass reads the rows of one.
@@ -74,7 +75,8 @@ def daily_percentile(df: DataFrame, p: float = C.PERCENTILE, accuracy: int = C.P
     * exact distinct devices: a keys-only two-level aggregate.
     In one aggregate Spark would key the partial state by (type, day, device)
     because of the distinct count, shipping a sketch (i.e. the raw values) per
-    device and task.
+    device and task. One task merges all sketches of a group: for groups read
+    by very many map tasks take ``daily_percentile_sketch``.
     """
     measures = df.groupBy(*GROUP_KEYS).agg(
         F.percentile_approx("event_duration", p, accuracy).alias("percentile_95"),
@@ -86,6 +88,18 @@ def daily_percentile(df: DataFrame, p: float = C.PERCENTILE, accuracy: int = C.P
     return measures.join(devices, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)
 
 
+def daily_percentile_sketch(df: DataFrame, p: float = C.PERCENTILE, k: int = SKETCH_K, deals: int = DEALS) -> DataFrame:
+    """AGG4 without a hot reducer: the report measures per (type, day), sketches merged on two levels.
+
+    Exact percentiles for groups of at most ``k`` rows; beyond, see ``rank_error``. Distinct devices are
+    a keys-only aggregate of their own, as in ``daily_percentile``.
+    """
+    found = two_level_quantile(df, GROUP_KEYS, "event_duration", p, "percentile_95", k, deals)
+    measures = found.withColumnsRenamed({"_mean": "mean_duration", "_stddev": "stddev_duration", "_rows": "total_events"})
+    devices = df.groupBy(*GROUP_KEYS).agg(F.countDistinct("device_id").alias("distinct_devices"))
+    return measures.join(devices, GROUP_KEYS, "inner").select(*C.REPORT_COLUMNS)
+
+
 def with_bin(df: DataFrame, k: float = C.OUTLIER_STD_DEVIATIONS, bins: int = BINS) -> DataFrame:
     """``_bin``: which of ``bins`` equal parts of [mean - k sd, mean + k sd] holds the duration.
 

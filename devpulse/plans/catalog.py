@@ -9,6 +9,7 @@ end, for the comparison.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,7 +19,9 @@ from devpulse import schemas
 from devpulse.operators import percentile as PCT
 from devpulse.operators import quality as Q
 from devpulse.operators import transform as TR
-from devpulse.operators.joins import salted_join
+from devpulse.operators import contract
+from devpulse.operators.joins import salted_join, skew_join
+from devpulse.operators.sketch_quantile import rank_error, two_level_quantile
 from devpulse.operators.windows import deduplicate, window_aggregate
 from devpulse.plans import etl
 from devpulse.plans.report import percentile_report, percentile_report_two_joins, report_input
@@ -26,10 +29,12 @@ from devpulse.plans.staging import stage_table
 from devpulse.session import ensure_defaults, scratch_path
 from devpulse.sinks import write_report, write_windows
 from devpulse.sources import files as SRC
-from devpulse.sources.fixtures import build_envelope, dense_events, with_missing_payloads
+from devpulse.sources.fixtures import build_envelope, dense_events, with_broken_payloads, with_missing_payloads
 from devpulse.sources.tables import events_as_raw, load_table
+from devpulse.streaming import compaction, state, upsert
 from devpulse.streaming.etl import deduplicate_stream, stream_windows, with_event_watermark
-from devpulse.streaming.sinks import write_windows_stream
+from devpulse.streaming.progress import ProgressLog
+from devpulse.streaming.sinks import STREAM_PARTITIONS, write_windows_stream
 
 # Population gate of the registered queries (distinct devices per type and day).
 GATE = 50
@@ -277,6 +282,12 @@ def q_join3(spark, sf_dir):
     return comparable(salted_join(ev, st, PCT.GROUP_KEYS, "inner", salts=8).select(*_JOINED))
 
 
+def q_join3_heavy(spark, sf_dir):
+    """A fifth of the keys are heavy at this share: only they are salted."""
+    ev, st = _events_with_stats(spark, sf_dir)
+    return comparable(skew_join(ev, st, PCT.GROUP_KEYS, "inner", salts=8, share=0.0075).select(*_JOINED))
+
+
 # --- aggregations ------------------------------------------------------------------
 
 def q_agg1(spark, sf_dir):
@@ -308,6 +319,25 @@ def q_agg4(spark, sf_dir):
     return comparable(report(spark, sf_dir))
 
 
+def q_agg4_approx(spark, sf_dir):
+    return comparable(percentile_report(raw(spark, sf_dir), min_population=GATE, method="approx"))
+
+
+#: Rows that a sketch keeps whole in the registered check of its rank error.
+SMALL_SKETCH = 400
+
+
+def q_agg4_rank_error(spark, sf_dir):
+    """A sketch much smaller than the groups: the share of rows at or below its answer is p, within three times the
+    stated error (a random sketch may miss once the 99 % bound)."""
+    ev = report_input(raw(spark, sf_dir))
+    found = two_level_quantile(ev.repartition(16), ["device_type"], "event_duration", C.PERCENTILE, "q", SMALL_SKETCH, 4)
+    share = F.avg((F.col("event_duration") <= F.col("q")).cast("double"))
+    return (ev.join(F.broadcast(found), "device_type").groupBy("device_type")
+            .agg(F.max("_rows").alias("total_events"),
+                 (F.abs(share - C.PERCENTILE) <= 3 * rank_error(SMALL_SKETCH)).alias("within_error")))
+
+
 def q_agg4_events(spark, sf_dir):
     return comparable(percentile_report(raw(spark, sf_dir), min_population=GATE, population="events"))
 
@@ -464,6 +494,90 @@ def q_str5_late_arrivals(spark, sf_dir):
     return comparable(SRC.read_parquet(spark, out).select(*C.WINDOW_COLUMNS))
 
 
+def q_str5_dropped(spark, sf_dir):
+    """As ``q_str5_late_arrivals``: how many rows the watermark dropped, over all batches of both runs. Without the
+    pre-dedup, so that every late row reaches the operator that counts it."""
+    env = envelope(spark, sf_dir)
+    src = scratch_path(spark, "envelope-dropped")
+    out, ck = scratch_path(spark, "dropped-out"), scratch_path(spark, "dropped-ck")
+    day = F.to_date("timestamp")
+    with ProgressLog(spark) as log:
+        for part in (day > F.lit(LATE_SPLIT_DAY), day <= F.lit(LATE_SPLIT_DAY)):
+            env.filter(part).write.mode("append").parquet(src)
+            stream = stream_windows(SRC.read_event_files_stream(spark, src), pre_dedup=False)
+            log.wait(write_windows_stream(stream, out, ck, available_now=True))
+        return log.rows().agg(F.sum("rows_dropped").alias("rows_dropped"))
+
+
+def _two_arrivals(spark, sf_dir, start, source=envelope) -> None:
+    """Days 1-15 arrive and a query runs, then the others and it resumes; ``start(stream)`` starts it."""
+    env = source(spark, sf_dir)
+    src = scratch_path(spark, "envelope-two")
+    day = F.to_date("timestamp")
+    for part in (day <= F.lit("2024-01-15"), day > F.lit("2024-01-15")):
+        env.filter(part).write.mode("append").parquet(src)
+        _run_available_now(start(stream_windows(SRC.read_event_files_stream(spark, src))))
+
+
+def q_str6_latest(spark, sf_dir):
+    """Update mode merged by batch number: the latest state of every window, open ones too."""
+    table, ck = scratch_path(spark, "latest"), scratch_path(spark, "latest-ck")
+    _two_arrivals(spark, sf_dir, lambda w: upsert.write_latest_windows(w, table, ck, available_now=True))
+    upsert.fold(spark, table)
+    return comparable(upsert.latest(spark, table).select(*C.WINDOW_COLUMNS))
+
+
+def _dense_state(spark, sf_dir) -> str:
+    """The checkpoint of a stopped stream over dense events."""
+    out, ck = scratch_path(spark, "state-out"), scratch_path(spark, "state-ck")
+    stream = stream_windows(SRC.read_event_files_stream(spark, _write_envelope(spark, sf_dir, dense_envelope)))
+    _run_available_now(write_windows_stream(stream, out, ck, available_now=True))
+    return ck
+
+
+def q_str2_state(spark, sf_dir):
+    """Keys that the de-duplication still holds."""
+    return state.state_rows(spark, _dense_state(spark, sf_dir), state.DEDUP).select("event_id", "device_id")
+
+
+def q_str4_state(spark, sf_dir):
+    """Windows that the aggregate still holds."""
+    rows = state.state_rows(spark, _dense_state(spark, sf_dir), state.WINDOWS)
+    return comparable(rows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                                  "device_id", "device_type"))
+
+
+def q_snk1_compacted(spark, sf_dir):
+    """Compacted after the first run; the second run's files are read beside the generation."""
+    out, ck, to = (scratch_path(spark, f"compact-{n}") for n in ("out", "ck", "to"))
+
+    def start(windows):
+        compaction.children(spark, out, "_spark_metadata") and compaction.compact(spark, out, to, STREAM_PARTITIONS)
+        return write_windows_stream(windows, out, ck, available_now=True)
+
+    _two_arrivals(spark, sf_dir, start)
+    return comparable(compaction.read_compacted(spark, out, to).select(*C.WINDOW_COLUMNS))
+
+
+#: Bytes of a pack in the registered compaction.
+PACK_BYTES = 64 << 10
+
+
+def q_snk1_file_bound(spark, sf_dir):
+    """Rows of each directory after a compaction, and whether its files are at most bytes / pack + 1."""
+    out, ck, to = (scratch_path(spark, f"bound-{n}") for n in ("out", "ck", "to"))
+    _two_arrivals(spark, sf_dir, lambda w: write_windows_stream(w, out, ck, available_now=True))
+    sizes = (compaction.committed_files(spark, out).groupBy("directory").agg(F.sum("size").alias("bytes"))
+             .select(F.regexp_extract("directory", "device_type=([^/]+)", 1).alias("device_type"),
+                     F.to_date(F.regexp_extract("directory", "event_date=([^/]+)", 1)).alias("event_date"), "bytes"))
+    compaction.compact(spark, out, to, STREAM_PARTITIONS, PACK_BYTES)
+    after = compaction.read_compacted(spark, out, to).groupBy("device_type", "event_date").agg(
+        F.count("*").alias("row_count"), F.countDistinct("_metadata.file_path").alias("files"))
+    return after.join(sizes, ["device_type", "event_date"], "left").select(
+        "device_type", "event_date", "row_count",
+        F.coalesce(F.col("files") <= F.floor(F.col("bytes") / PACK_BYTES) + 1, F.lit(False)).alias("within_bound"))
+
+
 # --- quality -------------------------------------------------------------------------
 
 def q_dq1(spark, sf_dir):
@@ -503,6 +617,67 @@ def q_dq7(spark, sf_dir):
     return Q.contract_violation_counts(parsed)
 
 
+def q_dq7_schema(spark, sf_dir):
+    """The rules compiled from the schema document in a file, on payloads with missing keys, nulls and wrong types."""
+    path = scratch_path(spark, "contract")
+    spark.createDataFrame([(json.dumps(schemas.event_contract(), indent=1),)], "value string").coalesce(1).write.text(path)
+    raw_text = TR.project_envelope(with_broken_payloads(envelope(spark, sf_dir)))
+    return contract.contract_counts(raw_text, contract.load_contract(spark, path))
+
+
+def _faulty_windows(spark, sf_dir) -> DataFrame:
+    """The window table without its cities and without event_count, one column more, NULL types where the device's
+    number ends in 7."""
+    win = windows(spark, sf_dir)
+    return (win.drop("city", "event_count").withColumn("note", F.lit("x"))
+            .withColumn("device_type", F.when(~F.col("device_id").endswith("7"), F.col("device_type"))))
+
+
+def q_dq1_faulty(spark, sf_dir):
+    return Q.check_columns(_faulty_windows(spark, sf_dir))
+
+
+def q_dq2_faulty(spark, sf_dir):
+    return Q.null_counts(_faulty_windows(spark, sf_dir).withColumn("event_count", F.lit(1)))
+
+
+def q_dq5_faulty(spark, sf_dir):
+    """Types with an escaped name, NULL types, and a day of rows written below another type's directory and beside all."""
+    from functools import reduce
+    win = windows(spark, sf_dir).withColumn("device_type", F.when(F.col("device_type") == "click", "a/b: 50%+")
+                                            .when(F.col("device_type") != "view", F.col("device_type")))
+    path = scratch_path(spark, "windows-faulty")
+    day = F.to_date("window_start")
+    kept = win.withColumn("stored", F.col("device_type"))
+    kept.filter(day > F.lit("2024-01-02")).write.partitionBy("device_type").parquet(path)
+    kept.filter(day == F.lit("2024-01-01")).drop("device_type").write.parquet(f"{path}/device_type=wrong")
+    kept.filter(day == F.lit("2024-01-02")).drop("device_type").write.parquet(f"{path}-beside")
+    parts = [spark.read.parquet(*[p]).withColumn("device_type", F.col("stored")) for p in (path, f"{path}-beside")]
+    return reduce(DataFrame.unionAll, [Q.check_partitions(p).withColumn("place", F.lit(n))
+                                       for n, p in zip(("table", "beside"), parts)])
+
+
+def q_dq6_faulty(spark, sf_dir):
+    """A report with its columns in another order, a NaN percentile on every third day of the month and a blank type
+    on every fifth, read from CSV."""
+    path = scratch_path(spark, "report-faulty")
+    day = F.dayofmonth("event_date")
+    rows = report(spark, sf_dir).withColumn("percentile_95", F.when(day % 3 == 0, F.lit(float("nan"))).otherwise(F.col("percentile_95")))
+    rows = rows.withColumn("device_type", F.when(day % 5 == 0, F.lit(" ")).otherwise(F.col("device_type")))
+    write_report(rows.select(*reversed(C.REPORT_COLUMNS)), path, "csv")
+    return comparable(Q.validate_report(SRC.read_report_csv(spark, path, typed=False)))
+
+
+def q_dq6_missing(spark, sf_dir):
+    """The file check on a report folder that is there and on one that is not."""
+    from devpulse.plans.validation import validate_report_file
+    path = scratch_path(spark, "report-there")
+    write_report(report(spark, sf_dir), path, "csv")
+    there, gone = validate_report_file(spark, path), validate_report_file(spark, f"{path}-gone")
+    return (there.where("check = 'file_exists'").withColumn("file", F.lit("there"))
+            .unionByName(gone.withColumn("file", F.lit("gone"))).select("file", "check", "status"))
+
+
 def q_dq8(spark, sf_dir):
     inv = Q.storage_inventory(spark, _written_windows(spark, sf_dir))
     return Q.inventory_summary(inv).select("device_type", "partitions")
@@ -567,12 +742,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "JOIN1_attach_group_stats": q_join1,
         "JOIN2_restrict_to_groups": q_join2,
         "JOIN3_salted_join": q_join3,
+        "JOIN3_heavy_keys_join": q_join3_heavy,
         "AGG1_PRJ7_window_aggregate": q_agg1,
         "AGG1_AGG2_dense_windows": q_agg1_dense,
         "AGG2_first_by_time": q_agg2,
         "AGG3_daily_stats": q_agg3,
         "AGG3_daily_stats_events_population": q_agg3_events,
         "AGG4_SRT1_percentile_report": q_agg4,
+        "AGG4_percentile_report_approx_method": q_agg4_approx,
+        "AGG4_two_level_sketch_rank_error": q_agg4_rank_error,
         "AGG4_percentile_report_events_population": q_agg4_events,
         "AGG4_percentile_report_aggregated_input": q_agg4_aggregated,
         "AGG4_percentile_report_two_joins": q_agg4_two_joins,
@@ -597,6 +775,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "STR2_STR4_stream_windows_no_pre_dedup": q_str2_no_pre_dedup,
         "STR8_resume_from_checkpoint": q_str8_resume,
         "STR5_late_arrivals_dropped": q_str5_late_arrivals,
+        "STR5_STR7_rows_dropped_over_all_batches": q_str5_dropped,
+        "STR6_update_mode_latest_windows": q_str6_latest,
+        "STR1_STR2_keys_left_in_state": q_str2_state,
+        "STR1_STR4_windows_left_in_state": q_str4_state,
+        "SNK1_compacted_windows": q_snk1_compacted,
+        "SNK1_compaction_file_bound": q_snk1_file_bound,
         "DQ1_check_columns": q_dq1,
         "DQ2_null_counts": q_dq2,
         "DQ3_check_non_empty": q_dq3,
@@ -604,6 +788,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "DQ5_check_partitions": q_dq5,
         "DQ6_validate_report": q_dq6,
         "DQ7_contract_violations": q_dq7,
+        "DQ7_contract_from_schema_file": q_dq7_schema,
+        "DQ1_check_columns_faulty": q_dq1_faulty,
+        "DQ2_null_counts_faulty": q_dq2_faulty,
+        "DQ5_check_partitions_faulty": q_dq5_faulty,
+        "DQ6_validate_report_faulty": q_dq6_faulty,
+        "DQ6_report_file_missing": q_dq6_missing,
         "DQ8_storage_inventory": q_dq8,
         "DQ10_reject_reasons": q_dq10,
         "DQ11_inventory_delta": q_dq11,

@@ -179,6 +179,58 @@ def _counts(source: str, label: str, rules: list[tuple[str, str]]) -> str:
     return "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE row_count > 0"
 
 
+def _contract_rules() -> list[tuple[str, str]]:
+    """What each rule of the schema document finds; kafka_offset is the event id before it was made NULL."""
+    ok = "NOT malformed"
+    gone, null_type, text, array = (f"kafka_offset % {n} = {r}" for n, r in ((43, 7), (47, 9), (53, 11), (59, 13)))
+    battery = f"{ok} AND NOT {gone}"
+    return [("malformed_json", "malformed"), ("null:event_id", f"{ok} AND event_id IS NULL"),
+            ("null:device_type", f"{ok} AND {null_type}"),
+            ("enum:device_type", f"{ok} AND NOT {null_type} AND device_type NOT IN ("
+             + ", ".join(f"'{t}'" for t in C.DEVICE_TYPES) + ")"),
+            ("type:event_duration", f"{ok} AND {text}"), ("type:location", f"{ok} AND {array}"),
+            ("required:metadata.battery_level", f"{ok} AND {gone}"),
+            ("null:metadata.battery_level", f"{battery} AND battery_level IS NULL"),
+            ("minimum:metadata.battery_level", f"{battery} AND battery_level < {C.BATTERY_MIN}"),
+            ("maximum:metadata.battery_level", f"{battery} AND battery_level > {C.BATTERY_MAX}"),
+            ("minimum:metadata.signal_strength", f"{ok} AND signal_strength < {C.SIGNAL_MIN}"),
+            ("maximum:metadata.signal_strength", f"{ok} AND signal_strength > {C.SIGNAL_MAX}")]
+
+
+def _faulty() -> dict[str, str]:
+    """Checks on input that fails them."""
+    q = {}
+    null_type = "device_id LIKE '%7'"
+    parts = []
+    for c, t in WINDOW_TYPES.items():
+        gone, nulls = c in ("city", "event_count"), f"count_if({null_type})" if c == "device_type" else f"count_if({c} IS NULL)"
+        parts.append(f"SELECT '{c}' AS column_name, true AS expected, {str(not gone).lower()} AS present, "
+                     + (f"NULL AS data_type, NULL::BIGINT AS row_count, NULL::BIGINT AS null_count, '{'fail' if c == 'event_count' else 'warn'}' AS status FROM win"
+                        if gone else f"'{t}' AS data_type, count(*) AS row_count, {nulls} AS null_count, 'ok' AS status FROM win"))
+    parts = [p if "NULL AS data_type" not in p else p.replace(" FROM win", "") for p in parts]
+    parts.append("SELECT 'note', false, true, 'string', count(*), 0, 'extra' FROM win")
+    q["DQ1_check_columns_faulty"] = "WITH " + WINDOWS + "\n" + "\nUNION ALL ".join(parts)
+    q["DQ2_null_counts_faulty"] = ("WITH " + WINDOWS + f"\nSELECT 'device_id' AS column_name, 0::BIGINT AS null_count\n"
+                                   f"UNION ALL SELECT 'device_type', count_if({null_type}) FROM win\nUNION ALL SELECT 'event_count', 0")
+    q["DQ5_check_partitions_faulty"] = (
+        "WITH " + WINDOWS + ",\nw AS (SELECT CAST(window_start AS DATE) AS d, CASE WHEN device_type = 'click' THEN 'x' "
+        "WHEN device_type <> 'view' THEN device_type END AS t FROM win)\n"
+        "SELECT count(DISTINCT t) AS distinct_types, count_if(d = DATE '2024-01-01') AS mismatched_rows, "
+        "0::BIGINT AS rows_outside_partitions, 'table' AS place FROM w WHERE d <> DATE '2024-01-02'\n"
+        "UNION ALL SELECT count(DISTINCT t), 0, count(*), 'beside' FROM w WHERE d = DATE '2024-01-02'")
+    bad = "(day(event_date) % 3 = 0 OR day(event_date) % 5 = 0)"
+    low = f"count_if(NOT {bad} AND total_events < {C.REPORT_MIN_TOTAL_EVENTS})"
+    q["DQ6_validate_report_faulty"] = (
+        REPORT + "\nSELECT 'has_header' AS \"check\", 'all' AS scope, 7.0::DOUBLE AS observed, 'pass' AS status\n"
+        "UNION ALL SELECT 'columns_match', 'all', 7.0, 'pass'\n"
+        "UNION ALL SELECT 'has_data', 'all', count(*)::DOUBLE, 'pass' FROM report\n"
+        f"UNION ALL SELECT 'data_valid', 'all', count_if({bad})::DOUBLE, 'fail' FROM report\n"
+        f"UNION ALL SELECT 'min_events_check', 'all', {low}::DOUBLE, CASE WHEN {low} = 0 THEN 'pass' ELSE 'fail' END FROM report")
+    q["DQ6_report_file_missing"] = ("SELECT 'there' AS file, 'file_exists' AS \"check\", 'pass' AS status\n"
+                                    "UNION ALL SELECT 'gone', 'file_exists', 'fail'")
+    return q
+
+
 def _expand_r6(sql: str) -> str:
     """r6(x) -> x rounded to 6 places through DECIMAL(38, 9), as Spark's side does.
 
@@ -269,6 +321,7 @@ def _oracle_sql() -> dict[str, str]:
                                      "(device_type, event_date) IN (SELECT (device_type, event_date) FROM stats "
                                      f"WHERE distinct_events >= {GATE})")
     q["JOIN3_salted_join"] = q["JOIN1_attach_group_stats"]
+    q["JOIN3_heavy_keys_join"] = q["JOIN1_attach_group_stats"]
     q["AGG1_PRJ7_window_aggregate"] = "WITH " + WINDOWS + f"\nSELECT {WIN_COLS} FROM win"
     q["AGG1_AGG2_dense_windows"] = "WITH " + _dense(WINDOWS) + f"\nSELECT {WIN_COLS} FROM win"
     q["AGG7_dense_event_count_stats"] = (
@@ -291,6 +344,9 @@ def _oracle_sql() -> dict[str, str]:
         "CAST(window_start AS DATE) AS event_date FROM win WHERE avg_duration > 0),\n"
         + _kept(source="agg_in") + ",\nreport AS (" + REPORT_SELECT + ")\nSELECT * FROM report")
     q["AGG4_percentile_report_two_joins"] = q["AGG4_SRT1_percentile_report"]
+    q["AGG4_percentile_report_approx_method"] = q["AGG4_SRT1_percentile_report"]
+    q["AGG4_two_level_sketch_rank_error"] = ("WITH " + PREP + "\nSELECT device_type, count(*) AS total_events, "
+                                             "true AS within_error FROM prep GROUP BY device_type")
     q["AGG5_exact_percentile_disc"] = q["AGG4_SRT1_percentile_report"]
     q["AGG5_SRT1_percentile_report_exact_method"] = q["AGG4_SRT1_percentile_report"]
     q["AGG5_exact_percentile_cont"] = REPORT.replace("quantile_disc", "quantile_cont") + "\nSELECT * FROM report"
@@ -316,6 +372,21 @@ def _oracle_sql() -> dict[str, str]:
     # late run: windows of the held-back days never appear
     q["STR5_late_arrivals_dropped"] = ("WITH " + WINDOWS_STREAM + f"\nSELECT {WIN_COLS} FROM win_emitted "
                                        f"WHERE CAST(window_start AS DATE) > DATE '{LATE_SPLIT_DAY}'")
+    q["STR5_STR7_rows_dropped_over_all_batches"] = (
+        "WITH " + VALID + "\nSELECT count(*) AS rows_dropped FROM valid "
+        f"WHERE CAST(kafka_timestamp AS DATE) <= DATE '{LATE_SPLIT_DAY}'")
+    q["STR6_update_mode_latest_windows"] = "WITH " + WINDOWS + f"\nSELECT {WIN_COLS} FROM win"
+    # A key is kept while its time and the delay are past the watermark, a window while its end is.
+    q["STR1_STR2_keys_left_in_state"] = (
+        "WITH " + _dense(VALID) + "\nSELECT event_id, device_id FROM uniq "
+        "WHERE event_timestamp + INTERVAL 2 MINUTE > (SELECT max(event_timestamp) FROM valid) - INTERVAL 2 MINUTE")
+    q["STR1_STR4_windows_left_in_state"] = (
+        "WITH " + _dense(WINDOWS) + "\nSELECT window_start, window_end, device_id, device_type FROM win "
+        "WHERE window_end > (SELECT max(event_timestamp) FROM valid) - INTERVAL 2 MINUTE")
+    q["SNK1_compacted_windows"] = q["STR4_SNK1_stream_windows"]
+    q["SNK1_compaction_file_bound"] = (
+        "WITH " + WINDOWS_STREAM + "\nSELECT device_type, CAST(window_start AS DATE) AS event_date, count(*) AS row_count, "
+        "true AS within_bound FROM win_emitted GROUP BY ALL")
     q["DQ1_check_columns"] = _dq1()
     crit = C.CRITICAL_WINDOW_COLUMNS
     q["DQ2_null_counts"] = ("WITH " + WINDOWS + "\n" + "\nUNION ALL ".join(
@@ -361,6 +432,8 @@ def _oracle_sql() -> dict[str, str]:
                ("bad_signal_strength", f"signal_strength IS NULL OR NOT ({_SIG})"),
                ("bad_coordinates", f"latitude IS NULL OR longitude IS NULL OR NOT ({_COO})")]
     q["DQ10_reject_reasons"] = "WITH " + FLAT + "\n" + _counts("flat_all", "reason", reasons)
+    q["DQ7_contract_from_schema_file"] = "WITH " + FLAT + "\n" + _counts("flat_all", "rule", _contract_rules())
+    q.update(_faulty())
     q["DQ8_storage_inventory"] = ("WITH " + WINDOWS + "\nSELECT device_type, "
                                   "count(DISTINCT CAST(window_start AS DATE)) AS partitions FROM win GROUP BY 1")
     q["DQ11_inventory_delta"] = ("WITH " + WINDOWS + "\nSELECT device_type, "

@@ -32,18 +32,19 @@ def percentile_report(df: DataFrame, p: float = C.PERCENTILE, k: float = C.OUTLI
                       min_population: int = C.MIN_POPULATION, population: str = "devices",
                       accuracy: int = C.PERCENTILE_ACCURACY, mode: str = "auto",
                       stage_stats: bool = True, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                      salts: int = DEFAULT_SALTS, method: str = "approx") -> DataFrame:
+                      salts: int = DEFAULT_SALTS, method: str = "sketch") -> DataFrame:
     """Daily p-th percentile of event_duration per device type, after removing
     rows beyond ``k`` sample standard deviations from the day's mean, over the
     (type, day) groups whose distinct population before outlier removal is at
     least ``min_population``. Ordered by device_type, event_date.
 
-    ``method``: ``approx`` (``percentile_approx`` with ``accuracy``, the
-    reference behaviour; one task merges a group's sketches), ``disc`` or
-    ``cont`` (exact, AGG5; no task merges more than fixed-size rows per bin
-    and map task)."""
-    if method not in ("approx", "disc", "cont"):
-        raise ValueError("method must be 'approx', 'disc' or 'cont'")
+    ``method``: ``sketch`` (the default: KLL sketches merged on two levels,
+    exact up to 8,192 rows a group, no task merges one state a map task),
+    ``approx`` (``percentile_approx`` with ``accuracy``; one task merges a
+    group's sketches), ``disc`` or ``cont`` (exact, AGG5; no task merges more
+    than fixed-size rows per bin and map task)."""
+    if method not in ("sketch", "approx", "disc", "cont"):
+        raise ValueError("method must be 'sketch', 'approx', 'disc' or 'cont'")
     events = report_input(df, mode)
     stats = PCT.daily_stats(events, population)
     if stage_stats:
@@ -52,6 +53,8 @@ def percentile_report(df: DataFrame, p: float = C.PERCENTILE, k: float = C.OUTLI
     # both attaches the statistics and restricts to qualifying groups.
     qualifying = PCT.min_population(stats, min_population).filter(F.col("daily_stddev").isNotNull())
     kept = PCT.within_sigma(PCT.attach_group_stats(events, qualifying, max_broadcast_rows, salts), k)
+    if method == "sketch":
+        return PCT.order_report(PCT.daily_percentile_sketch(kept, p))
     if method == "approx":
         return PCT.order_report(PCT.daily_percentile(kept, p, accuracy))
     return PCT.order_report(PCT.daily_percentile_exact(kept, p, method, k))

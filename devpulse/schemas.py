@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from devpulse import constants as C
+
 # The JSON payload. ``from_json`` makes every field nullable anyway, so the
 # fields are declared nullable; validity is decided by the filters.
 # ``event_id`` is a long: ids beyond int32 must not silently become NULL.
@@ -105,3 +107,30 @@ RAW_EVENT = T.StructType([
     T.StructField("event_timestamp", T.TimestampType()),
     T.StructField("battery_level", T.IntegerType()),
 ])
+
+# What JSON input of the report job may hold: raw events, raw events with the time as text, stored windows.
+JSON_INPUTS = {
+    "raw": RAW_EVENT,
+    "raw-text": T.StructType([f for f in RAW_EVENT.fields if f.name != "event_timestamp"]
+                             + [T.StructField("event_time", T.StringType())]),
+    "windows": WINDOW,
+}
+
+
+def event_contract() -> dict:
+    """The JSON Schema document of the event payload."""
+    def kind(t: T.DataType) -> dict:
+        if isinstance(t, T.StructType):
+            return {"type": "object", "properties": {f.name: kind(f.dataType) for f in t.fields}}
+        return {"type": "string" if isinstance(t, T.StringType) else "number" if isinstance(t, T.DoubleType) else "integer"}
+
+    doc = kind(EVENT)
+    parts = doc["properties"]
+    doc["required"] = C.REQUIRED_TOP_LEVEL
+    parts["device_type"]["enum"] = C.DEVICE_TYPES
+    parts["event_time"]["format"] = "date-time"
+    parts["location"]["required"] = C.REQUIRED_LOCATION
+    parts["metadata"]["required"] = C.REQUIRED_METADATA
+    parts["metadata"]["properties"]["battery_level"] |= {"minimum": C.BATTERY_MIN, "maximum": C.BATTERY_MAX}
+    parts["metadata"]["properties"]["signal_strength"] |= {"minimum": C.SIGNAL_MIN, "maximum": C.SIGNAL_MAX}
+    return doc

@@ -99,3 +99,14 @@ def with_missing_payloads(envelope: DataFrame) -> DataFrame:
     return envelope.withColumn(
         "value", F.when(F.pmod(offset, F.lit(107)) == 19, F.lit(None))
         .when(F.pmod(offset, F.lit(109)) == 23, F.lit("").cast("binary")).otherwise(F.col("value")))
+
+
+def with_broken_payloads(envelope: DataFrame) -> DataFrame:
+    """The envelope with, in the JSON text, the battery level left out where offset % 43 = 7, a null device type where
+    offset % 47 = 9, the duration as text where offset % 53 = 11 and an array for the location where offset % 59 = 13."""
+    text = F.col("value").cast("string")
+    for n, r, pattern, instead in ((43, 7, r'"battery_level":[^,}]*,', ""), (47, 9, r'"device_type":"[^"]*"', '"device_type":null'),
+                                   (53, 11, r'"event_duration":([-+.0-9eE]+)', r'"event_duration":"$1"'),
+                                   (59, 13, r'"location":\{[^}]*\}', '"location":[1]')):
+        text = F.when(F.pmod("offset", F.lit(n)) == r, F.regexp_replace(text, pattern, instead)).otherwise(text)
+    return envelope.withColumn("value", text.cast("binary"))
