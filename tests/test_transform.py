@@ -59,13 +59,13 @@ def test_trap2_malformed_json_is_a_struct_of_nulls(spark):
 
 def test_trap1_event_time_shapes_with_ansi_on(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    texts = ["2024-01-15T10:30:45.123456+00:00", "2024-01-15T10:30:45+00:00", "2024-01-15T10:30:45.123456Z",
-             "2024-01-15T10:30:45Z", "2024-01-15T12:30:45.123+02:00", "2024-01-15T10:30:45.1Z", "garbage", None]
+    texts = ["2022-08-27T19:03:58.407219+00:00", "2022-08-27T19:03:58+00:00", "2022-08-27T19:03:58.407219Z",
+             "2022-08-27T19:03:58Z", "2022-08-27T21:03:58.407+02:00", "2022-08-27T19:03:58.1Z", "garbage", None]
     df = spark.createDataFrame([(t,) for t in texts], "event_time_str string")
     out = [r.event_timestamp for r in TR.parse_event_time(df).collect()]
-    assert [str(x) for x in out[:6]] == ["2024-01-15 10:30:45.123456", "2024-01-15 10:30:45",
-                                         "2024-01-15 10:30:45.123456", "2024-01-15 10:30:45",
-                                         "2024-01-15 10:30:45.123000", "2024-01-15 10:30:45.100000"]
+    assert [str(x) for x in out[:6]] == ["2022-08-27 19:03:58.407219", "2022-08-27 19:03:58",
+                                         "2022-08-27 19:03:58.407219", "2022-08-27 19:03:58",
+                                         "2022-08-27 19:03:58.407000", "2022-08-27 19:03:58.100000"]
     assert out[6] is None and out[7] is None
 
 
@@ -75,17 +75,17 @@ FLAT_COLS = "event_id bigint, device_id string, device_type string, event_timest
 
 def flat_rows(spark, rows):
     import datetime as dt
-    ts = dt.datetime(2024, 1, 15, 10, 30)
+    ts = dt.datetime(2023, 11, 4, 6, 17)
     full = [(i, "dev_1", "sensor_A", ts, d, b, s, la, lo) for i, d, b, s, la, lo in rows]
     return spark.createDataFrame(full, FLAT_COLS)
 
 
-def test_reference_filter_cases(spark):
-    # (id, duration, battery, latitude) -> kept: ids 1 and 5
-    cases = [(1, 2.5, 85, -75, 40.0, 0.0), (2, -1.0, 85, -75, 40.0, 0.0), (3, 2.5, 150, -75, 40.0, 0.0),
-             (4, 2.5, 85, -75, 200.0, 0.0), (5, 2.5, 85, -75, 40.0, 0.0)]
-    kept = sorted(r.event_id for r in TR.filter_valid_records(flat_rows(spark, cases)).collect())
-    assert kept == [1, 5]
+def test_a_row_stays_only_if_every_measure_is_valid(spark):
+    """All sixteen mixtures of one good and one bad value for duration, battery, signal and latitude."""
+    from itertools import product
+    values = [(12.75, 130.0), (61, -4), (-33, 9), (-17.5, 91.25)]
+    cases = [(i, *(v[bad] for v, bad in zip(values, mix)), 8.0) for i, mix in enumerate(product((0, 1), repeat=4))]
+    assert [r.event_id for r in TR.filter_valid_records(flat_rows(spark, cases)).collect()] == [0]
 
 
 @pytest.mark.parametrize("op,field,values,expected", [
