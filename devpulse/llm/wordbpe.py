@@ -48,18 +48,20 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
 
 
 _NFC, _LOWER = normalizers.NFC(), normalizers.Lowercase()
-#: Scripts with case or combining marks lie in the first two planes; the others have ideographs and tags.
-PLANES = 0x20000
+#: Where scripts with case or combining marks lie: the first two planes without ideographs, Hangul syllables,
+#: surrogates and private use.
+SCRIPTS = ((0, 0x3400), (0xA000, 0xAC00), (0xF900, 0x12000), (0x16000, 0x17000), (0x1BC00, 0x20000))
 
 
 @lru_cache(1)
-def unlike() -> tuple[re.Pattern, dict[str, str]]:
-    """Finds code points on which the library's NFC or lower case may differ from Python's, and their lower case.
+def unlike() -> tuple[re.Pattern, frozenset[str], dict[str, str]]:
+    """Code points on which the library's NFC or lower case may differ from Python's, what finds a text that may
+    hold one (a range, which is quick), and their lower case.
 
     NFC may differ on a code point that one of the two decomposes otherwise, on what it is composed with, and on
     one whose combining class only one of them knows.
     """
-    every = [chr(c) for c in range(PLANES) if c != 10 and not 0xD800 <= c < 0xE000]
+    every = [chr(c) for a, b in SCRIPTS for c in range(a, b) if c != 10]
 
     def both(library: normalizers.Normalizer, form: str, frame: str) -> zip:
         text = "\n".join(map(frame.format, every))
@@ -70,25 +72,31 @@ def unlike() -> tuple[re.Pattern, dict[str, str]]:
     # Marks of classes 240 and 1 beside it: a code point with a combining class changes places with one of them.
     for frame in ("a\u0345{}", "a{}\u0334"):
         odd.update(c for c, a, b in both(_NFC, "NFC", frame) if a != b)
-    return re.compile("[" + "".join(f"\\U{ord(c):08x}" for c in sorted(odd.union(lower))) + "]"), lower
+    odd = frozenset(odd.union(lower))
+    return re.compile(f"[{min(odd)}-\U0010ffff]"), odd, lower
+
+
+def _python_serves(text: str) -> bool:
+    beyond, odd, _ = unlike()
+    return beyond.search(text) is None or odd.isdisjoint(text)
 
 
 def nfc(text: str) -> str:
     if text.isascii():
         return text
-    return _NFC.normalize_str(text) if unlike()[0].search(text) else unicodedata.normalize("NFC", text)
+    return unicodedata.normalize("NFC", text) if _python_serves(text) else _NFC.normalize_str(text)
 
 
 def lower_of(c: str) -> str:
     """Lower case of one code point."""
-    return unlike()[1].get(c) or c.lower()
+    return unlike()[2].get(c) or c.lower()
 
 
 def normalise(text: str) -> str:
     """NFC, then lower case code point by code point (no final-sigma rule)."""
     if text.isascii():
         return text.lower()
-    if unlike()[0].search(text):
+    if not _python_serves(text):
         return _LOWER.normalize_str(_NFC.normalize_str(text))
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
