@@ -254,21 +254,21 @@ def near_duplicates(df: DataFrame, words: int, bits: int, key: str = "doc_id", t
 
 
 def keep_one(df: DataFrame, words: int, bits: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: of the smallest key (nulls last), then of the smallest fingerprint and text hash.
+    """One row of each component: of the smallest key (nulls last), then of the smallest fingerprint and row hash.
 
-    Of rows with equal keys and texts one stays, whatever their other columns hold.
+    Of rows with equal keys and texts one stays, whatever their other columns hold. Rows are known by 128 bits of
+    hash over key and text, so that the choice of equal rows and the join share one shuffle.
     """
-    hashes = {"_h1": F.xxhash64(F.lit(1), text), "_h2": F.xxhash64(F.lit(2), text)}
+    row = (F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text))
+    hashes = {"_h1": F.xxhash64(F.lit(1), *row), "_h2": F.xxhash64(F.lit(2), *row)}
     docs = stage_table(_fingerprints(df.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *(c.alias(n) for n, c in hashes.items())),
         words), "fingerprints")
     order = F.struct(F.col("key").isNull().alias("none"), "key", "fp", "_h1", "_h2")
     chosen = (docs.join(_components(docs, bits, "key"), "fp").groupBy("group").agg(F.min(order).alias("row"))
-              .select(F.col("row.key").alias("_key"), F.col("row._h1").alias("_h1"), F.col("row._h2").alias("_h2")))
+              .select("row._h1", "row._h2"))
     # Of equal rows one goes over the shuffle for each task, and one is kept.
-    same = Window.partitionBy("key", "_h1", "_h2").orderBy("_h1")
-    rows = (df.select(F.struct(*df.columns).alias("row"), F.col(key).alias("key"), *(c.alias(n) for n, c in hashes.items()))
+    same = Window.partitionBy("_h1", "_h2").orderBy("_h1")
+    rows = (df.select(F.struct(*df.columns).alias("row"), *(c.alias(n) for n, c in hashes.items()))
             .withColumn("nth", F.row_number().over(same)).where("nth = 1"))
-    chosen = chosen.withColumnsRenamed({"_h1": "_c1", "_h2": "_c2"})
-    return rows.join(chosen, rows["key"].eqNullSafe(chosen["_key"]) & (rows["_h1"] == chosen["_c1"])
-                     & (rows["_h2"] == chosen["_c2"]), "left_semi").select("row.*")
+    return rows.join(chosen, ["_h1", "_h2"], "left_semi").select("row.*")
