@@ -1,209 +1,228 @@
 """Cross-entropy difference of matched target and background n-gram models.
 
-Both models have the same vocabulary, order and smoothing and differ only in
-what they count: the target documents, or all documents. Counting and scoring
-cover every token of every document.
-
-- Vocabulary: words that make up at least ``WORD_SHARE`` of the target's
-  tokens and occur there twice; the rest is one unknown word. Shares bound it
-  to ``1 / WORD_SHARE`` words however large the corpus is.
-- Words of at least ``HISTORY_SHARE`` are classes of their own, the others
-  form one class (so at most ``1 / HISTORY_SHARE + 1`` classes).
-- ``P(w | u) = BIGRAM * c(class u, class w) / c(class u) * P(w | class w)
-  + (1 - BIGRAM) * P(w)`` with add-one unigrams; the first word has ``P(w)``.
-
-Word and pair counts are aggregated in the tasks before they are shuffled; what
-is shuffled grows with the corpus, what reaches the driver is bounded by the
-two shares. A document's score is the mean over its tokens of the target loss
-less the background loss: lower is closer to the target.
+Both models are word bigrams with the same vocabulary, order and smoothing
+and differ only in what they count: the target documents, or all documents.
+The vocabulary is every distinct word of all documents, and every word pair is
+counted: nothing is cut to a share, so the models grow with the corpus.
+
+``P(w) = (c(w) + 1) / (tokens + vocabulary)`` and ``P(w | u) = BIGRAM *
+c(u w) / c(u) + (1 - BIGRAM) * P(w)``; the first word of a document, and one
+after a word that the model never saw, has ``P(w)``. ``c(u)`` counts ``u`` at
+the end of a document too: the end is a continuation that is not scored.
+
+No model is held in one place. Documents are dealt to chunks of about
+``CHUNK_BYTES`` (a longer text is a chunk of its own). A task counts each word
+and pair once a chunk; the counts of an item meet by its hash (one row a chunk,
+however often it occurs there) and the sums return to the chunks that share
+it. An item of a single chunk needs no return, its own count is the sum. A
+second pass over a chunk's texts adds up the losses. The driver gets three
+numbers: all tokens, the target's tokens, distinct words. A document's score is
+the mean over its tokens of the target loss less the background loss: lower is
+closer to the target.
 
 Words are cut at ASCII white space, A-Z lower-cased, and counted by 64-bit
 hash. Defined results: a document without words has 0 tokens and null losses
-and score; null texts are empty; without target tokens every word is unknown
-to both models. Documents with a null key are background. Repeated rows count
+and score; null texts are empty; without target tokens every word has the same
+target loss. Documents with a null key are background. Repeated rows count
 and score each; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devpulse.llm.batches import slices
+from devpulse.llm.batches import SLICE_BYTES, slices
 from devpulse.plans.staging import stage_table
 
-WORD_SHARE = 2.0**-17
-HISTORY_SHARE = 2.0**-11
 BIGRAM = 0.7
-#: Distinct words or pairs a task gathers before it hands them on, and words a worker remembers.
-GATHERED = 300_000
+CHUNK_BYTES = 8_000_000
+#: Item occurrences a task holds before it hands their counts on.
+GATHERED = 4_000_000
+#: Bytes hashed at a time.
+STRETCH = 1 << 19
 
+_SPACE = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
+_BASE = 0x9E3779B97F4A7C15
+_WRAP = 1 << 64
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
 
+def _powers(base: int) -> np.ndarray:
+    return np.r_[np.uint64(1), np.cumprod(np.full(STRETCH - 1, base, np.uint64))]
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Word hashes in ascending order with their numbers; the unknown word has number ``size``."""
-    hashes: np.ndarray
-    numbers: np.ndarray
-    classes: int
 
-    @property
-    def size(self) -> int:
-        return len(self.hashes)
+#: A byte's value, A-Z those of a-z; the base's powers and those of its inverse, all modulo 2^64.
+_BYTE = _mix((np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE))
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, _WRAP))
 
-    def number(self, word: bytes) -> int:
-        if not self.size:
-            return 0
-        h = _hash(word)
-        at = min(int(np.searchsorted(self.hashes, h)), self.size - 1)
-        return int(self.numbers[at]) if self.hashes[at] == h else self.size
 
-    def encode(self, texts, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all tokens of the texts, and the number of tokens of each."""
-        split = [tokens(t) for t in texts]
-        if len(known) > GATHERED:
-            known.clear()
-        for w in set().union(*split).difference(known):
-            known[w] = self.number(w)
-        lengths = np.array([len(s) for s in split], np.int64)
-        ids = np.fromiter((known[w] for s in split for w in s), np.int64, int(lengths.sum()))
-        return ids, lengths
+def _long_word(data: np.ndarray) -> np.uint64:
+    total = 0
+    for at in range(0, len(data), STRETCH):
+        part = data[at:at + STRETCH]
+        total += int(np.sum(_BYTE[part] * _UP[:len(part)])) * pow(_BASE, at, _WRAP)
+    return np.uint64(total % _WRAP)
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n, k``: hash, count in all documents, count in the target."""
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and the row of each.
 
-    def emit(every: Counter, target: Counter) -> pa.RecordBatch:
-        words = list(every)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([_hash(w) for w in words], pa.int64()), pa.array([every[w] for w in words], pa.int64()),
-             pa.array([target[w] for w in words], pa.int64())], ["word", "n", "k"])
+    A word's hash is a polynomial over its bytes, taken from running sums over a stretch of text.
+    """
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or ends[-1] == ends[0]:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    edges = ends - ends[0]
+    inside = ~_SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[edges] = True
+    starts = np.flatnonzero(inside & (cut[:-1] | ~np.r_[False, inside[:-1]]))
+    stops = np.flatnonzero(inside & (cut[1:] | ~np.r_[inside[1:], False])) + 1
+    hashes = np.empty(len(starts), np.uint64)
+    short = stops - starts < STRETCH // 2
+    for i in np.flatnonzero(~short):
+        hashes[i] = _long_word(data[starts[i]:stops[i]])
+    at = np.flatnonzero(short)
+    # Half a stretch of starting places at a time: every word of fewer bytes ends inside the stretch.
+    for part in np.split(at, np.searchsorted(starts[at], np.arange(STRETCH // 2, len(data), STRETCH // 2))):
+        if len(part):
+            low = starts[part[0]]
+            a, b = starts[part] - low, stops[part] - low
+            stretch = data[low:low + b[-1]]
+            sums = np.r_[np.uint64(0), np.cumsum(_BYTE[stretch] * _UP[:len(stretch)])]
+            hashes[part] = (sums[b] - sums[a]) * _DOWN[a]
+    return _mix(hashes), np.searchsorted(edges, starts, side="right") - 1
+
+
+def _pairs(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all pairs of neighbours, and the place of each pair's second word."""
+    second = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    return _mix(hashes[second - 1] * np.uint64(_BASE) + (hashes[second] ^ np.uint64(_BASE))), second
+
+
+def _counts(items: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct items, the place of each occurrence among them, their number and their number in the target."""
+    distinct, at, n = np.unique(items, return_inverse=True, return_counts=True)
+    return distinct, at, n, np.bincount(at, target, len(distinct)).astype(np.int64)
+
+
+def _flags(batch, owner: np.ndarray) -> np.ndarray:
+    return batch.column("_target").to_numpy()[owner]
+
+
+def _chunked(docs: DataFrame, limit: int) -> DataFrame:
+    """The documents with ``_chunk``, a number shared by neighbouring rows of about ``limit`` bytes of text."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType())])
+    text = docs.columns.index("_text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        every, target = Counter(), Counter()
-        for batch in slices(batches, 0):
-            for text, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = tokens(text)
-                every.update(words)
-                if is_target:
-                    target.update(words)
-            if len(every) > GATHERED:
-                yield emit(every, target)
-                every, target = Counter(), Counter()
-        yield emit(every, target)
-
-    return (docs.select("_text", "_target").mapInArrow(run, "word long, n long, k long")
-            .groupBy("word").agg(F.sum("n").alias("n"), F.sum("k").alias("k")))
-
-
-def _pair_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``pair, n, k``: class pair ``u * (classes + 1) + w`` and its counts in all documents and in the target."""
-    side = vocabulary.classes + 1
-
-    def merged(parts: list[np.ndarray]) -> np.ndarray:
-        table = np.concatenate(parts)
-        pair, at = np.unique(table[:, 0], return_inverse=True)
-        return np.stack([pair, *(np.bincount(at, table[:, i], len(pair)).astype(np.int64) for i in (1, 2))], 1)
+        chunk, held = TaskContext.get().partitionId() << 32, 0
+        for batch in slices(batches, text, min(limit, SLICE_BYTES)):
+            # A row counts as one byte more, so that empty texts fill a chunk too.
+            size = len(batch) + (pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
+            if held and held + size > limit:
+                chunk, held = chunk + 1, 0
+            held += size
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(batch), chunk))],
+                                             names=[*batch.schema.names, "_chunk"])
+
+    return docs.mapInArrow(run, schema)
+
+
+def _items(docs: DataFrame, pairs: bool) -> DataFrame:
+    """``_chunk, item, n, k``: a chunk's words (and pairs), with counts in all its documents and in its target ones.
+
+    An item may come in several rows of a chunk.
+    """
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        held = np.empty((0, 3), np.int64)
-        for batch in slices(batches, 0):
-            ids, lengths = vocabulary.encode(batch.column(0).to_pylist(), known)
-            group = np.minimum(ids, vocabulary.classes)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            inside = owner[1:] == owner[:-1]
-            pair = (group[:-1] * side + group[1:])[inside]
-            target = np.array(batch.column(1).to_pylist(), np.int64)[owner[1:][inside]]
-            held = merged([held, np.stack([pair, np.ones_like(pair), target], 1)])
-            if len(held) > GATHERED:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.T.copy()], ["pair", "n", "k"])
-                held = held[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.T.copy()], ["pair", "n", "k"])
-
-    return (docs.select("_text", "_target").mapInArrow(run, "pair long, n long, k long")
-            .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("k").alias("k")))
-
-
-@dataclass(frozen=True)
-class Model:
-    """One corpus' losses: unigrams by word number (the last is the unknown word), class pairs by number."""
-    word: np.ndarray
-    within: np.ndarray
-    pair: np.ndarray
-
-    @classmethod
-    def of(cls, words: np.ndarray, pairs: np.ndarray, classes: int) -> Model:
-        word = (words + 1) / (words.sum() + len(words))
-        within = np.ones(len(word))
-        within[classes:] = word[classes:] / word[classes:].sum()
-        history = pairs.sum(1, keepdims=True)
-        # A history never seen leaves all to the unigrams.
-        pair = np.where(history > 0, BIGRAM * pairs / np.maximum(history, 1), BIGRAM * np.r_[word[:classes], word[classes:].sum()])
-        return cls(word, within, pair)
-
-    def losses(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        classes = len(self.pair) - 1
-        group = np.minimum(ids, classes)
-        before = np.r_[0, group[:-1]]
-        p = self.pair[before, group] * self.within[ids] + (1 - BIGRAM) * self.word[ids]
-        return -np.log(np.where(first, self.word[ids], p))
-
-
-def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+        held, size, now = [], 0, None
+
+        def emit() -> pa.RecordBatch:
+            distinct, _, n, k = _counts(*(np.concatenate(x) for x in zip(*held)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), now)), pa.array(distinct.view(np.int64)), pa.array(n), pa.array(k)],
+                ["_chunk", "item", "n", "k"])
+
+        for whole in batches:
+            chunks = whole.column("_chunk").to_numpy()
+            bounds = np.r_[0, np.flatnonzero(chunks[1:] != chunks[:-1]) + 1, len(chunks)]
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                for batch in slices([whole.slice(a, b - a)] if b > a else [], 0):
+                    if held and (chunks[a] != now or size > GATHERED):
+                        yield emit()
+                        held, size = [], 0
+                    now = chunks[a]
+                    hashes, owner = words(batch.column("_text"))
+                    target = _flags(batch, owner)
+                    held.append((hashes, target))
+                    if pairs:
+                        both, second = _pairs(hashes, owner)
+                        held.append((both, target[second]))
+                    size += 2 * len(hashes)
+        if held:
+            yield emit()
+
+    return docs.select("_text", "_target", "_chunk").mapInArrow(run, "_chunk long, item long, n long, k long")
+
+
+def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text",
+           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``key, n_tokens, target_loss, background_loss, score`` of every row; ``target`` holds the target's keys."""
     # The target's keys grow with the corpus: a shuffle join at every size.
     marked = target.select(F.col(key).alias("_key")).distinct().withColumn("_in", F.lit(1)).hint("merge")
-    flagged = stage_table(
-        docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
-        .join(marked, F.col(key) == F.col("_key"), "left")
-        .select(key, "_text", F.coalesce("_in", F.lit(0)).alias("_target")), "lm-documents")
-    words = stage_table(_word_counts(flagged), "lm-words")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
-    least = max(2, total["k"] * WORD_SHARE)
-    chosen = words.where(F.col("k") >= least).orderBy(F.desc("k"), "word").toArrow()
-    n, k = (chosen[c].to_numpy().astype(float) for c in ("n", "k"))
-    classes = int((k >= total["k"] * HISTORY_SHARE).sum())
-    hashes = chosen["word"].to_numpy()
-    order = np.argsort(hashes)
-    vocabulary = Vocabulary(hashes[order], order.astype(np.int64), classes)
-    side = classes + 1
-    pairs = _pair_counts(flagged, vocabulary).toArrow()
-    at = pairs["pair"].to_numpy().astype(np.int64)
-    models = []
-    for column, counts in (("k", k), ("n", n)):
-        matrix = np.zeros(side * side)
-        matrix[at] = pairs[column].to_numpy()
-        models.append(Model.of(np.r_[counts, total[column] - counts.sum()], matrix.reshape(side, side), classes))
-
-    def run(batches):
-        known: dict[bytes, int] = {}
-        for batch in slices(batches, 1):
-            ids, lengths = vocabulary.encode(batch.column(1).to_pylist(), known)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
-            sums = [np.bincount(owner, m.losses(ids, first), len(lengths)) for m in models]
-            none = lengths == 0
-            a, b = (s / np.maximum(lengths, 1) for s in sums)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lengths), *(pa.array(x, mask=none) for x in (a, b, a - b))],
-                ["key", "n_tokens", "target_loss", "background_loss", "score"])
+    flagged = stage_table(_chunked(
+        docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+        .join(marked, F.col("key") == F.col("_key"), "left")
+        .select("key", "_text", F.coalesce("_in", F.lit(0)).alias("_target")), chunk_bytes), "lm-documents")
+    total = (_items(flagged, pairs=False).groupBy("item").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+             .agg(F.count("*").alias("v"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "k"))).first().asDict())
+    everywhere = Window.partitionBy("item")
+    shared = (_items(flagged, pairs=True)
+              .select("_chunk", "item", F.col("n").alias("own"), *(F.sum(c).over(everywhere).alias(c) for c in ("n", "k")))
+              .where("n > own").drop("own"))
+    corpora = (("k", total["k"]), ("n", total["n"]))
+
+    def score(docs: pa.Table, known: pa.Table) -> pa.Table:
+        texts = docs.column("_text").combine_chunks()
+        hashes, owner = words(texts)
+        both, second = _pairs(hashes, owner)
+        flags = _flags(docs, owner)
+        items, at, n, k = _counts(np.r_[hashes, both], np.r_[flags, flags[second]])
+        place = np.searchsorted(items, known.column("item").to_numpy().view(np.uint64))
+        counts = {"n": n, "k": k}
+        lengths = np.bincount(owner, minlength=len(texts))
+        means = []
+        for column, size in corpora:
+            c = counts[column]
+            c[place] = known.column(column).to_numpy()
+            of_word, of_pair = c[at[:len(hashes)]], c[at[len(hashes):]]
+            p = (of_word + 1) / (size + total["v"])
+            before = of_word[second - 1]
+            # A word never seen leaves all to the unigrams.
+            given = np.where(before > 0, BIGRAM * of_pair / np.maximum(before, 1) + (1 - BIGRAM) * p[second], p[second])
+            p[second] = given
+            means.append(np.bincount(owner, -np.log(p), len(texts)) / np.maximum(lengths, 1))
+        a, b = means
+        none = lengths == 0
+        return pa.Table.from_arrays([docs.column("key"), pa.array(lengths), *(pa.array(x, mask=none) for x in (a, b, a - b))],
+                                    ["key", "n_tokens", "target_loss", "background_loss", "score"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
-    return (flagged.select(F.col(key).alias("key"), "_text").mapInArrow(run, schema).withColumnRenamed("key", key))
+    return (flagged.groupBy("_chunk").cogroup(shared.groupBy("_chunk")).applyInArrow(score, schema)
+            .withColumnRenamed("key", key))

@@ -129,27 +129,14 @@ ORACLE_SQL: dict[str, str] = {
                 doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS target FROM documents),
         t AS (SELECT r, target, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
         c AS (SELECT w, count(*) AS n, count(*) FILTER (target) AS k FROM t GROUP BY w),
-        s AS (SELECT sum(n) AS n, sum(k) AS k FROM c),
-        v AS (SELECT w, c.n, c.k, c.k >= s.k * pow(2.0, -11) AS own FROM c, s WHERE c.k >= greatest(2, s.k * pow(2.0, -17))),
-        u AS (SELECT w, n, k, own FROM v UNION ALL
-              SELECT NULL, (SELECT n FROM s) - coalesce(sum(n), 0), (SELECT k FROM s) - coalesce(sum(k), 0), false FROM v),
-        p AS (SELECT w, own, (n + 1) / (sum(n) OVER () + count(*) OVER ()) AS pn,
-                     (k + 1) / (sum(k) OVER () + count(*) OVER ()) AS pk FROM u),
-        q AS (SELECT w, pn, pk, CASE WHEN own THEN w END AS g,
-                     CASE WHEN own THEN 1 ELSE pn / sum(pn) FILTER (NOT own) OVER () END AS hn,
-                     CASE WHEN own THEN 1 ELSE pk / sum(pk) FILTER (NOT own) OVER () END AS hk FROM p),
-        x AS (SELECT t.r, t.i, t.target, coalesce(v.w, NULL) AS w, CASE WHEN v.own THEN v.w END AS g FROM t LEFT JOIN v ON t.w = v.w),
-        b AS (SELECT a.g AS g1, z.g AS g2, count(*) AS n, count(*) FILTER (z.target) AS k
-              FROM x a JOIN x z ON a.r = z.r AND z.i = a.i + 1 GROUP BY ALL),
-        h AS (SELECT *, sum(n) OVER (PARTITION BY g1) AS tn, sum(k) OVER (PARTITION BY g1) AS tk FROM b),
-        m AS (SELECT g, sum(pn) AS pn, sum(pk) AS pk FROM q GROUP BY g),
-        l AS (SELECT z.r,
-                -ln(CASE WHEN z.i = 1 THEN q.pk ELSE 0.7 * CASE WHEN h.tk > 0 THEN h.k / h.tk ELSE m.pk END * q.hk + 0.3 * q.pk END) AS lk,
-                -ln(CASE WHEN z.i = 1 THEN q.pn ELSE 0.7 * CASE WHEN h.tn > 0 THEN h.n / h.tn ELSE m.pn END * q.hn + 0.3 * q.pn END) AS ln
-              FROM x z LEFT JOIN x a ON a.r = z.r AND a.i = z.i - 1
-              JOIN q ON z.w IS NOT DISTINCT FROM q.w
-              JOIN m ON z.g IS NOT DISTINCT FROM m.g
-              LEFT JOIN h ON a.r IS NOT NULL AND a.g IS NOT DISTINCT FROM h.g1 AND z.g IS NOT DISTINCT FROM h.g2)
+        s AS (SELECT sum(n) AS n, sum(k) AS k, count(*) AS v FROM c),
+        q AS (SELECT w, c.n, c.k, (c.n + 1) / (s.n + v) AS pn, (c.k + 1) / (s.k + v) AS pk FROM c, s),
+        x AS (SELECT z.r, z.target, a.w AS u, z.w FROM t z LEFT JOIN t a ON a.r = z.r AND a.i = z.i - 1),
+        b AS (SELECT u, w, count(*) AS n, count(*) FILTER (target) AS k FROM x WHERE u IS NOT NULL GROUP BY ALL),
+        l AS (SELECT x.r,
+                -ln(CASE WHEN h.k > 0 THEN 0.7 * b.k / h.k + 0.3 * q.pk ELSE q.pk END) AS lk,
+                -ln(CASE WHEN h.n > 0 THEN 0.7 * b.n / h.n + 0.3 * q.pn ELSE q.pn END) AS ln
+              FROM x JOIN q ON x.w = q.w LEFT JOIN q h ON x.u = h.w LEFT JOIN b ON x.u = b.u AND x.w = b.w)
         SELECT doc_id, len(any_value(ws))::BIGINT AS n_tokens, round(avg(lk), 6) AS target_loss,
                round(avg(ln), 6) AS background_loss, round(avg(lk) - avg(ln), 6) AS score
         FROM d LEFT JOIN l ON d.r = l.r GROUP BY d.r, doc_id""",
