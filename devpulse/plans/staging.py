@@ -15,9 +15,9 @@ from devpulse.session import scratch_path
 _STAGED: list[str] = []
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     _STAGED.append(path)
     return df.sparkSession.read.parquet(path)
 
