@@ -12,11 +12,12 @@ the end of a document too: the end is a continuation that is not scored.
 
 No model is held in one place. Documents are dealt to chunks of about
 ``CHUNK_BYTES`` (a longer text is a chunk of its own). A task counts each word
-and pair once a chunk; the counts of an item meet by its hash (one row a chunk,
-however often it occurs there) and the sums return to the chunks that share
-it. An item of a single chunk needs no return, its own count is the sum. A
-second pass over a chunk's texts adds up the losses. The driver gets three
-numbers: all tokens, the target's tokens, distinct words. A document's score is
+and pair once a chunk; the counts meet by ranges of the item's hash (one entry
+a chunk, however often an item occurs there; as many ranges as the text has
+``BUCKET_BYTES``) and the sums return to the chunks that share an item. An
+item of a single chunk needs no return, its own count is the sum. A second
+pass over a chunk's texts adds up the losses. The driver gets the sizes: bytes,
+all tokens, the target's tokens, distinct words. A document's score is
 the mean over its tokens of the target loss less the background loss: lower is
 closer to the target.
 
@@ -33,8 +34,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +45,8 @@ from devpulse.plans.staging import stage_table
 
 BIGRAM = 0.7
 CHUNK_BYTES = 8_000_000
-#: Item occurrences a task holds before it hands their counts on.
-GATHERED = 4_000_000
+#: Bytes of text for each range of hashes whose counts meet in one group.
+BUCKET_BYTES = 4_000_000
 #: Bytes hashed at a time.
 STRETCH = 1 << 19
 
@@ -120,109 +122,156 @@ def _counts(items: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, at, n, np.bincount(at, target, len(distinct)).astype(np.int64)
 
 
-def _flags(batch, owner: np.ndarray) -> np.ndarray:
-    return batch.column("_target").to_numpy()[owner]
+def _encoded(values: np.ndarray) -> bytes:
+    """64-bit values by byte place, compressed: small values and equal high bytes need little."""
+    return pa.compress(np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T), "zstd", asbytes=True)
+
+
+def _decoded(data: bytes, size: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, 8 * size, "zstd"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, size).T).view(np.uint64).ravel()
+
+
+#: Ascending items of one chunk as differences, with their counts.
+RUN = "_chunk long, size int, items binary, n binary, k binary"
+
+
+def _run(chunk: int, items: np.ndarray, n: np.ndarray, k: np.ndarray) -> tuple:
+    return chunk, len(items), _encoded(np.diff(items, prepend=np.uint64(0))), _encoded(n), _encoded(k)
+
+
+def _opened(runs: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    return [(r["_chunk"], np.cumsum(_decoded(r["items"], r["size"])),
+             *(_decoded(r[c], r["size"]).astype(np.int64) for c in ("n", "k")))
+            for r in runs.select(["_chunk", "size", "items", "n", "k"]).to_pylist()]
+
+
+def _table(rows: list[tuple], with_bucket: bool) -> pa.Table:
+    names = ["_chunk", "size", "items", "n", "k"]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    if with_bucket:
+        names, types = ["bucket", *names], [pa.int64(), *types]
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def _dealt(chunk: int, items: np.ndarray, n: np.ndarray, k: np.ndarray, buckets: int) -> pa.Table:
+    """A chunk's counts as one run for each range of hashes that it has items of."""
+    bucket = ((items >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    starts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1] if len(bucket) else []
+    return _table([(int(bucket[a]), *_run(chunk, items[a:b], n[a:b], k[a:b]))
+                   for a, b in zip(starts, np.r_[starts[1:], len(items)].astype(int))], True)
+
+
+def _shared(runs: pa.Table) -> pa.Table:
+    """Each chunk's items that other chunks of the bucket have too, with the sums over all chunks."""
+    opened = _opened(runs)
+    distinct, at = np.unique(np.concatenate([items for _, items, _, _ in opened]), return_inverse=True)
+    sums = [np.zeros(len(distinct), np.int64) for _ in range(2)]
+    for total, part in zip(sums, (2, 3)):
+        np.add.at(total, at, np.concatenate([run[part] for run in opened]))
+    out, start = [], 0
+    for chunk, items, n, _ in opened:
+        place = at[start:start + len(items)]
+        start += len(items)
+        more = sums[0][place] > n
+        if more.any():
+            out.append(_run(chunk, items[more], *(x[place[more]] for x in sums)))
+    return _table(out, False)
+
+
+def _distinct(runs: pa.Table) -> pa.Table:
+    return pa.table({"v": [len(np.unique(np.concatenate([items for _, items, _, _ in _opened(runs)])))]})
 
 
 def _chunked(docs: DataFrame, limit: int) -> DataFrame:
-    """The documents with ``_chunk``, a number shared by neighbouring rows of about ``limit`` bytes of text."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType())])
+    """The rows with ``_chunk`` (shared by neighbouring rows of about ``limit`` bytes), ``_row`` in it, ``_tokens``."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType()), T.StructField("_row", T.IntegerType()),
+                           T.StructField("_tokens", T.IntegerType())])
     text = docs.columns.index("_text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        chunk, held = TaskContext.get().partitionId() << 32, 0
+        chunk, held, rows = TaskContext.get().partitionId() << 32, 0, 0
         for batch in slices(batches, text, min(limit, SLICE_BYTES)):
-            # A row counts as one byte more, so that empty texts fill a chunk too.
-            size = len(batch) + (pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
-            if held and held + size > limit:
-                chunk, held = chunk + 1, 0
-            held += size
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(batch), chunk))],
-                                             names=[*batch.schema.names, "_chunk"])
+            # A row counts as some bytes more, so that empty texts fill a chunk too.
+            size = 64 * len(batch) + (pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
+            if rows and held + size > limit:
+                chunk, held, rows = chunk + 1, 0, 0
+            _, owner = words(batch.column(text))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(batch), chunk)), pa.array(np.arange(rows, rows + len(batch), dtype=np.int32)),
+                 pa.array(np.bincount(owner, minlength=len(batch)).astype(np.int32))],
+                names=[*batch.schema.names, "_chunk", "_row", "_tokens"])
+            held, rows = held + size, rows + len(batch)
 
     return docs.mapInArrow(run, schema)
 
 
-def _items(docs: DataFrame, pairs: bool) -> DataFrame:
-    """``_chunk, item, n, k``: a chunk's words (and pairs), with counts in all its documents and in its target ones.
-
-    An item may come in several rows of a chunk.
-    """
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        held, size, now = [], 0, None
-
-        def emit() -> pa.RecordBatch:
-            distinct, _, n, k = _counts(*(np.concatenate(x) for x in zip(*held)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), now)), pa.array(distinct.view(np.int64)), pa.array(n), pa.array(k)],
-                ["_chunk", "item", "n", "k"])
-
-        for whole in batches:
-            chunks = whole.column("_chunk").to_numpy()
-            bounds = np.r_[0, np.flatnonzero(chunks[1:] != chunks[:-1]) + 1, len(chunks)]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                for batch in slices([whole.slice(a, b - a)] if b > a else [], 0):
-                    if held and (chunks[a] != now or size > GATHERED):
-                        yield emit()
-                        held, size = [], 0
-                    now = chunks[a]
-                    hashes, owner = words(batch.column("_text"))
-                    target = _flags(batch, owner)
-                    held.append((hashes, target))
-                    if pairs:
-                        both, second = _pairs(hashes, owner)
-                        held.append((both, target[second]))
-                    size += 2 * len(hashes)
-        if held:
-            yield emit()
-
-    return docs.select("_text", "_target", "_chunk").mapInArrow(run, "_chunk long, item long, n long, k long")
+def _chunk_counts(docs: pa.Table, flagged: pa.Table):
+    """Rows in order, words with their rows, places of second words, and the chunk's item counts as of ``_counts``."""
+    docs = docs.sort_by("_row")
+    target = np.zeros(len(docs), np.int64)
+    for rows in flagged.column("rows").to_pylist():
+        target[rows or []] = 1
+    hashes, owner = words(docs.column("_text").combine_chunks())
+    both, second = _pairs(hashes, owner)
+    flags = target[owner]
+    return docs, owner, second, _counts(np.r_[hashes, both], np.r_[flags, flags[second]])
 
 
 def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text",
-           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+           chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``key, n_tokens, target_loss, background_loss, score`` of every row; ``target`` holds the target's keys."""
-    # The target's keys grow with the corpus: a shuffle join at every size.
-    marked = target.select(F.col(key).alias("_key")).distinct().withColumn("_in", F.lit(1)).hint("merge")
-    flagged = stage_table(_chunked(
-        docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-        .join(marked, F.col("key") == F.col("_key"), "left")
-        .select("key", "_text", F.coalesce("_in", F.lit(0)).alias("_target")), chunk_bytes), "lm-documents")
-    total = (_items(flagged, pairs=False).groupBy("item").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-             .agg(F.count("*").alias("v"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "k"))).first().asDict())
-    everywhere = Window.partitionBy("item")
-    shared = (_items(flagged, pairs=True)
-              .select("_chunk", "item", F.col("n").alias("own"), *(F.sum(c).over(everywhere).alias(c) for c in ("n", "k")))
-              .where("n > own").drop("own"))
-    corpora = (("k", total["k"]), ("n", total["n"]))
+    chunked = stage_table(_chunked(docs.select(
+        F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")), chunk_bytes),
+        "lm-documents", compression="zstd")
+    # Keys alone are joined, by a shuffle at every size: the target's keys grow with the corpus.
+    marked = target.select(F.col(key).alias("key")).distinct().hint("merge")
+    flagged = stage_table(chunked.select("key", "_chunk", "_row", "_tokens").join(marked, "key", "left_semi")
+                          .groupBy("_chunk").agg(F.collect_list("_row").alias("rows"), F.sum("_tokens").alias("tokens")), "lm-target")
+    zero = F.lit(0)
+    size, n_all = chunked.agg(F.coalesce(F.sum(F.octet_length("_text")), zero), F.coalesce(F.sum("_tokens"), zero)).first()
+    n_target = flagged.agg(F.coalesce(F.sum("tokens"), zero)).first()[0]
+    buckets = 1 + size // bucket_bytes
+
+    def vocabulary(batches) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0, chunk_bytes):
+            items, n = np.unique(words(batch.column(0))[0], return_counts=True)
+            yield from _dealt(0, items, n, n, buckets).to_batches()
+
+    def count(docs: pa.Table, flagged: pa.Table) -> pa.Table:
+        docs, *_, (items, _, n, k) = _chunk_counts(docs, flagged)
+        return _dealt(docs.column("_chunk")[0].as_py() if len(docs) else 0, items, n, k, buckets)
+
+    n_words = (chunked.select("_text").mapInArrow(vocabulary, "bucket long, " + RUN)
+               .groupBy("bucket").applyInArrow(_distinct, "v long").agg(F.coalesce(F.sum("v"), zero)).first()[0])
+    targets = flagged.select("_chunk", "rows")
+    sums = (chunked.groupBy("_chunk").cogroup(targets.groupBy("_chunk")).applyInArrow(count, "bucket long, " + RUN)
+            .groupBy("bucket").applyInArrow(_shared, RUN))
+    known = sums.unionByName(targets, allowMissingColumns=True)
 
     def score(docs: pa.Table, known: pa.Table) -> pa.Table:
-        texts = docs.column("_text").combine_chunks()
-        hashes, owner = words(texts)
-        both, second = _pairs(hashes, owner)
-        flags = _flags(docs, owner)
-        items, at, n, k = _counts(np.r_[hashes, both], np.r_[flags, flags[second]])
-        place = np.searchsorted(items, known.column("item").to_numpy().view(np.uint64))
-        counts = {"n": n, "k": k}
-        lengths = np.bincount(owner, minlength=len(texts))
+        docs, owner, second, (items, at, *counts) = _chunk_counts(docs, known)
+        for _, shared, *totals in _opened(known.filter(pa.compute.is_valid(known.column("items")))):
+            place = np.searchsorted(items, shared)
+            for c, total in zip(counts, totals):
+                c[place] = total
+        lengths = np.bincount(owner, minlength=len(docs))
         means = []
-        for column, size in corpora:
-            c = counts[column]
-            c[place] = known.column(column).to_numpy()
-            of_word, of_pair = c[at[:len(hashes)]], c[at[len(hashes):]]
-            p = (of_word + 1) / (size + total["v"])
+        for c, size in zip(counts, (n_all, n_target)):
+            of_word, of_pair = c[at[:len(owner)]], c[at[len(owner):]]
+            p = (of_word + 1) / (size + n_words)
             before = of_word[second - 1]
             # A word never seen leaves all to the unigrams.
-            given = np.where(before > 0, BIGRAM * of_pair / np.maximum(before, 1) + (1 - BIGRAM) * p[second], p[second])
-            p[second] = given
-            means.append(np.bincount(owner, -np.log(p), len(texts)) / np.maximum(lengths, 1))
-        a, b = means
+            p[second] = np.where(before > 0, BIGRAM * of_pair / np.maximum(before, 1) + (1 - BIGRAM) * p[second], p[second])
+            means.append(np.bincount(owner, -np.log(p), len(docs)) / np.maximum(lengths, 1))
+        background, aimed = means
         none = lengths == 0
-        return pa.Table.from_arrays([docs.column("key"), pa.array(lengths), *(pa.array(x, mask=none) for x in (a, b, a - b))],
-                                    ["key", "n_tokens", "target_loss", "background_loss", "score"])
+        return pa.Table.from_arrays(
+            [docs.column("key"), pa.array(lengths), *(pa.array(x, mask=none) for x in (aimed, background, aimed - background))],
+            ["key", "n_tokens", "target_loss", "background_loss", "score"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
-    return (flagged.groupBy("_chunk").cogroup(shared.groupBy("_chunk")).applyInArrow(score, schema)
+    return (chunked.groupBy("_chunk").cogroup(known.groupBy("_chunk")).applyInArrow(score, schema)
             .withColumnRenamed("key", key))

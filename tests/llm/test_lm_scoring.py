@@ -48,7 +48,7 @@ def test_scores_equal_the_plain_evaluation(spark, chunk_bytes):
     docs = (spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
             .withColumns({c: F.lit("x") for c in ("_chunk", "key", "_text", "n", "item", "_target")}))
     keys = spark.createDataFrame([(i,) for i in [*target, 0, 4]], "doc_id long")
-    out = lm_scoring.scores(docs, keys, chunk_bytes=chunk_bytes).join(
+    out = lm_scoring.scores(docs, keys, chunk_bytes=chunk_bytes, bucket_bytes=chunk_bytes).join(
         docs.select("doc_id", "text").distinct(), "doc_id", "left").collect()
     expected = plain(rows, target)
     assert len(out) == len(rows)
