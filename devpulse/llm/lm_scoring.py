@@ -17,7 +17,7 @@ a chunk, however often an item occurs there; as many ranges as the text has
 ``BUCKET_BYTES``) and the sums return to the chunks that share an item. An
 item of a single chunk needs no return, its own count is the sum. A second
 pass over a chunk's texts adds up the losses. The driver gets the sizes: bytes,
-all tokens, the target's tokens, distinct words. A document's score is
+all tokens, the target's tokens. A document's score is
 the mean over its tokens of the target loss less the background loss: lower is
 closer to the target.
 
@@ -44,7 +44,7 @@ from devpulse.llm.batches import SLICE_BYTES, slices
 from devpulse.plans.staging import stage_table
 
 BIGRAM = 0.7
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 16_000_000
 #: Bytes of text for each range of hashes whose counts meet in one group.
 BUCKET_BYTES = 4_000_000
 #: Bytes hashed at a time.
@@ -78,17 +78,20 @@ def _long_word(data: np.ndarray) -> np.uint64:
     return np.uint64(total % _WRAP)
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in order, and the row of each.
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes in one array and where each begins, with the end of the last."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or edges[-1] == edges[0]:
+        return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(texts.buffers()[2], np.uint8)[edges[0]:edges[-1]], edges - edges[0]
+
+
+def words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Even hashes of all words of the texts (as of ``_flat``) in order, and the row of each.
 
     A word's hash is a polynomial over its bytes, taken from running sums over a stretch of text.
     """
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    if not len(texts) or ends[-1] == ends[0]:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]
-    edges = ends - ends[0]
     inside = ~_SPACE[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[edges] = True
@@ -107,13 +110,13 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             stretch = data[low:low + b[-1]]
             sums = np.r_[np.uint64(0), np.cumsum(_BYTE[stretch] * _UP[:len(stretch)])]
             hashes[part] = (sums[b] - sums[a]) * _DOWN[a]
-    return _mix(hashes), np.searchsorted(edges, starts, side="right") - 1
+    return _mix(hashes) & ~np.uint64(1), np.searchsorted(edges, starts, side="right") - 1
 
 
 def _pairs(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all pairs of neighbours, and the place of each pair's second word."""
+    """Odd hashes of all pairs of neighbours, and the place of each pair's second word."""
     second = np.flatnonzero(owner[1:] == owner[:-1]) + 1
-    return _mix(hashes[second - 1] * np.uint64(_BASE) + (hashes[second] ^ np.uint64(_BASE))), second
+    return _mix(hashes[second - 1] * np.uint64(_BASE) + (hashes[second] ^ np.uint64(_BASE))) | np.uint64(1), second
 
 
 def _counts(items: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,83 +183,93 @@ def _shared(runs: pa.Table) -> pa.Table:
     return _table(out, False)
 
 
-def _distinct(runs: pa.Table) -> pa.Table:
-    return pa.table({"v": [len(np.unique(np.concatenate([items for _, items, _, _ in _opened(runs)])))]})
+def _words_of(runs: pa.Table) -> pa.Table:
+    items = np.unique(np.concatenate([items for _, items, _, _ in _opened(runs)]))
+    return pa.table({"v": [int((items & np.uint64(1) == 0).sum())]})
 
 
 def _chunked(docs: DataFrame, limit: int) -> DataFrame:
-    """The rows with ``_chunk`` (shared by neighbouring rows of about ``limit`` bytes), ``_row`` in it, ``_tokens``."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType()), T.StructField("_row", T.IntegerType()),
-                           T.StructField("_tokens", T.IntegerType())])
-    text = docs.columns.index("_text")
+    """Slices of the rows, their texts compressed together; neighbouring slices of about ``limit`` bytes share ``_chunk``.
+
+    ``_at`` is the number of the slice's first row in its chunk; ``tokens`` and ``lengths`` (bytes) go by row.
+    """
+    schema = T.StructType([
+        T.StructField("_chunk", T.LongType()), T.StructField("_at", T.IntegerType()),
+        T.StructField("keys", T.ArrayType(docs.schema["key"].dataType)), T.StructField("tokens", T.ArrayType(T.IntegerType())),
+        T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("bytes", T.LongType()),
+        T.StructField("n", T.LongType()), T.StructField("data", T.BinaryType())])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         chunk, held, rows = TaskContext.get().partitionId() << 32, 0, 0
-        for batch in slices(batches, text, min(limit, SLICE_BYTES)):
+        for batch in slices(batches, 1, min(limit, SLICE_BYTES)):
+            data, edges = _flat(batch.column(1))
             # A row counts as some bytes more, so that empty texts fill a chunk too.
-            size = 64 * len(batch) + (pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
+            size = 64 * len(batch) + len(data)
             if rows and held + size > limit:
                 chunk, held, rows = chunk + 1, 0, 0
-            _, owner = words(batch.column(text))
+            tokens = np.bincount(words(data, edges)[1], minlength=len(batch))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(batch), chunk)), pa.array(np.arange(rows, rows + len(batch), dtype=np.int32)),
-                 pa.array(np.bincount(owner, minlength=len(batch)).astype(np.int32))],
-                names=[*batch.schema.names, "_chunk", "_row", "_tokens"])
+                [pa.array([chunk]), pa.array([rows], pa.int32()), pa.ListArray.from_arrays([0, len(batch)], batch.column(0)),
+                 pa.array([tokens.astype(np.int32)]), pa.array([np.diff(edges)]), pa.array([len(data)]),
+                 pa.array([int(tokens.sum())]), pa.array([pa.compress(data, "zstd", asbytes=True)])], schema.names)
             held, rows = held + size, rows + len(batch)
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("key", "_text").mapInArrow(run, schema)
 
 
 def _chunk_counts(docs: pa.Table, flagged: pa.Table):
-    """Rows in order, words with their rows, places of second words, and the chunk's item counts as of ``_counts``."""
-    docs = docs.sort_by("_row")
-    target = np.zeros(len(docs), np.int64)
+    """A chunk's keys, its words' rows, the places of second words, and the item counts as of ``_counts``."""
+    docs = docs.sort_by("_at")
+    keys = docs.column("keys").combine_chunks().flatten()
+    lengths = docs.column("lengths").combine_chunks().flatten().to_numpy()
+    data = np.frombuffer(b"".join(pa.decompress(d.as_py(), n.as_py(), "zstd", asbytes=True)
+                                  for d, n in zip(docs.column("data"), docs.column("bytes"))), np.uint8)
+    target = np.zeros(len(keys), np.int64)
     for rows in flagged.column("rows").to_pylist():
         target[rows or []] = 1
-    hashes, owner = words(docs.column("_text").combine_chunks())
+    hashes, owner = words(data, np.r_[0, np.cumsum(lengths)])
     both, second = _pairs(hashes, owner)
     flags = target[owner]
-    return docs, owner, second, _counts(np.r_[hashes, both], np.r_[flags, flags[second]])
+    return keys, owner, second, _counts(np.r_[hashes, both], np.r_[flags, flags[second]])
 
 
 def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text",
            chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``key, n_tokens, target_loss, background_loss, score`` of every row; ``target`` holds the target's keys."""
-    chunked = stage_table(_chunked(docs.select(
-        F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text")), chunk_bytes),
-        "lm-documents", compression="zstd")
+    chunked = stage_table(_chunked(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("_text")), chunk_bytes),
+                          "lm-documents", compression="none")
     # Keys alone are joined, by a shuffle at every size: the target's keys grow with the corpus.
-    marked = target.select(F.col(key).alias("key")).distinct().hint("merge")
-    flagged = stage_table(chunked.select("key", "_chunk", "_row", "_tokens").join(marked, "key", "left_semi")
-                          .groupBy("_chunk").agg(F.collect_list("_row").alias("rows"), F.sum("_tokens").alias("tokens")), "lm-target")
+    marked = target.select(F.col(key).alias("key"), F.lit(True).alias("in")).distinct().hint("merge")
+    each = (chunked.select("_chunk", "_at", F.posexplode(F.arrays_zip("keys", "tokens")).alias("i", "row"))
+            .select("_chunk", (F.col("_at") + F.col("i")).alias("row"), F.col("row.keys").alias("key"), "row.tokens"))
+    flagged = stage_table(
+        each.join(marked, "key", "left").groupBy("_chunk")
+        .agg(F.collect_list(F.when(F.col("in"), F.col("row"))).alias("rows"),
+             F.sum(F.when(F.col("in"), F.col("tokens"))).alias("tokens")), "lm-target")
     zero = F.lit(0)
-    size, n_all = chunked.agg(F.coalesce(F.sum(F.octet_length("_text")), zero), F.coalesce(F.sum("_tokens"), zero)).first()
+    size, n_all = chunked.agg(*(F.coalesce(F.sum(c), zero) for c in ("bytes", "n"))).first()
     n_target = flagged.agg(F.coalesce(F.sum("tokens"), zero)).first()[0]
     buckets = 1 + size // bucket_bytes
 
-    def vocabulary(batches) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, chunk_bytes):
-            items, n = np.unique(words(batch.column(0))[0], return_counts=True)
-            yield from _dealt(0, items, n, n, buckets).to_batches()
-
     def count(docs: pa.Table, flagged: pa.Table) -> pa.Table:
-        docs, *_, (items, _, n, k) = _chunk_counts(docs, flagged)
-        return _dealt(docs.column("_chunk")[0].as_py() if len(docs) else 0, items, n, k, buckets)
+        *_, (items, _, n, k) = _chunk_counts(docs, flagged)
+        return _dealt(docs.column("_chunk")[0].as_py(), items, n, k, buckets)
 
-    n_words = (chunked.select("_text").mapInArrow(vocabulary, "bucket long, " + RUN)
-               .groupBy("bucket").applyInArrow(_distinct, "v long").agg(F.coalesce(F.sum("v"), zero)).first()[0])
     targets = flagged.select("_chunk", "rows")
-    sums = (chunked.groupBy("_chunk").cogroup(targets.groupBy("_chunk")).applyInArrow(count, "bucket long, " + RUN)
-            .groupBy("bucket").applyInArrow(_shared, RUN))
-    known = sums.unionByName(targets, allowMissingColumns=True)
+    counted = (chunked.groupBy("_chunk").cogroup(targets.groupBy("_chunk"))
+               .applyInArrow(count, "bucket long, " + RUN).groupBy("bucket"))
+    # The distinct words come from the shuffle that the sums come from.
+    n_words = counted.applyInArrow(_words_of, "v long").agg(F.coalesce(F.sum("v"), zero).alias("v"))
+    known = counted.applyInArrow(_shared, RUN).unionByName(targets.withColumn("v", n_words.scalar()), allowMissingColumns=True)
 
     def score(docs: pa.Table, known: pa.Table) -> pa.Table:
-        docs, owner, second, (items, at, *counts) = _chunk_counts(docs, known)
+        keys, owner, second, (items, at, *counts) = _chunk_counts(docs, known)
+        n_words = pa.compute.max(known.column("v")).as_py()
         for _, shared, *totals in _opened(known.filter(pa.compute.is_valid(known.column("items")))):
             place = np.searchsorted(items, shared)
             for c, total in zip(counts, totals):
                 c[place] = total
-        lengths = np.bincount(owner, minlength=len(docs))
+        lengths = np.bincount(owner, minlength=len(keys))
         means = []
         for c, size in zip(counts, (n_all, n_target)):
             of_word, of_pair = c[at[:len(owner)]], c[at[len(owner):]]
@@ -264,11 +277,11 @@ def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str =
             before = of_word[second - 1]
             # A word never seen leaves all to the unigrams.
             p[second] = np.where(before > 0, BIGRAM * of_pair / np.maximum(before, 1) + (1 - BIGRAM) * p[second], p[second])
-            means.append(np.bincount(owner, -np.log(p), len(docs)) / np.maximum(lengths, 1))
+            means.append(np.bincount(owner, -np.log(p), len(keys)) / np.maximum(lengths, 1))
         background, aimed = means
         none = lengths == 0
         return pa.Table.from_arrays(
-            [docs.column("key"), pa.array(lengths), *(pa.array(x, mask=none) for x in (aimed, background, aimed - background))],
+            [keys, pa.array(lengths), *(pa.array(x, mask=none) for x in (aimed, background, aimed - background))],
             ["key", "n_tokens", "target_loss", "background_loss", "score"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()),

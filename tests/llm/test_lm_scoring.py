@@ -74,7 +74,7 @@ def test_word_hashes():
              "w" * (long // 2) + " q " + "w" * (long // 2 - 1) + " Q " + "v" * (long + 1)]
     expected = [(i, w) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
     for array in (pa.array(texts), pa.array(["cut", *texts]).slice(1)):
-        hashes, owner = lm_scoring.words(array)
+        hashes, owner = lm_scoring.words(*lm_scoring._flat(array))
         assert owner.tolist() == [i for i, _ in expected]
         seen = {}
         for (_, word), value in zip(expected, hashes.tolist(), strict=True):
