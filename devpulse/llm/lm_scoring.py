@@ -14,12 +14,11 @@ No model is held in one place. Documents are dealt to chunks of about
 ``CHUNK_BYTES`` (a longer text is a chunk of its own). A task counts each word
 and pair once a chunk; the counts meet by ranges of the item's hash (one entry
 a chunk, however often an item occurs there; as many ranges as the text has
-``BUCKET_BYTES``) and the sums return to the chunks that share an item. An
-item of a single chunk needs no return, its own count is the sum. A second
-pass over a chunk's texts adds up the losses. The driver gets the sizes: bytes,
-all tokens, the target's tokens. A document's score is
-the mean over its tokens of the target loss less the background loss: lower is
-closer to the target.
+``BUCKET_BYTES``) and what the other chunks have of an item returns to each
+chunk, in the order it sent its items. A second pass over a chunk's texts adds
+up the losses. The driver gets three sizes: bytes, all tokens, the target's
+tokens. A document's score is the mean over its tokens of the target loss less
+the background loss: lower is closer to the target.
 
 Words are cut at ASCII white space, A-Z lower-cased, and counted by 64-bit
 hash. Defined results: a document without words has 0 tokens and null losses
@@ -44,9 +43,9 @@ from devpulse.llm.batches import SLICE_BYTES, slices
 from devpulse.plans.staging import stage_table
 
 BIGRAM = 0.7
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 12_000_000
 #: Bytes of text for each range of hashes whose counts meet in one group.
-BUCKET_BYTES = 4_000_000
+BUCKET_BYTES = 8_000_000
 #: Bytes hashed at a time.
 STRETCH = 1 << 19
 
@@ -135,56 +134,47 @@ def _decoded(data: bytes, size: int) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(8, size).T).view(np.uint64).ravel()
 
 
-#: Ascending items of one chunk as differences, with their counts.
-RUN = "_chunk long, size int, items binary, n binary, k binary"
+#: A chunk's items of one range of hashes, ascending, as differences, with their counts.
+RUN = "bucket long, _chunk long, size int, items binary, n binary, k binary"
+#: For the items of a run, in its order, their counts in the other chunks.
+OTHERS = "_chunk long, bucket long, size int, n binary, k binary"
 
 
-def _run(chunk: int, items: np.ndarray, n: np.ndarray, k: np.ndarray) -> tuple:
-    return chunk, len(items), _encoded(np.diff(items, prepend=np.uint64(0))), _encoded(n), _encoded(k)
+def _dealt(chunk: int, items: np.ndarray, n: np.ndarray, k: np.ndarray, buckets: int) -> pa.Table:
+    """A chunk's counts as one run for each range of hashes that it has items of."""
+    bucket = ((items >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    bounds = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(items)] if len(items) else np.zeros(1, np.int64)
+    runs = [slice(a, b) for a, b in zip(bounds[:-1], bounds[1:])]
+    return pa.table({
+        "bucket": bucket[bounds[:-1]], "_chunk": np.full(len(runs), chunk), "size": np.diff(bounds).astype(np.int32),
+        "items": pa.array([_encoded(np.diff(items[r], prepend=np.uint64(0))) for r in runs], pa.binary()),
+        "n": pa.array([_encoded(n[r]) for r in runs], pa.binary()),
+        "k": pa.array([_encoded(k[r]) for r in runs], pa.binary())})
 
 
-def _opened(runs: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    return [(r["_chunk"], np.cumsum(_decoded(r["items"], r["size"])),
-             *(_decoded(r[c], r["size"]).astype(np.int64) for c in ("n", "k")))
-            for r in runs.select(["_chunk", "size", "items", "n", "k"]).to_pylist()]
+def _column(runs: pa.Table, name: str) -> list[np.ndarray]:
+    return [_decoded(data.as_py(), size.as_py()) for data, size in zip(runs.column(name), runs.column("size"))]
 
 
-def _table(rows: list[tuple], with_bucket: bool) -> pa.Table:
-    names = ["_chunk", "size", "items", "n", "k"]
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    if with_bucket:
-        names, types = ["bucket", *names], [pa.int64(), *types]
-    columns = list(zip(*rows)) or [()] * len(names)
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+def _items_of(runs: pa.Table) -> list[np.ndarray]:
+    return [np.cumsum(differences) for differences in _column(runs, "items")]
 
 
-def _dealt(chunk: int, items: np.ndarray, n: np.ndarray, k: np.ndarray, buckets: int) -> pa.Table:
-    """A chunk's counts as one run for each range of hashes that it has items of."""
-    bucket = ((items >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    starts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1] if len(bucket) else []
-    return _table([(int(bucket[a]), *_run(chunk, items[a:b], n[a:b], k[a:b]))
-                   for a, b in zip(starts, np.r_[starts[1:], len(items)].astype(int))], True)
-
-
-def _shared(runs: pa.Table) -> pa.Table:
-    """Each chunk's items that other chunks of the bucket have too, with the sums over all chunks."""
-    opened = _opened(runs)
-    distinct, at = np.unique(np.concatenate([items for _, items, _, _ in opened]), return_inverse=True)
-    sums = [np.zeros(len(distinct), np.int64) for _ in range(2)]
-    for total, part in zip(sums, (2, 3)):
-        np.add.at(total, at, np.concatenate([run[part] for run in opened]))
-    out, start = [], 0
-    for chunk, items, n, _ in opened:
-        place = at[start:start + len(items)]
-        start += len(items)
-        more = sums[0][place] > n
-        if more.any():
-            out.append(_run(chunk, items[more], *(x[place[more]] for x in sums)))
-    return _table(out, False)
+def _others(runs: pa.Table) -> pa.Table:
+    """For each run of the range, what the other chunks count of its items."""
+    distinct, at = np.unique(np.concatenate(_items_of(runs)), return_inverse=True)
+    starts = np.cumsum(runs.column("size").to_numpy())[:-1]
+    out = {c: runs.column(c) for c in ("_chunk", "bucket", "size")}
+    for name in ("n", "k"):
+        own = np.concatenate(_column(runs, name)).astype(np.int64)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, at, own)
+        out[name] = pa.array([_encoded(x) for x in np.split(total[at] - own, starts)], pa.binary())
+    return pa.table(out)
 
 
 def _words_of(runs: pa.Table) -> pa.Table:
-    items = np.unique(np.concatenate([items for _, items, _, _ in _opened(runs)]))
+    items = np.unique(np.concatenate(_items_of(runs)))
     return pa.table({"v": [int((items & np.uint64(1) == 0).sum())]})
 
 
@@ -257,18 +247,17 @@ def scores(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str =
 
     targets = flagged.select("_chunk", "rows")
     counted = (chunked.groupBy("_chunk").cogroup(targets.groupBy("_chunk"))
-               .applyInArrow(count, "bucket long, " + RUN).groupBy("bucket"))
+               .applyInArrow(count, RUN).groupBy("bucket"))
     # The distinct words come from the shuffle that the sums come from.
     n_words = counted.applyInArrow(_words_of, "v long").agg(F.coalesce(F.sum("v"), zero).alias("v"))
-    known = counted.applyInArrow(_shared, RUN).unionByName(targets.withColumn("v", n_words.scalar()), allowMissingColumns=True)
+    known = counted.applyInArrow(_others, OTHERS).unionByName(targets.withColumn("v", n_words.scalar()), allowMissingColumns=True)
 
     def score(docs: pa.Table, known: pa.Table) -> pa.Table:
-        keys, owner, second, (items, at, *counts) = _chunk_counts(docs, known)
+        keys, owner, second, (_, at, *counts) = _chunk_counts(docs, known)
         n_words = pa.compute.max(known.column("v")).as_py()
-        for _, shared, *totals in _opened(known.filter(pa.compute.is_valid(known.column("items")))):
-            place = np.searchsorted(items, shared)
-            for c, total in zip(counts, totals):
-                c[place] = total
+        # The runs in the order of their ranges are the chunk's items in ascending order.
+        runs = known.filter(pa.compute.is_valid(known.column("bucket"))).sort_by("bucket")
+        counts = [np.add(c, np.concatenate([*_column(runs, name), c[:0]]).astype(np.int64)) for c, name in zip(counts, ("n", "k"))]
         lengths = np.bincount(owner, minlength=len(keys))
         means = []
         for c, size in zip(counts, (n_all, n_target)):
