@@ -3,16 +3,21 @@
 1. Every text gets a 64-bit fingerprint (one map over the rows); rows of the
    same fingerprint are collapsed by a partial aggregate, so copies never meet
    in a pair.
-2. A vantage-point tree over a sample of the distinct fingerprints (a fixed
-   share of them, at most ``SAMPLE_PER_SHARD`` for each of at most
-   ``MAX_SHARDS`` shards) is sent to the tasks. A node holds a vantage point
-   and a radius. Two fingerprints within ``bits`` of each other differ by no
-   more than ``bits`` in their distances to the vantage point (triangle
-   inequality), so it is enough that those on one side within ``bits`` of the
-   boundary visit the other side too: every linked pair meets in a shard.
-3. A shard continues the same split in memory down to small leaves, where
-   pairs are compared exactly. It reports no pairs but each linked
-   fingerprint's local component, so a dense group costs one row a member.
+2. Two vantage-point trees, one for each half of the fingerprint's bits, over a
+   sample of the distinct fingerprints (a fixed share of them, at most
+   ``SAMPLE_PER_SHARD`` for each of at most ``MAX_SHARDS`` shards) are sent to
+   the tasks. A node holds a vantage point and a radius; distances are taken on
+   the tree's half. Of two fingerprints within ``bits`` of each other one half
+   differs by ``bits // 2`` at most, so there their distances to the vantage
+   point differ by no more than that (triangle inequality), and it is enough
+   that those on one side within ``bits // 2`` of the boundary visit the other
+   side too: every linked pair meets in a shard of one of the trees. Over whole
+   fingerprints the boundary is ``bits`` wide, and the copies that visit a
+   second side grow several times as fast with the number of shards.
+3. A shard continues the same split in memory, then one over whole fingerprints
+   where the half separates no further, down to small leaves, where pairs are
+   compared exactly. It reports no pairs but each linked fingerprint's local
+   component, so a dense group costs one row a member.
 4. A fingerprint seen in several shards ties their local components together;
    the graph of these components is joined by minimum labels with pointer
    jumping, each round written to the shared folder.
@@ -26,7 +31,7 @@ rows give repeated results. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -40,12 +45,16 @@ from devpulse.llm.batches import slices
 from devpulse.plans.staging import stage_table
 
 SEED = 42
-#: Distinct fingerprints a shard is meant to hold, and shards and sample rows at most.
+#: Distinct fingerprints a shard is meant to hold, and shards (of one tree) and sample rows at most.
 SHARD = 4096
-MAX_SHARDS = 1 << 16
+MAX_SHARDS = 1 << 14
 SAMPLE_PER_SHARD = 64
 #: Fingerprints compared pair by pair in a leaf.
 LEAF = 512
+#: A split must leave at most this share of the pairs that could meet.
+PAIRS_LEFT = 0.9
+WHOLE = np.uint64(2**64 - 1)
+HALVES = np.array([2**32 - 1, 2**64 - 2**32], np.uint64)
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -86,39 +95,39 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def choose_split(points: np.ndarray, bits: int, rng: np.random.Generator) -> tuple[int, int, bool] | None:
+def choose_split(points: np.ndarray, bits: int, rng: np.random.Generator,
+                 mask: np.uint64 = WHOLE) -> tuple[int, int, bool] | None:
     """Vantage point, radius and whether inner points visit the outer side; None if no split separates.
 
-    Points within the radius are inside. Of a few vantage points, the radius
-    between the outer thirds with the fewest points at the boundary is taken.
+    Points within the radius are inside; distances count the bits of ``mask``.
+    Of a few vantage points and all radii, the split that leaves the fewest
+    pairs is taken, copies at the boundary included.
     """
-    best = None
-    for vantage in rng.choice(points, min(8, len(points)), replace=False):
-        count = np.bincount(distance(points, vantage), minlength=65)
-        cum = np.cumsum(count)
-        for radius in range(65):
-            inside, outside = cum[radius], len(points) - cum[radius]
-            if min(inside, outside) < 0.2 * len(points):
-                continue
-            inner = count[max(0, radius - bits + 1):radius + 1].sum()
-            outer = count[radius + 1:radius + bits + 1].sum()
-            size = max(inside, outside + inner) if inner <= outer else max(inside + outer, outside)
-            cost = (min(inner, outer), size)
-            if size <= 0.9 * len(points) and min(inner, outer) <= 0.6 * len(points) and (best is None or cost < best[0]):
-                best = cost, (int(vantage), radius, bool(inner <= outer))
+    best, n = None, len(points)
+    for vantage in rng.choice(points, min(8, n), replace=False):
+        cum = np.concatenate([np.zeros(bits + 1), np.cumsum(np.bincount(
+            distance(points & mask, vantage & mask), minlength=65)), np.full(bits + 1, n)])
+        at = np.arange(bits + 1, bits + 66)  # radius 0 to 64
+        inside, outside = cum[at], n - cum[at]
+        inner, outer = cum[at] - cum[at - bits], cum[at + bits] - cum[at]
+        left = np.where(inner <= outer, inside ** 2 + (outside + inner) ** 2, (inside + outer) ** 2 + outside ** 2)
+        radius = int(left.argmin())
+        if left[radius] <= PAIRS_LEFT * n * n and (best is None or left[radius] < best[0]):
+            best = left[radius], (int(vantage), radius, bool(inner[radius] <= outer[radius]))
     return best and best[1]
 
 
-def sides(points: np.ndarray, split: tuple[int, int, bool], bits: int) -> tuple[np.ndarray, np.ndarray]:
+def sides(points: np.ndarray, split: tuple[int, int, bool], bits: int,
+          mask: np.uint64 = WHOLE) -> tuple[np.ndarray, np.ndarray]:
     """Which points go inside and which outside; those at the boundary go both ways."""
     vantage, radius, inner_visits = split
-    d = distance(points, np.uint64(vantage)).astype(np.int64)
+    d = distance(points & mask, np.uint64(vantage) & mask).astype(np.int64)
     if inner_visits:
         return d <= radius, d > radius - bits
     return d <= radius + bits, d > radius
 
 
-def build_tree(sample: np.ndarray, shards: int, bits: int) -> list:
+def build_tree(sample: np.ndarray, shards: int, bits: int, mask: np.uint64 = WHOLE) -> list:
     """Nested ``[split, inside, outside]``; a leaf is its shard number.
 
     A part of the sample is split until it is no more than one of ``shards``
@@ -129,16 +138,16 @@ def build_tree(sample: np.ndarray, shards: int, bits: int) -> list:
     enough = max(8, len(sample) // shards)
 
     def grow(points: np.ndarray):
-        split = choose_split(points, bits, rng) if len(points) > enough else None
+        split = choose_split(points, bits, rng, mask) if len(points) > enough else None
         if split is None:
             return next(numbered)
-        inside, outside = sides(points, split, bits)
+        inside, outside = sides(points, split, bits, mask)
         return [split, grow(points[inside]), grow(points[outside])]
 
     return grow(np.unique(sample))
 
 
-def route(points: np.ndarray, tree, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+def route(points: np.ndarray, tree, bits: int, mask: np.uint64 = WHOLE) -> Iterator[tuple[int, np.ndarray]]:
     """``(shard, points)`` for every shard a batch of fingerprints reaches."""
     stack = [(tree, points)]
     while stack:
@@ -146,7 +155,7 @@ def route(points: np.ndarray, tree, bits: int) -> Iterator[tuple[int, np.ndarray
         if isinstance(node, int):
             yield node, some
             continue
-        inside, outside = sides(some, node[0], bits)
+        inside, outside = sides(some, node[0], bits, mask)
         stack += [(n, some[m]) for n, m in ((node[1], inside), (node[2], outside)) if m.any()]
 
 
@@ -163,18 +172,25 @@ def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = parent[parent]
 
 
-def local_components(points: np.ndarray, bits: int) -> np.ndarray:
-    """For distinct, sorted fingerprints the position of each one's smallest component member."""
+def local_components(points: np.ndarray, bits: int, halves: Iterable[int] = (0, 1)) -> np.ndarray:
+    """For distinct, sorted fingerprints the position of each one's smallest component member.
+
+    Finds the links that differ by ``bits // 2`` at most in one of ``halves``: with both, all.
+    """
     parent = np.arange(len(points))
     rng = np.random.default_rng(SEED)
-    stack = [parent.copy()]
+    stack = [(parent.copy(), bits // 2, HALVES[h]) for h in halves]
     while stack:
-        at = stack.pop()
-        split = choose_split(points[at], bits, rng) if len(at) > LEAF else None
-        if split:
-            inside, outside = sides(points[at], split, bits)
-            stack += [at[inside], at[outside]]
-            continue
+        at, slack, mask = stack.pop()
+        if len(at) > LEAF:
+            split = choose_split(points[at], slack, rng, mask)
+            if split is None and mask != WHOLE:
+                slack, mask = bits, WHOLE
+                split = choose_split(points[at], slack, rng, mask)
+            if split:
+                inside, outside = sides(points[at], split, slack, mask)
+                stack += [(at[inside], slack, mask), (at[outside], slack, mask)]
+                continue
         for i in range(0, len(at), LEAF):  # more than one block only where no split separates
             for j in range(i, len(at), LEAF):
                 a, b = at[i:i + LEAF], at[j:j + LEAF]
@@ -192,22 +208,25 @@ def _shard_links(fps: DataFrame, bits: int) -> DataFrame:
     shards = 1
     while shards < min(MAX_SHARDS, n / SHARD):
         shards *= 2
-    tree = 0
+    trees = [0, 0]
     if shards > 1:
         every = max(1, n // (shards * SAMPLE_PER_SHARD))
         sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).limit(2 * shards * SAMPLE_PER_SHARD)
-        tree = build_tree(sample.toArrow()["fp"].to_numpy().view(np.uint64), shards, bits)
+        points = sample.toArrow()["fp"].to_numpy().view(np.uint64)
+        trees = [build_tree(points, shards, bits // 2, mask) for mask in HALVES]
 
     def scatter(batches):
         for batch in batches:
             points = batch.column(0).to_numpy().view(np.uint64)
-            for shard, some in route(points, tree, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), shard, np.int32)), pa.array(some.view(np.int64))], ["shard", "fp"])
+            for half, tree in enumerate(trees):
+                for shard, some in route(points, tree, bits // 2, HALVES[half]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), 2 * shard + half, np.int32)), pa.array(some.view(np.int64))],
+                        ["shard", "fp"])
 
-    def search(table: pa.Table) -> pa.Table:
+    def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         points = np.unique(table["fp"].to_numpy().view(np.uint64))
-        parent = local_components(points, bits)
+        parent = local_components(points, bits, [key[0].as_py() % 2])
         linked = np.bincount(parent, minlength=len(points))[parent] > 1
         return pa.table({"fp": points[linked].view(np.int64), "root": points[parent[linked]].view(np.int64)})
 
