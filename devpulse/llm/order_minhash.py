@@ -22,10 +22,16 @@ fingerprints. Positions hold up to 2**26 words, more than a row can.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from devpulse.plans.staging import stage_table
+
 K, LENGTH, BINS_LOG2 = 3, 2, 6
+#: Sampled places that make the bounds of one part, about.
+PER_PART = 32
 POSITION = 26  # bits of a position in a key
 HASH = 63 - POSITION  # bits of a hash in a key
 
@@ -91,45 +97,56 @@ def likeness(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(bins(a), bins(b)))
 
 
-def with_next(df: DataFrame, key: str, values: list[str], cells: int = 4096) -> DataFrame:
-    """Add ``next``, a struct of the ``values`` of the row after, by ascending key (after the last: the first).
+def with_parts(df: DataFrame, key: str, by: str) -> tuple[DataFrame, int]:
+    """Add ``_place`` (the key, nulls first, and the hash of ``by``), ``_part`` and ``_first``; and the number of parts.
 
-    No global window: the keys' histogram over ``cells`` equal ranges (counts
-    only, collected) deals the rows to parts of consecutive keys, and the first
-    row of a part also goes to the part before as its last row. Null keys come
-    first; equal keys are ordered by the values. A cell is not divided: keys
-    crowded into a few cells of their range give larger parts.
+    Parts are consecutive places and of like size, however the keys lie and
+    however many rows share one: their bounds come from a weighted sample of the
+    places (about ``PER_PART`` a part, chosen by hash, equal ones counted
+    together). A bound is a row's own place; ``_first`` marks the rows on it.
     """
-    spark = df.sparkSession
-    low, high, total, nulls = df.agg(F.min(key), F.max(key), F.count("*"), F.count_if(F.col(key).isNull())).first()
-    low, high = (0, 0) if low is None else (low, high)
-    low -= bool(nulls)
-    width = (high - low) // cells + 1
-    ordered = df.withColumn("_ord", F.coalesce(F.col(key).cast("long"), F.lit(low)))
-    cell = F.floor((F.col("_ord") - low) / width).cast("int") if width < 1 << 50 else \
-        F.expr(f"cast((_ord - {low}) div {width} as int)")
-    per_part = -(-total // (8 * int(spark.conf.get("spark.sql.shuffle.partitions")))) or 1
-    part_of, heads, seen = [0] * cells, [], 0
-    for c, n, first in (ordered.groupBy(cell.alias("c")).agg(F.count("*"), F.min("_ord")).orderBy("c").collect()):
-        if not heads or seen >= per_part * len(heads):
-            heads.append(first)
-        part_of[c] = len(heads) - 1
+    parts = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(F.col(key).isNotNull().alias("known"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"),
+                     F.xxhash64(by).alias("hash"))
+    places = stage_table(df.select(place.alias("place")).select("place.*"), "places")
+    columns = places.columns
+    total, lowest = places.agg(F.count("*"), F.min(F.struct(*columns))).first()
+    every = max(1, total // (parts * PER_PART))
+    sample = (places.where(F.pmod(F.xxhash64(*columns), F.lit(every)) == 0)
+              .groupBy(*columns).count().orderBy(*columns).collect())
+    bounds, seen, per_part = [tuple(lowest)] if total else [], 0, sum(r["count"] for r in sample) / parts
+    for *at, n in sample:
+        if seen >= per_part * len(bounds) and tuple(at) != bounds[-1]:
+            bounds.append(tuple(at))
         seen += n
+    listed = F.from_json(F.lit(json.dumps([dict(zip(columns, at)) for at in bounds])),
+                         "array<struct<known: boolean, key: bigint, hash: bigint>>")
+    n = max(1, len(bounds))
+    # the number of bounds up to a place, by halving steps
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
+    part = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(listed, at + step - 1) <= F.col("_place"), at + step).otherwise(at)) - 1
+    return (df.withColumn("_place", place).withColumn("_part", part)
+            .withColumn("_first", F.col("_place") == F.get(listed, F.col("_part"))), n)
+
+
+def with_next(df: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """Add ``next``, a struct of the ``values`` of the row after, by ascending key (after the last: the first).
 
-    def listed(numbers: list[int], kind: str) -> Column:
-        return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
-
-    parts = max(1, len(heads))
-    here = F.get(listed(part_of, "int"), cell)
-    before = F.struct(F.pmod(F.col("_part") - 1, F.lit(parts)).alias("part"), F.lit(True).alias("ghost"))
+    No global window: the first rows of a part (``with_parts``) also go to the
+    part before as its last ones. Null keys come first; equal keys are ordered
+    by the hash of the first value, then by the values. Only rows equal in key
+    and first value always share a part.
+    """
+    placed, n = with_parts(df, key, values[0])
+    before = F.struct(F.pmod(F.col("_part") - 1, F.lit(n)).alias("part"), F.lit(True).alias("ghost"))
     to = F.array(F.struct(F.col("_part").alias("part"), F.lit(False).alias("ghost")))
-    ordered = (ordered.withColumn("_part", here)
-               .withColumn("_to", F.explode(F.when(F.col("_ord") == F.get(listed(heads, "bigint"), "_part"),
-                                                   F.concat(to, F.array(before))).otherwise(to)))
-               .select("*", F.col("_to.part").alias("_at"), F.col("_to.ghost").alias("_ghost")).drop("_to", "_part"))
-    follow = Window.partitionBy("_at").orderBy("_ghost", "_ord", *values)
+    ordered = (placed.withColumn("_to", F.explode(F.when(F.col("_first"), F.concat(to, F.array(before))).otherwise(to)))
+               .select("*", F.col("_to.part").alias("_at"), F.col("_to.ghost").alias("_ghost"))
+               .drop("_to", "_part", "_first"))
+    follow = Window.partitionBy("_at").orderBy("_ghost", "_place", *values)
     return (ordered.withColumn("next", F.lead(F.struct(*values)).over(follow))
-            .where(~F.col("_ghost")).drop("_at", "_ghost", "_ord"))
+            .where(~F.col("_ghost")).drop("_at", "_ghost", "_place"))
 
 
 def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
