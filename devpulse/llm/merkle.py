@@ -10,10 +10,12 @@
    from its own on, so log2(fanout) equijoins give it its whole run, and no
    join makes more rows than there are nodes. For a binary tree the one offset
    is XOR 1. The rows of slot zero then hold the run in order and emit the
-   parents. A level is a written table.
+   parents. A level is a written table, and so is what its nodes hold halfway:
+   each join reads its input twice, so the plan doubles with every join that
+   no written table parts from the one before.
 3. The proof of a node is its siblings left and right of it, then those of its
    parent, up to the root: from the top down each level is joined with the
-   paths of the level above.
+   paths of the level above, which are written.
 
 Digests are kept as 32 bytes and hashed as hexadecimal text. The groups' roots
 are the leaves of the last tree, ordered by group (null first, bytewise).
@@ -38,6 +40,8 @@ DIGEST = 32
 #: ``monotonically_increasing_id`` keeps the row's place in its partition in so many bits.
 PLACE_BITS = 33
 _PATH = "array<struct<left:binary,right:binary>>"
+#: Doublings of the offset in one plan.
+DOUBLINGS = 2
 
 
 def digest(value: Column) -> Column:
@@ -76,17 +80,19 @@ def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], name:
     return placed, stage_table(shifts, f"{name}-parts")
 
 
-def with_runs(nodes: DataFrame, fanout: int, also: Sequence[str] = ()) -> DataFrame:
+def with_runs(nodes: DataFrame, fanout: int, also: Sequence[str] = (), name: str = "merkle") -> DataFrame:
     """``tree, idx, n, slot, run, w`` and ``also``: ``w`` is the digests of the node's run from its own slot on, cyclic.
 
-    ``nodes`` has ``tree, idx, n, h``: ``n`` nodes in the tree at this level.
+    ``nodes`` has ``tree, idx, n, h``: ``n`` nodes in the tree at this level. Every ``DOUBLINGS`` joins the rows are written.
     """
     slot = F.col("idx") % fanout
     now = nodes.select("tree", "idx", "n", slot.alias("slot"),
                        F.least(F.lit(fanout).cast("long"), F.col("n") - F.col("idx") + slot).alias("run"),
                        F.col("h").alias("w"), *also)
-    offset = 1
+    offset = joins = 1
     while offset < fanout:
+        if joins > DOUBLINGS:
+            now, joins = stage_table(now, f"{name}-runs-{offset}"), 1
         # What the node at slot + offset holds, addressed to this one.
         sibling = F.col("idx") - F.col("slot") + (F.col("slot") - offset + F.col("run")) % F.col("run")
         missing = F.least(F.lit(offset).cast("long"), F.col("run") - offset)
@@ -95,20 +101,20 @@ def with_runs(nodes: DataFrame, fanout: int, also: Sequence[str] = ()) -> DataFr
         now = now.join(sent, ["tree", "idx"], "left").select(
             "tree", "idx", "n", "slot", "run",
             F.when(F.col("more").isNull(), F.col("w")).otherwise(F.concat("w", "more")).alias("w"), *also)
-        offset *= 2
+        offset, joins = 2 * offset, joins + 1
     return now
 
 
 def climb(leaves: DataFrame, fanout: int, name: str, also: Sequence[str] = ()) -> list[DataFrame]:
     """The levels of all trees, leaves first, each written (columns of ``with_runs``)."""
     n = leaves.agg(F.max("n")).first()[0] or 0
-    levels = [stage_table(with_runs(leaves, fanout, also), f"{name}-level-0")]
+    levels = [stage_table(with_runs(leaves, fanout, also, name), f"{name}-level-0")]
     while n > 1:
         n = -(-n // fanout)
         parents = levels[-1].where("n > 1 AND slot = 0").select(
             "tree", F.floor(F.col("idx") / fanout).cast("long").alias("idx"),
             F.ceil(F.col("n") / fanout).cast("long").alias("n"), digest(hexed(F.col("w"))).alias("h"))
-        levels.append(stage_table(with_runs(parents, fanout), f"{name}-level-{len(levels)}"))
+        levels.append(stage_table(with_runs(parents, fanout, name=name), f"{name}-level-{len(levels)}"))
     return levels
 
 
@@ -117,10 +123,11 @@ def roots(levels: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, [level.where("n = 1").select("tree", F.col("w").alias("h")) for level in levels])
 
 
-def paths(levels: Sequence[DataFrame], tops: DataFrame, fanout: int, also: Sequence[str] = ()) -> DataFrame:
+def paths(levels: Sequence[DataFrame], tops: DataFrame, fanout: int, name: str, also: Sequence[str] = ()) -> DataFrame:
     """``tree, idx, h, path``, the other columns of ``tops`` and ``also``, for the lowest level.
 
-    ``tops`` has ``tree, path`` (what comes above a tree's root) and columns to hand down.
+    ``tops`` (written) has ``tree, path`` (what comes above a tree's root) and columns to hand down. The paths of
+    the other levels are written.
     """
     down = [c for c in tops.columns if c not in ("tree", "path")]
     tail = F.col("run") - F.col("slot")
@@ -138,7 +145,7 @@ def paths(levels: Sequence[DataFrame], tops: DataFrame, fanout: int, also: Seque
                      .join(upper, ["tree", "_up"])
                      .select(*head, F.concat(own, "_rest").alias("path"), *down, *extra))
             here = here.union(inner)
-        above = here
+        above = stage_table(here, f"{name}-paths-{i}") if i else here
     return above
 
 
@@ -168,8 +175,9 @@ def proofs(df: DataFrame, columns: Sequence[str], group: str, order: str, fanout
         "merkle-subroots")
     upper = climb(subroots, fanout, "merkle-upper")
     top = stage_table(roots(upper).select("tree", F.array().cast(_PATH).alias("path"), F.col("h").alias("root")), "merkle-root")
-    tops = paths(upper, top, fanout).select(F.col("idx").alias("tree"), "path", F.col("h").alias("subroot"), "root")
-    found = paths(levels, tops, fanout, carried)
+    tops = stage_table(paths(upper, top, fanout, "merkle-upper").select(
+        F.col("idx").alias("tree"), "path", F.col("h").alias("subroot"), "root"), "merkle-tops")
+    found = paths(levels, tops, fanout, "merkle", carried)
     return found.select(F.col("_key").alias(order), hexed(F.col("h")).alias("leaf"), hexed(F.col("subroot")).alias("subroot"),
                         hexed(F.col("root")).alias("root"), "path", *(F.col(f"_also_{c}").alias(c) for c in also))
 

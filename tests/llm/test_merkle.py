@@ -108,3 +108,17 @@ def test_query_matches_sql(spark):
     for r in queries.QUERIES[name](spark, SF001).collect():
         tampered = zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and any("A" <= c <= "Z" for c in docs[r.doc_id] or "")
         assert r.verified == (not tampered)
+
+
+def test_plans_do_not_double_with_the_offsets(spark):
+    """A level of sixteens reads its rows four times a plan (sixteen times if every join adds its two inputs' plans)."""
+    nodes = spark.range(1000).select(F.lit(0).cast("long").alias("tree"), F.col("id").alias("idx"),
+                                     F.lit(1000).cast("long").alias("n"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("h"))
+    for fanout, doublings in ((16, 2), (256, 2)):
+        plan = merkle.with_runs(nodes, fanout)._jdf.queryExecution().analyzed()
+        assert plan.collectLeaves().size() == 2 ** doublings
+    levels = merkle.climb(nodes, 2, "test-climb")
+    top = merkle.roots(levels).selectExpr("tree", "cast(array() as array<struct<left:binary,right:binary>>) AS path")
+    found = merkle.paths(levels, top, 2, "test-climb")
+    assert len(levels) == 11 and found.count() == 1000 and found.where("size(path) = 10").count() == 1000
+    assert found._jdf.queryExecution().analyzed().collectLeaves().size() <= 3 + len(levels)
