@@ -21,9 +21,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,8 @@ from pyspark.sql import types as T
 from devpulse.llm.batches import slices
 from devpulse.llm.wordbpe import END, split_normal, vocabulary
 
-#: Chunks, and words, kept by a Python worker.
-TABLE_CHUNKS = 400_000
+#: Words kept by a Python worker.
+TABLE_WORDS = 600_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -101,42 +103,55 @@ class MergeTable:
 
 
 class Encoder:
-    """Texts to ids with bounded tables of the chunks between white space and of their words."""
+    """Texts to ids with a bounded table of words.
+
+    The chunks between white space are numbered by Arrow's dictionaries, so that Python only sees the distinct ones
+    of a call; the ids of all chunks are then gathered by their numbers.
+    """
 
     def __init__(self, path: str):
         self.table = MergeTable(path)
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, new: set[str]) -> None:
-        """Add the ids of new chunks: each distinct new word among them is encoded once."""
-        special = self.table.vocabulary.marked
-        new = new.difference(special)
-        whole = list(filter(str.isalpha, new))  # a chunk of letters is one word
-        mixed = list(new.difference(whole))
-        split = [split_normal(c) for c in mixed]
-        every = set(chain.from_iterable(split)).union(whole)
-        if len(self.words) + len(every) > TABLE_CHUNKS:
-            self.words.clear()
-        words = list(every.difference(self.words))
-        self.words.update(zip(words, self.table.encode_words(words)))
+        #: What every table begins with: the empty chunk and the special strings.
+        self.fixed = {"": b""} | {s: np.array([i], self.table.dtype).tobytes()
+                                  for s, i in self.table.vocabulary.stand_ins.items()}
+        self.words: dict[str, bytes] = self.fixed.copy()
+
+    def _ids(self, chunks: Sequence[str]) -> list[bytes]:
+        """The ids of each chunk, packed; each distinct new word among them is encoded once."""
+        ids = list(map(self.words.get, chunks))
+        left = [i for i, found in enumerate(ids) if found is None]
+        # Most are letters with symbols after them, which needs no pattern.
+        heads = [chunks[i].rstrip(punctuation) for i in left]
+        tails = [chunks[i][len(head):] for i, head in zip(left, heads)]
+        mixed = {i: split_normal(chunks[i]) for i, head in zip(left, heads) if not head.isalpha()}
+        every = set(filter(str.isalpha, heads)).union(tails, *mixed.values())
+        new = list(every.difference(self.words))
+        if len(self.words) + len(new) > TABLE_WORDS:
+            self.words = self.fixed.copy()
+            new = list(every.difference(self.words))
+        self.words.update(zip(new, self.table.encode_words(new)))
         get = self.words.__getitem__
-        self.known.update(zip(whole, map(get, whole)))
-        self.known.update(zip(mixed, [b"".join(map(get, s)) for s in split]))
-        self.known.update((s, np.array([i], self.table.dtype).tobytes()) for s, i in special.items())
+        for i, head, tail in zip(left, heads, tails):
+            ids[i] = b"".join(map(get, mixed[i])) if i in mixed else get(head) + get(tail)
+        return ids
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text as an unsigned array."""
-        split = [self.table.vocabulary.chunks(t) if t else [] for t in texts]
-        every = set(chain.from_iterable(split))
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > TABLE_CHUNKS:
-            self.known.clear()
-            new = every
-        self._learn(new)
-        get = self.known.__getitem__
-        for listed in split:
-            yield np.frombuffer(b"".join(map(get, listed)), self.table.dtype)
+        spaced = self.table.vocabulary.spaced
+        chunks = pc.ascii_split_whitespace(pa.array([spaced(t) if t else "" for t in texts], pa.large_string()))
+        coded = chunks.values.dictionary_encode()
+        index = coded.indices.to_numpy()
+        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.table.dtype.itemsize
+        first = np.cumsum(lengths) - lengths
+        n = lengths[index]
+        ends = np.cumsum(n)
+        at = np.repeat(first[index] - ends + n, n)
+        at += np.arange(len(at))
+        out = np.frombuffer(b"".join(ids), self.table.dtype)[at]
+        bounds = np.r_[0, ends][chunks.offsets.to_numpy()].tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            yield out[a:b]
 
 
 @lru_cache(2)

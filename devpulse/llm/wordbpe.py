@@ -28,23 +28,29 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 END = "</w>"
 
 
-def _char_class(major: str) -> str:
+#: No letters or digits lie from here on: unassigned planes, tags, variation selectors, private use.
+LAST_LETTERS = 0x40000
+
+
+def _char_class(major: str, end: int = LAST_LETTERS) -> str:
     """The code points of a general category as the inside of a character class.
 
     Asked from the tokenizer library's own regular expressions: its Unicode
     version decides, and Python's is another.
     """
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, end)]))
     split = pre_tokenizers.Split(Regex(rf"\p{{{major}}}+"), "removed", invert=True)
     return "".join(f"\\U{ord(t[0]):08x}-\\U{ord(t[-1]):08x}" for t, _ in split.pre_tokenize_str(every))
 
 
+SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+ASCII_WORDS = re.compile(rf"{SHORT}|[a-z]+|[0-9]|[^\s a-z0-9]+", re.ASCII)
+
+
 @lru_cache(1)
-def _patterns() -> tuple[re.Pattern, re.Pattern]:
-    short = "'s|'t|'re|'ve|'m|'ll|'d"
+def _all_words() -> re.Pattern:
     letters, digits = _char_class("L"), _char_class("N")
-    return (re.compile(rf"{short}|[a-z]+|[0-9]|[^\s a-z0-9]+", re.ASCII),
-            re.compile(f"{short}|[{letters}]+|[{digits}]|[^{SPACE}{letters}{digits}]+"))
+    return re.compile(f"{SHORT}|[{letters}]+|[{digits}]|[^{SPACE}{letters}{digits}]+")
 
 
 _NFC, _LOWER = normalizers.NFC(), normalizers.Lowercase()
@@ -105,8 +111,7 @@ def split_normal(text: str) -> list[str]:
     """Words of an already normalised text without special strings."""
     if text.isalpha():
         return [text]
-    ascii_words, words = _patterns()
-    return (ascii_words if text.isascii() else words).findall(text)
+    return (ASCII_WORDS if text.isascii() else _all_words()).findall(text)
 
 
 def chunks_of(text: str) -> list[str]:
@@ -143,6 +148,8 @@ class Vocabulary:
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         #: Special strings as ``chunks`` gives them: the capital keeps them apart from every normalised text.
         self.marked: dict[str, int] = {"S" + s: i for s, i in self.special.items()}
+        #: Special strings as ``spaced`` gives them, free of white space.
+        self.stand_ins: dict[str, int] = {f"S{i}": i for i in self.special.values()}
         self.letters = byte_letters()
         size = max([*self.ids.values(), *self.special.values()]) + 1
         self.tokens = [""] * size
@@ -150,6 +157,16 @@ class Vocabulary:
             self.tokens[i] = token
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
+    def spaced(self, text: str) -> str:
+        """The normalised text, special strings as ``stand_ins`` between spaces.
+
+        Cut at ASCII white space, it gives the special strings and stretches that no word crosses.
+        """
+        if self.special_pattern is None or not any(s in text for s in self.special):
+            return normalise(text)
+        return " ".join(f"S{self.special[p]}" if p in self.special else normalise(p)
+                        for p in self.special_pattern.split(text))
+
     def chunks(self, text: str) -> list[str]:
         """The white-space-free chunks and the special strings (as ``marked``) of a raw text, in order."""
         if self.special_pattern is None or not any(s in text for s in self.special):
