@@ -17,7 +17,6 @@ file index does.
 from __future__ import annotations
 
 import uuid
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,8 +90,9 @@ def _beyond(spark: SparkSession, path: str, compacted: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    # File names in the metadata are URIs; escaped directory names are escaped twice there.
-    return spark.read.option("basePath", path).parquet(*map(unquote, names))
+    """Rows of the named files. The sink's log knows the files, so none is looked up, and the others are not opened."""
+    names = ["'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names]
+    return spark.read.parquet(path).where(f"_metadata.file_path IN ({', '.join(names)})")
 
 
 def compact(spark: SparkSession, path: str, compacted: str, partition_by, target_bytes: int = TARGET_BYTES) -> str | None:

@@ -123,6 +123,23 @@ def test_packs_hold_about_the_target(spark):
         assert len(mine) <= sum(mine) // 50 + 1
 
 
+def test_compaction_opens_only_the_named_files(spark):
+    """The sink's log names the files, in odd directories too: none is looked up, and only those asked for are read."""
+    src, path, ck = (scratch_path(spark, f"named-{n}") for n in ("src", "out", "ck"))
+    spark.createDataFrame([(1, "a"), (2, "b=c d"), (3, "e'f%g\\h"), (4, "a"), (5, None)], "id long, kind string").write.parquet(src)
+    (spark.readStream.schema("id long, kind string").parquet(src).repartition("kind").writeStream.format("parquet").partitionBy("kind")
+     .trigger(availableNow=True).option("path", path).option("checkpointLocation", ck).start().awaitTermination())
+    names = sorted(r.path for r in compaction.committed_files(spark, path).collect())
+    seen = []
+    for name in names:
+        rows = compaction._rows(spark, path, [name])
+        seen.append(sorted((r.id, r.kind) for r in rows.collect()))
+        scan = rows._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        assert "MetadataLogFileIndex" in scan.toString() and scan.metrics().apply("numFiles").value() == 1
+    assert sorted(map(str, seen)) == sorted(map(str, [[(1, "a"), (4, "a")], [(2, "b=c d")], [(3, "e'f%g\\h")], [(5, None)]]))
+    assert compaction._rows(spark, path, names).count() == 5
+
+
 # --- STR6: update mode -------------------------------------------------------------------
 
 def test_replayed_batches_change_nothing(spark):
