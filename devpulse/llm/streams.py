@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,8 @@ def _runs(batch: pa.RecordBatch, block: int) -> Iterator[pa.RecordBatch]:
     if not len(batch):
         return
     kinds = pa.RecordBatch.from_arrays([batch.column(block), batch.column(0)], ["block", "passes"])
-    ends = pa.compute.run_end_encode(kinds.column(0)).run_ends.to_pylist()
-    ends += pa.compute.run_end_encode(kinds.column(1).cast(pa.int8())).run_ends.to_pylist()
+    ends = pc.run_end_encode(kinds.column(0)).run_ends.to_pylist()
+    ends += pc.run_end_encode(kinds.column(1).cast(pa.int8())).run_ends.to_pylist()
     start = 0
     for end in sorted(set(ends)):
         yield batch.slice(start, end - start)
