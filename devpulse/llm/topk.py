@@ -9,9 +9,12 @@ many: one number a query. A task holds a block and streams the queries that
 reach it past, so that a vector goes over the network once. Inside, vectors come
 in descending length; the first rotated components give a partial sum, the
 lengths of the rests bound what is missing, and only vectors whose bound reaches
-the threshold get an exact integer score. The rotation comes from a singular
-value decomposition of at most ``ROTATION_ROWS`` vectors; any rotation gives the
-same results. The driver gets one length for each block of ``BLOCK`` vectors.
+the threshold get an exact integer score. The bounds of a chunk come from one
+single-precision product; what rounding may add to them is allowed for. The
+rotation comes from a singular value decomposition of about ``ROTATION_ROWS``
+vectors, and the number of components in the partial sum is the one with the
+least work on these; any rotation and number give the same results. The driver
+gets one length for each block of ``BLOCK`` vectors.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows without a key, take no part. Vectors are compared with those of the
@@ -37,6 +40,13 @@ ROTATION_ROWS = 8192
 BLOCK = 65_536
 #: Vectors, and queries, that meet at a time.
 CHUNK = 1024
+#: A block's vectors that meet them at a time in the end.
+LONG_CHUNK = 4096
+#: From one in so many pairs within their bounds on, all pairs of a chunk are scored by one product.
+DENSE = 16
+#: What scoring one pair costs a component, in components of a bound, about.
+PAIR_COST = 200
+HEAD_QUERIES = 128
 LOWEST = np.iinfo(np.int64).min
 FOUND = "query_id long, vec_id long, row long, score long"
 
@@ -65,31 +75,66 @@ def _keep_best(owner: np.ndarray, score: np.ndarray, vec: np.ndarray, row: np.nd
     return owner[keep], *(c[order][keep] for c in (score, vec, row))
 
 
-def _search(q_id, q, theta, x_id, x, x_row, xr, x_len, x_rest, rotation, head, k):
+def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The integer products of all pairs, by floating point where it holds every partial sum exactly."""
+    most = _lengths(q).max(initial=0) * _lengths(x).max(initial=0) * (1 + 1e-9)
+    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+    return q.astype(kind) @ x.astype(kind).T
+
+
+def _lengths(v: np.ndarray) -> np.ndarray:
+    return np.linalg.norm(v.astype(float), axis=1)
+
+
+def _side(v: np.ndarray, rotation: np.ndarray, head: int) -> np.ndarray:
+    """The first rotated components and the length of the rest: two sides' product bounds the score, up to ``_slack``."""
+    turned = v @ rotation
+    side = np.column_stack([turned[:, :head], np.linalg.norm(turned[:, head:], axis=1)])
+    return side.astype(np.float32) if np.abs(side).max(initial=0) < 2.0**60 else side
+
+
+def _slack(head: int) -> float:
+    """What rounding adds to a bound at most, as a share of the two lengths' product."""
+    return 1e-9 + (head + 8) * 2.0**-23
+
+
+def _search(q_id, q, theta, x_id, x, x_row, x_len, x_side, rotation, head, k):
     """Top k of each query among vectors sorted by descending length, at or above the thresholds: the query's
-    number, score, row."""
-    qr, q_len = q @ rotation, np.linalg.norm(q.astype(float), axis=1)
-    q_rest = np.linalg.norm(qr[:, head:], axis=1)
+    number, score, key, row."""
+    q_len, q_side, slack = _lengths(q), _side(q, rotation, head), _slack(head)
     found = (np.empty(0, np.int64),) * 4
-    theta = theta.copy()
-    for a in range(0, len(x), CHUNK):
-        part, ids, rows = (c[a:a + CHUNK] for c in (x, x_id, x_row))
-        slack = 1e-9 * np.outer(q_len, x_len[a:a + CHUNK]) + 1e-6
-        active = np.flatnonzero(q_len * x_len[a] + slack[:, 0] >= theta)
+    theta, last = theta.copy(), np.full(len(q), np.iinfo(np.int64).max)  # the worst score and key that may still enter
+    a, step = 0, CHUNK
+    while a < len(x):
+        part, ids, rows = (c[a:a + step] for c in (x, x_id, x_row))
+        off = slack * q_len * x_len[a] + 1e-6
+        active = np.flatnonzero(q_len * x_len[a] + off >= theta)
         if not len(active):
             break
-        bound = qr[active, :head] @ xr[a:a + CHUNK, :head].T
-        bound += np.outer(q_rest[active], x_rest[a:a + CHUNK]) + slack[active]
-        i, j = np.nonzero((bound >= theta[active][:, None]) & (q_id[active][:, None] != ids[None, :]))
+        bound = q_side[active] @ x_side[a:a + step].T
+        need = np.nextafter((theta - off)[active].astype(bound.dtype), bound.dtype.type(-np.inf))
+        reach = bound >= need[:, None]
+        if np.count_nonzero(reach) * DENSE > reach.size:
+            score = _products(q[active], part)
+            least = theta[active].astype(score.dtype)[:, None]
+            reach = (score > least) | ((score == least) & (ids <= last[active][:, None]))
+            at = np.flatnonzero(reach)
+            score = score.ravel()[at].astype(np.int64)
+            i, j = active[at // len(part)], at % len(part)
+        else:
+            at = np.flatnonzero(reach)
+            i, j = active[at // len(part)], at % len(part)
+            score = np.concatenate([np.einsum("ij,ij->i", q[i[s:s + 65536]], part[j[s:s + 65536]])
+                                    for s in range(0, max(1, len(i)), 65536)])
+        enter = (score > theta[i]) | ((score == theta[i]) & (ids[j] <= last[i]))
+        i, j, score = (c[enter & (q_id[i] != ids[j])] for c in (i, j, score))
+        a, step = a + step, min(2 * step, LONG_CHUNK)
         if not len(i):
             continue
-        i = active[i]
-        score = np.concatenate([np.einsum("ij,ij->i", q[i[s:s + 65536]], part[j[s:s + 65536]])
-                                for s in range(0, len(i), 65536)])
         found = _keep_best(*(np.concatenate(p) for p in zip(found, (i, score, ids[j], rows[j]))), k)
         owner, n = np.unique(found[0], return_counts=True)
-        full = n == k
-        theta[owner[full]] = np.maximum(theta[owner[full]], found[1][np.cumsum(n)[full] - 1])
+        full, kth = owner[n == k], np.cumsum(n)[n == k] - 1
+        theta[full], last[full] = found[1][kth], found[2][kth]
     return found
 
 
@@ -111,21 +156,34 @@ def top_k(df: DataFrame, is_query: Column, k: int, scale: int = 256, key: str =
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _rotation(vectors: DataFrame, n: int, dim: int) -> tuple[np.ndarray, int]:
-    """An orthogonal matrix with the directions of most energy first, and how many of these hold three quarters of it."""
+def _rotation(vectors: DataFrame, n: int, dim: int, k: int) -> tuple[np.ndarray, int]:
+    """An orthogonal matrix with the directions of most energy first, and how many of these the bounds shall use."""
     every = max(1, n // ROTATION_ROWS)
     sample = _matrix(vectors.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("v")
                      .limit(2 * ROTATION_ROWS).toArrow()["v"]).astype(float)
     if not dim or not sample.any():
         return np.eye(dim), dim
     # The triangular factor has the sample's right singular vectors and at most dim rows.
-    _, sizes, rotation = np.linalg.svd(np.linalg.qr(sample, mode="r"), full_matrices=True)
-    total = np.cumsum(np.r_[sizes**2, np.zeros(dim - len(sizes))])
-    return rotation.T, max(1, int(np.searchsorted(total, 0.75 * total[-1])) + 1)
+    rotation = np.linalg.svd(np.linalg.qr(sample, mode="r"), full_matrices=True)[2].T
+    return rotation, _head(sample @ rotation, k)
+
+
+def _head(sample: np.ndarray, k: int) -> int:
+    """The number of rotated components with the least work on a sample: a bound's own components, and the scoring of
+    the pairs within it."""
+    dim, some = sample.shape[1], sample[:HEAD_QUERIES]
+    best = np.partition(some @ sample.T, max(0, len(sample) - k - 1), axis=1)[:, max(0, len(sample) - k - 1)]
+
+    def work(head: int) -> float:
+        rests = (np.linalg.norm(v[:, head:], axis=1) for v in (some, sample))
+        bound = some[:, :head] @ sample[:, :head].T + np.outer(*rests)
+        return head + PAIR_COST * dim * np.mean(bound + _slack(head) * np.abs(best).max() >= best[:, None])
+
+    return min(sorted({-(-dim * part // 8) for part in range(1, 9)}), key=work)
 
 
 def _top_k_of(vectors: DataFrame, n: int, dim: int, is_query: Column, k: int) -> DataFrame:
-    rotation, head = _rotation(vectors, n, dim)
+    rotation, head = _rotation(vectors, n, dim, k)
     longest = vectors.orderBy(F.desc("norm"), "vec_id", "row").limit(SEEDS).select("vec_id", "v").toArrow()
     seed_id, seeds = longest["vec_id"].to_numpy(), _matrix(longest["v"])
 
@@ -134,9 +192,9 @@ def _top_k_of(vectors: DataFrame, n: int, dim: int, is_query: Column, k: int) ->
             for s in range(0, len(whole), CHUNK):
                 batch = whole.slice(s, CHUNK)
                 ids, q = batch.column(0).to_numpy(), _matrix(batch.column(1))
-                score = q @ seeds.T
+                score = _products(q, seeds).astype(np.int64)
                 score[ids[:, None] == seed_id[None, :]] = LOWEST
-                theta = (np.sort(score, axis=1)[:, -k] if len(seed_id) >= k
+                theta = (np.partition(score, -k, axis=1)[:, -k] if len(seed_id) >= k
                          else np.full(len(ids), LOWEST))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(theta)], ["vec_id", "v", "norm", "theta"])
 
@@ -165,15 +223,14 @@ def _top_k_of(vectors: DataFrame, n: int, dim: int, is_query: Column, k: int) ->
     def search(held: pa.Table):
         held = held.sort_by([("norm", "descending"), ("vec_id", "ascending")])
         x_id, x_row, x = held["vec_id"].to_numpy(), held["row"].to_numpy(), _matrix(held["v"])
-        xr, x_len = x @ rotation, np.linalg.norm(x.astype(float), axis=1)
-        x_rest = np.linalg.norm(xr[:, head:], axis=1)
+        x_len, x_side = _lengths(x), _side(x, rotation, head)
 
         def through(whole):
             for s in range(0, len(whole), CHUNK):
                 batch = whole.slice(s, CHUNK)
                 ids = batch.column("vec_id").to_numpy()
                 i, score, vec, rows = _search(ids, _matrix(batch.column("v")), batch.column("theta").to_numpy(),
-                                              x_id, x, x_row, xr, x_len, x_rest, rotation, head, k)
+                                              x_id, x, x_row, x_len, x_side, rotation, head, k)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[i], vec, rows, score)],
                                                  ["query_id", "vec_id", "row", "score"])
 
